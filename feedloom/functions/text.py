@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom import vocab
 from feedloom.functions.core import (
@@ -136,7 +137,7 @@ def sanitize_title(c: Column | str) -> Column:
     return F.coalesce(blank_to_null(cut), strip(raw))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_html(text: pd.Series) -> pd.Series:
     """Every named and numeric character reference; Spark has no built-in for the full table."""
     return text.map(html.unescape, na_action="ignore")
