@@ -28,6 +28,11 @@ def pin(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, F.inline(F.array(F.struct(*fields))))
 
 
+def keep(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on an expensive condition, evaluated once, above the projections it refers to."""
+    return pin(df, _keep=condition).where("_keep").drop("_keep")
+
+
 def any_of(words: Iterable[str]) -> str:
     """Regex alternation of literal words."""
     return "|".join(_escape(w) for w in words)

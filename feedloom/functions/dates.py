@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedloom import vocab
-from feedloom.functions.core import blank_to_null, col, map_get
+from feedloom.functions.core import col, map_get
 from feedloom.functions.text import clean_text
 
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -97,12 +97,6 @@ def iso_offset(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
 
 
-def published_at(raw: Column, hint: Column, release: Column) -> Column:
-    """First non-empty of raw and hint; the release date where that cannot be read."""
-    stated = F.coalesce(blank_to_null(raw), blank_to_null(hint))
-    return F.coalesce(parse_published(stated), parse_published(release))
-
-
 def epoch_ms_date(c: Column | str) -> Column:
     """UTC calendar day of a millisecond count."""
     return F.to_date(F.timestamp_millis(F.floor(col(c).try_cast("double")).cast("long")))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom import vocab
-from feedloom.functions.core import any_of, blank_to_null, col, first_group, pin
+from feedloom.functions.core import any_of, col, first_group, pin
 from feedloom.functions.text import strip
 
 # Scheme and authority, path, query of a URL without fragment (RFC 3986, appendix B).
@@ -94,16 +94,23 @@ def page_path(canon: Column | str) -> Column:
     return F.regexp_replace(F.regexp_extract(col(canon), _PATH, 1), ";[^/]*$", "")
 
 
-def is_page(canon: Column | str, host: Column | str, path: Column | str) -> Column:
+def path_parts(path: Column | str) -> Column:
+    """Non-empty segments of a canonical path in lower case; an empty array for the root."""
+    inner = F.regexp_replace(F.lower(col(path)), "^/+|/+$", "")
+    return F.when(inner != "", F.split(inner, "/")).otherwise(F.array().cast("array<string>"))
+
+
+def is_page(canon: Column | str, host: Column | str, path: Column | str, parts: Column | str) -> Column:
     """Whether a canonical URL points at a concrete content page rather than a hub."""
-    canon, host, path = col(canon), col(host), F.lower(col(path))
-    parts = F.split(F.regexp_replace(path, "^/+|/+$", ""), "/")
-    n = F.when(path.rlike("[^/]"), F.size(parts)).otherwise(0)
-    first, second = parts[0], F.get(parts, F.lit(1))
+    canon, host, path, parts = col(canon), col(host), F.lower(col(path)), col(parts)
+    n, first, second = F.size(parts), F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    cdn = host.endswith(vocab.IMAGE_CDN_SUFFIXES[0])
+    for suffix in vocab.IMAGE_CDN_SUFFIXES[1:]:
+        cdn = cdn | host.endswith(suffix)
 
     service_root = first.isin(*vocab.SERVICE_ROOTS)
     netflix = (
-        F.when(host.rlike(r"^tudum\.|\.tudum\."), (n >= 2) & ~service_root)
+        F.when(host.startswith("tudum.") | host.contains(".tudum."), (n >= 2) & ~service_root)
         .when(path.contains("/title/"), path.rlike("/title/[a-z0-9-]+"))
         .when(path.contains("/nq/"), True)
         .when(service_root, n >= 3)
@@ -112,13 +119,8 @@ def is_page(canon: Column | str, host: Column | str, path: Column | str) -> Colu
     two_part_hub = (first == "v") & second.isin("film", "tv", "music", "awards") | first.isin(
         "tv", "film", "movies"
     ) & second.isin("film", "tv", "news", "boxes", "reviews")
-
-    return (
-        F.when(~canon.startswith("https://"), False)
-        .when(host.contains(vocab.AGGREGATOR_HOST), False)
-        .when(host.rlike("(?:" + any_of(vocab.IMAGE_CDN_SUFFIXES) + ")$"), False)
-        .when(n == 0, False)
-        .when(host.contains("nflxext.com"), n >= 2)
+    by_host = (
+        F.when(host.contains("nflxext.com"), n >= 2)
         .when(host.contains("netflix.com"), netflix)
         .when(
             host.contains("disneyplus.com"),
@@ -133,40 +135,43 @@ def is_page(canon: Column | str, host: Column | str, path: Column | str) -> Colu
             path.rlike("/detail/|/video/|/dp/"),
         )
         .when(
-            host.rlike(r"max\.com|hbo\.com|hbomax\.com"),
+            host.contains("max.com") | host.contains("hbo.com"),
             ~first.isin("sign-in", "login", "404") & (n >= 2),
         )
         .when(
             host.contains("imdb.com"),
             path.rlike(r"/title/tt\d+|/chart/|/name/nm\d+|/news/ni\d+"),
         )
-        .when(path.rlike(r"/(?:19|20)\d{2}/"), True)
+    )
+    by_shape = (
+        F.when(path.rlike(r"/(?:19|20)\d{2}/"), True)
         .when(n >= 3, True)
         .when(n == 2, ~two_part_hub)
         .otherwise(~first.isin(*vocab.HUB_SEGMENTS) & (F.length(first) >= 24))
     )
+    nowhere = ~canon.startswith("https://") | host.contains(vocab.AGGREGATOR_HOST) | cdn | (n == 0)
+    return F.when(nowhere, False).otherwise(F.coalesce(by_host, by_shape))
 
 
 def with_page(df: DataFrame, **urls: tuple[str, str]) -> DataFrame:
     """Add canonical form and content-page flag for URL columns.
 
-    `with_page(df, article_url=("article_canon", "article_ok"))`. Each stage is its own
-    projection, so nothing is computed twice, and the flags are pinned above the scan.
+    `with_page(df, article_url=("article_canon", "article_ok"))`. Every stage refers to the
+    one before it several times, so Catalyst keeps them apart and nothing is computed twice.
     """
-    temps = []
     for source, (canon, _) in urls.items():
-        df = df.withColumn(canon, canonical_url(unwrap_redirect(source)))
-    staged = {}
+        df = pin(df, **{canon: unwrap_redirect(source)})
+        df = pin(df, **{canon: canonical_url(canon)})
+    heads, parts = {}, {}
     for source, (canon, _) in urls.items():
-        staged[f"_h_{source}"] = host_of(canon)
-        staged[f"_p_{source}"] = page_path(canon)
-    temps = list(staged)
-    df = df.withColumns(staged)
+        heads |= {f"_h_{source}": host_of(canon), f"_p_{source}": page_path(canon)}
+        parts[f"_s_{source}"] = path_parts(f"_p_{source}")
+    df = df.withColumns(heads).withColumns(parts)
     flags = {
-        flag: is_page(canon, f"_h_{source}", f"_p_{source}")
+        flag: is_page(canon, f"_h_{source}", f"_p_{source}", f"_s_{source}")
         for source, (canon, flag) in urls.items()
     }
-    return pin(df, **flags).drop(*temps)
+    return pin(df, **flags).drop(*heads, *parts)
 
 
 def simplify_domain(c: Column) -> Column:
@@ -230,30 +235,3 @@ def is_image_cdn(url: Column | str) -> Column:
 
 def has_path(url: Column | str) -> Column:
     return F.regexp_extract(col(url), _PATH, 1).rlike("[^/]")
-
-
-def dedupe_key(
-    title: Column,
-    year: Column,
-    media_type: Column,
-    article_canon: Column,
-    article_ok: Column,
-    source_canon: Column,
-    source_ok: Column,
-    source_url: Column,
-) -> Column:
-    """Signature of the page URL, else title signature, year, type and source signature."""
-    from feedloom.functions.text import clean_text, normalize_type, title_signature
-
-    page = F.when(article_ok, article_canon).when(source_ok, source_canon)
-    plain = F.lower(
-        F.regexp_replace(F.split_part(clean_text(source_url), F.lit("?"), F.lit(1)), "/+$", "")
-    )
-    by_title = F.concat_ws(
-        "|",
-        title_signature(title),
-        F.coalesce(year.cast("string"), F.lit("")),
-        normalize_type(media_type),
-        F.coalesce(blank_to_null(url_signature(source_canon)), plain),
-    )
-    return F.when(page.isNotNull(), F.concat(F.lit("url|"), url_signature(page))).otherwise(by_title)

@@ -6,23 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import text
-from feedloom.functions.core import blank_to_null
-from feedloom.functions.urls import dedupe_key, url_signature, with_page
+from feedloom.functions.core import blank_to_null, pin
+from feedloom.functions.urls import url_signature, with_page
 from feedloom.operators.gates import is_chart
 from feedloom.operators.keyed import first_by, lookup
 from feedloom.schema import FEEDS, ORDER
 
 
 def with_dedupe_key(items: DataFrame) -> DataFrame:
-    """Add `dedupe_key`: the page signature, else title, year, type and source."""
+    """Add `dedupe_key`: the page signature, else title signature, year, type and source."""
     c = F.col
     df = with_page(items, article_url=("_ac", "_aok"), source_url=("_sc", "_sok"))
-    return df.withColumn(
-        "dedupe_key",
-        dedupe_key(
-            c("title"), c("year"), c("type"), c("_ac"), c("_aok"), c("_sc"), c("_sok"), c("source_url")
-        ),
-    ).drop("_ac", "_aok", "_sc", "_sok")
+    df = df.withColumn("_page", F.when(c("_aok"), c("_ac")).when(c("_sok"), c("_sc")))
+    # One signature serves both forms: of the page, or else of the source.
+    df = pin(df, _sig=url_signature(F.coalesce("_page", "_sc")))
+    df = pin(df, _title=text.title_signature("title"))
+    plain = F.lower(
+        F.regexp_replace(
+            F.split_part(text.clean_text("source_url"), F.lit("?"), F.lit(1)), "/+$", ""
+        )
+    )
+    by_title = F.concat_ws(
+        "|",
+        "_title",
+        F.coalesce(c("year").cast("string"), F.lit("")),
+        text.normalize_type("type"),
+        F.coalesce(blank_to_null(c("_sig")), plain),
+    )
+    key = F.when(c("_page").isNotNull(), F.concat(F.lit("url|"), "_sig")).otherwise(by_title)
+    return df.withColumn("dedupe_key", key).drop("_ac", "_aok", "_sc", "_sok", "_page", "_sig", "_title")
 
 
 def chart_key():
@@ -79,10 +91,11 @@ def titles_across_platforms(items: DataFrame, platform: str = "platform") -> Dat
     """Page signature, else title signature, year and type; with the platforms that carry it."""
     c = F.col
     df = with_page(items, article_url=("_ac", "_aok"))
-    key = F.when(c("_aok"), F.concat(F.lit("url|"), url_signature("_ac"))).otherwise(
+    df = pin(pin(df, _sig=url_signature("_ac")), _title=text.title_signature("title"))
+    key = F.when(c("_aok"), F.concat(F.lit("url|"), "_sig")).otherwise(
         F.concat_ws(
             "|",
-            text.title_signature("title"),
+            "_title",
             F.coalesce(c("year").cast("string"), F.lit("")),
             text.normalize_type("type"),
         )

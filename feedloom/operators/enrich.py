@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedloom import vocab
 from feedloom.functions import dates, html, images, text, urls
 from feedloom.functions.core import blank_to_null, map_get, pin
-from feedloom.operators.keyed import first_by, lookup
+from feedloom.operators.keyed import first_by, key_counts, lookup
 
 SEARCH_HITS = 3
 SEEDS_PER_ROW = 4
@@ -46,12 +46,14 @@ def lookup_preferred(
     Hits without a title never win. Chart rows without a hit stay. The best hit is found
     once per (key, wanted type), not once per chart row.
     """
-    asked = chart.select(on, want).distinct()
+    counts = key_counts(chart, [on, want])
     hits = catalog.where((F.col(hit_ord) <= max_hits) & (F.coalesce(hit_title, F.lit("")) != ""))
     best = first_by(
-        asked.join(hits, on), [on, want], [(F.col(hit_type) != F.col(want)).cast("int"), hit_ord]
+        counts.drop("_rows").join(hits, on),
+        [on, want],
+        [(F.col(hit_type) != F.col(want)).cast("int"), hit_ord],
     )
-    return lookup(chart, best, [on, want], spread_by)
+    return lookup(chart, best, [on, want], spread_by, counts=counts)
 
 
 def lookup_progressive(
@@ -72,9 +74,9 @@ def lookup_progressive(
     needed = lacks if eligible is None else lacks & eligible
     rows = items.withColumn("_ask", F.when(needed, c("title")))
 
-    asked = rows.where("_ask is not null").select("_ask", "type").distinct()
-    asked = asked.withColumn("_clean", text.search_title("_ask"))
-    asked = asked.withColumn("_core", text.title_core(c("_ask"), c("_clean")))
+    counts = key_counts(rows, ["_ask", "type"])
+    asked = pin(counts.drop("_rows"), _clean=text.search_title("_ask"))
+    asked = pin(asked, _core=text.title_core(c("_ask"), c("_clean")))
     tries = asked.select(
         "_ask", "type", F.posexplode(text.search_keys(c("_core"), c("_clean"))).alias("_try", "_key")
     ).withColumn("_key", F.lower("_key"))
@@ -95,7 +97,7 @@ def lookup_progressive(
         F.concat(F.lit(vocab.CATALOG_IMAGE_BASE + vocab.POSTER_SIZE), "image_path").alias("_poster"),
         F.concat(F.lit(vocab.CATALOG_IMAGE_BASE + vocab.BACKDROP_SIZE), "image_path").alias("_backdrop"),
     )
-    joined = lookup(rows, found, ["_ask", "type"], spread_by)
+    joined = lookup(rows, found, ["_ask", "type"], spread_by, counts=counts)
     return joined.withColumns(
         {
             "poster_image_url": F.coalesce(blank_to_null(c("poster_image_url")), c("_poster")),
@@ -177,7 +179,8 @@ def enrich_from_pages(
     page = F.coalesce(blank_to_null(c("article_url")), c("source_url"))
     lacks = blank_to_null(c("poster_image_url")).isNull()
     rows = items.withColumn("_ask", F.when(lacks, page))
-    asked = rows.where("_ask is not null").select("_ask").distinct()
+    counts = key_counts(rows, ["_ask"])
+    asked = counts.drop("_rows")
 
     direct = asked.where(urls.is_image_cdn("_ask")).select(
         c("_ask").alias("url"), images.upsize_thumbnail("_ask").alias("image")
@@ -189,7 +192,7 @@ def enrich_from_pages(
     read = page_images(first_by(wanted, ["url"], [F.length("html").desc(), "html"]), header_checks)
 
     table = direct.unionByName(read).select(c("url").alias("_ask"), c("image").alias("_image"))
-    joined = lookup(rows, table, ["_ask"], spread_by)
+    joined = lookup(rows, table, ["_ask"], spread_by, counts=counts)
     return joined.withColumns(
         {
             "backdrop_image_url": F.coalesce(
@@ -231,6 +234,40 @@ def page_targets(pages: DataFrame) -> DataFrame:
     return first_by(good, ["url"], ["_try"]).select("url", "target")
 
 
+def with_candidates(items: DataFrame) -> DataFrame:
+    """Judge every candidate URL inside its own row: no explode and no shuffle.
+
+    Adds `_tries`, an array of (url, canon, ok, agg) without image-host links.
+    """
+    df = items.withColumn("_u", F.transform("candidate_urls", urls.unwrap_redirect))
+    df = df.withColumn("_c", F.transform("_u", urls.canonical_url))
+    df = df.withColumn(
+        "_f",
+        F.transform(
+            "_c",
+            lambda u: F.struct(
+                u.alias("canon"), urls.host_of(u).alias("host"), urls.page_path(u).alias("path")
+            ),
+        ),
+    )
+    df = df.withColumn(
+        "_f",
+        F.transform("_f", lambda f: F.struct(f["canon"], f["host"], f["path"], urls.path_parts(f["path"]))),
+    )
+    judged = F.zip_with(
+        "candidate_urls",
+        "_f",
+        lambda raw, f: F.struct(
+            raw.alias("url"),
+            f["canon"].alias("canon"),
+            urls.is_page(f["canon"], f["host"], f["path"], f["col4"]).alias("ok"),
+            urls.is_aggregator(f["canon"]).alias("agg"),
+            urls.is_image_cdn(f["canon"]).alias("cdn"),
+        ),
+    )
+    return df.withColumn("_tries", F.filter(judged, lambda x: ~x["cdn"])).drop("_u", "_c", "_f")
+
+
 def resolve_article_urls(
     items: DataFrame, pages: DataFrame, row_id: list[str], max_seeds: int = SEEDS_PER_ROW
 ) -> DataFrame:
@@ -242,47 +279,63 @@ def resolve_article_urls(
     else the entry's own link.
     """
     c = F.col
-    tries = items.select(*row_id, F.posexplode("candidate_urls").alias("_pos", "_cand"))
-    tries = urls.with_page(tries, _cand=("_canon", "_ok"))
-    tries = pin(tries, _cdn=urls.is_image_cdn("_canon"), _agg=urls.is_aggregator("_canon"))
-    usable = ~c("_cdn") & c("_canon").startswith("https://")
-    first = lambda cond: F.min(F.when(cond, F.struct("_pos", "_canon")))
-    summary = tries.groupBy(*row_id).agg(
-        first(usable & c("_ok")).alias("_page"),
-        first(usable & ~c("_agg")).alias("_pub"),
-        first(usable & c("_agg")).alias("_news"),
+
+    def first(condition) -> Column:
+        return F.try_element_at(F.filter("_tries", condition), F.lit(1))["canon"]
+
+    judged = with_candidates(items)
+    secure = F.filter("_tries", lambda x: x["canon"].startswith("https://"))
+    judged = judged.withColumn("_tries_secure", secure)
+    publisher_at = F.array_position(
+        F.transform("_tries_secure", lambda x: F.coalesce(x["agg"], F.lit(False))), F.lit(False)
+    )
+    # Aggregator links count only where they come before the first publisher link.
+    before = F.when(publisher_at > 0, publisher_at - 1).otherwise(F.size("_tries_secure"))
+    judged = judged.withColumns(
+        {
+            "_page": first(lambda x: x["ok"]),
+            "_pub": F.when(
+                publisher_at > 0, F.get("_tries_secure", (publisher_at - 1).cast("int"))["canon"]
+            ),
+            "_news": F.when(before > 0, F.get("_tries_secure", F.lit(0))["canon"]),
+        }
     )
-    undecided = summary.where("_page is null").select(*row_id)
-    seeds = (
-        tries.where(c("_cand").rlike("^https?://") & ~urls.is_image_cdn("_cand"))
-        .join(undecided, row_id, "left_semi")
-        .select(*row_id, "_pos", c("_cand").alias("url"))
+    web = F.filter("_tries", lambda x: x["url"].rlike("^https?://"))
+    seeds = judged.where("_page is null").select(
+        *row_id, F.posexplode(F.slice(web, 1, max_seeds)).alias("_pos", "_seed")
     )
-    seeds = first_by(seeds, row_id, ["_pos"], max_seeds)
-    wanted = pages.join(seeds.select("url").distinct(), "url", "left_semi")
+    seeds = seeds.select(*row_id, "_pos", c("_seed.url").alias("url"))
+    counts = key_counts(seeds, ["url"])
+    wanted = pages.join(counts.drop("_rows"), "url", "left_semi")
     targets = page_targets(first_by(wanted, ["url"], ["final_url", F.length("html").desc(), "html"]))
     resolved = first_by(
-        lookup(seeds, targets, ["url"], [*row_id, "_pos"], how="inner"), row_id, ["_pos"]
+        lookup(seeds, targets, ["url"], [*row_id, "_pos"], how="inner", counts=counts),
+        row_id,
+        ["_pos"],
     ).select(*row_id, c("target").alias("_target"))
 
-    # One row per item on both sides, so these joins cannot run hot.
-    df = items.join(summary, row_id, "left").join(resolved, row_id, "left")
-    df = df.withColumn("article_url", F.coalesce(c("_page._canon"), c("_target")))
-    news = F.when(
-        c("_pub").isNull() | (c("_news._pos") < c("_pub._pos")), c("_news._canon")
-    )
-    pub = c("_pub._canon")
-    own = F.coalesce(
-        blank_to_null(urls.canonical_url(urls.unwrap_redirect("link"))),
-        F.when(F.trim("link").rlike("^(?:https?:)?//"), F.regexp_replace(F.trim("link"), "^//", "https://")),
-    )
+    # One row per item on both sides, so this join cannot run hot.
+    df = judged.join(resolved, row_id, "left")
+    df = pin(df, _own=urls.unwrap_redirect("link"))
+    df = pin(df, _own=F.coalesce(
+        blank_to_null(urls.canonical_url("_own")),
+        F.when(
+            F.trim("link").rlike("^(?:https?:)?//"), F.regexp_replace(F.trim("link"), "^//", "https://")
+        ),
+    ))
+    df = df.withColumn("article_url", F.coalesce("_page", "_target"))
     df = df.withColumn(
         "source_url",
         F.coalesce(
-            c("article_url"), F.when(urls.has_path(pub), pub), news, pub, own, F.lit("")
+            "article_url",
+            F.when(urls.has_path("_pub"), c("_pub")),
+            "_news",
+            "_pub",
+            "_own",
+            F.lit(""),
         ),
     )
-    return df.drop("_page", "_pub", "_news", "_target")
+    return df.drop("_tries", "_tries_secure", "_page", "_pub", "_news", "_target", "_own")
 
 
 def enrich_details(

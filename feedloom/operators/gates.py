@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from feedloom import vocab
 from feedloom.functions import images, text
-from feedloom.functions.core import pin
+from feedloom.functions.core import keep, pin
 from feedloom.functions.urls import with_page
 from feedloom.schema import FEED_ITEM, FEEDS
 
@@ -30,11 +30,11 @@ def drop_reserved_titles(items: DataFrame, feeds=FEEDS) -> DataFrame:
     """No source URL, placeholder or generic titles, and titles too short for their feed."""
     title = text.strip("title")
     shortest = F.when(is_chart(feeds), 2).otherwise(8)
-    return items.where(
-        (F.col("source_url") != "")
-        & ~F.lower("title").isin(*vocab.RESERVED_TITLES)
+    return keep(
+        items.where(F.col("source_url") != ""),
+        ~F.lower("title").isin(*vocab.RESERVED_TITLES)
         & ~F.lower(title).isin(*vocab.GENERIC_TITLES)
-        & (F.length(title) >= shortest)
+        & (F.length(title) >= shortest),
     )
 
 
@@ -44,13 +44,15 @@ def topic_gate(
     """Rows on topic; chart rows always pass."""
     on_topic = text.topic_match(F.col("title"), F.col("overview"), allow, deny)
     passes = F.when(is_chart(feeds), True).otherwise(on_topic) if "feed" in items.columns else on_topic
-    return pin(items, _on_topic=passes).where("_on_topic").drop("_on_topic")
+    return keep(items, passes)
 
 
 def relevance_gate(entries: DataFrame, rules: dict) -> DataFrame:
     """Keep entries that match the word lists of a source (see `relevance_match`)."""
-    keep = text.relevance_match(F.col("title"), F.col("overview"), F.col("source_url"), **rules)
-    return pin(entries, _keep=keep).where("_keep").drop("_keep")
+    return keep(
+        entries,
+        text.relevance_match(F.col("title"), F.col("overview"), F.col("source_url"), **rules),
+    )
 
 
 def valid_page_gate(items: DataFrame, feeds=FEEDS) -> DataFrame:

@@ -57,15 +57,21 @@ def enumerate_positions(
     ).drop("_bucket", "_within")
 
 
+def key_counts(rows: DataFrame, on: list[str]) -> DataFrame:
+    """Distinct non-null keys with their number of rows in `_rows`.
+
+    The filter keeps the count in the plan, so that every use of the result shares one shuffle.
+    """
+    counted = rows.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.where("_rows > 0")
+
+
 def hot_keys(
-    rows: DataFrame, on: list[str], limit: int = HOT_KEYS, min_rows: int = HOT_ROWS
+    counts: DataFrame, on: list[str], limit: int = HOT_KEYS, min_rows: int = HOT_ROWS
 ) -> DataFrame:
     """The most frequent keys, at most `limit` of them; any other key holds under 1/limit of the rows."""
-    present = rows.dropna(subset=on)
     return (
-        present.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= min_rows)
+        counts.where(F.col("_rows") >= min_rows)
         .orderBy(F.desc("_rows"), *on)
         .limit(limit)
         .select(*on, F.lit(True).alias("_hot"))
@@ -79,6 +85,7 @@ def lookup(
     spread_by: list,
     *,
     how: str = "left",
+    counts: DataFrame | None = None,
     limit: int = HOT_KEYS,
     min_rows: int = HOT_ROWS,
     salts: int = SALTS,
@@ -88,9 +95,10 @@ def lookup(
     Rows of the hottest keys and rows without a key are spread over `salts` partitions by a
     hash of `spread_by` (columns that identify the row, so a retried task spreads them the
     same way); only the table rows of hot keys are repeated. The broadcast list holds at
-    most `limit` keys.
+    most `limit` keys. `counts` takes the `key_counts` of the rows where they exist already.
     """
-    hot = F.broadcast(hot_keys(rows, on, limit, min_rows))
+    counts = key_counts(rows, on) if counts is None else counts
+    hot = F.broadcast(hot_keys(counts, on, limit, min_rows))
     missing = F.lit(False)
     for k in on:
         missing = missing | F.col(k).isNull()

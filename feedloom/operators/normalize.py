@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom import vocab
 from feedloom.functions import dates, outlets, text
-from feedloom.functions.core import blank_to_null
+from feedloom.functions.core import blank_to_null, pin
 from feedloom.functions.urls import with_page
 
 
@@ -20,7 +20,7 @@ def normalize_items(raw: DataFrame, run_at) -> DataFrame:
     run_at = F.lit(run_at).cast("timestamp") if isinstance(run_at, str) else run_at
     c = F.col
 
-    df = raw.withColumn("source_url", text.clean_text("source_url"))
+    df = pin(raw, source_url=text.clean_text("source_url"))
     df = with_page(df, article_url=("_ac", "_aok"), source_url=("_sc", "_sok"))
     df = df.withColumn(
         "article_url",
@@ -28,26 +28,34 @@ def normalize_items(raw: DataFrame, run_at) -> DataFrame:
         .when(c("_sok"), c("_sc"))
         .otherwise(F.coalesce(blank_to_null(c("_sc")), c("source_url"))),
     ).drop("_ac", "_aok", "_sc", "_sok")
-    df = df.withColumn("source_domain", outlets.source_domain("article_url"))
-    df = df.withColumns(
-        {
-            "source_name": outlets.source_name("source_domain"),
-            "year": text.parse_year(F.coalesce(blank_to_null(c("year")), c("title"))),
-            "published_at": dates.published_at(
-                c("published_raw"), c("published_at_hint"), c("release_date")
-            ),
-            "release_date": dates.parse_release_date("release_date"),
-            "type": text.normalize_type("type"),
-            "platform": text.normalize_platform("platform"),
-            "overview": text.clamp_summary("overview", vocab.NO_OVERVIEW),
-            "genres": text.normalize_genres(c("genres")),
-            "rating": text.coerce_rating("rating"),
-            "title": text.normalize_title("title"),
-        }
+    # Groups of heavy columns are pinned one after the other, so that the generated code of
+    # each stays small enough to be compiled.
+    df = pin(df, source_domain=outlets.source_domain("article_url"))
+    df = pin(
+        df,
+        source_name=outlets.source_name("source_domain"),
+        year=text.parse_year(F.coalesce(blank_to_null(c("year")), c("title"))),
+        rating=text.coerce_rating("rating"),
     )
-    df = df.withColumn(
-        "content_type",
-        text.content_bucket(c("content_type"), c("feed"), c("type"), c("title"), c("overview")),
+    stated = F.coalesce(blank_to_null(c("published_raw")), blank_to_null(c("published_at_hint")))
+    df = pin(df, published_at=dates.parse_published(stated))
+    df = pin(
+        df, published_at=F.coalesce(c("published_at"), dates.parse_published("release_date"))
+    )
+    df = pin(df, release_date=dates.parse_release_date("release_date"))
+    df = pin(
+        df,
+        title=text.normalize_title("title"),
+        overview=text.clamp_summary("overview", vocab.NO_OVERVIEW),
+        type=text.normalize_type("type"),
+        platform=text.normalize_platform("platform"),
+    )
+    df = df.withColumn("genres", text.normalize_genres(c("genres")))
+    df = pin(
+        df,
+        content_type=text.content_bucket(
+            c("content_type"), c("feed"), c("type"), c("title"), c("overview")
+        ),
     )
     df = df.withColumns({"scraped_at": run_at, "updated_at": run_at})
     drop = {"published_raw", "published_at_hint"}
