@@ -154,7 +154,7 @@ def chart_rows(pages: DataFrame, keep: list[str], run_date: Column, min_cells: i
         *keep,
         "row_pos",
         "title",
-        F.regexp_replace(page, r"\?.*$|/+$", "").alias("page_url"),
+        F.regexp_replace(page, r"/*(?:\?.*)?$", "").alias("page_url"),
         dates.release_from_days(run_date, cell_text(9)).alias("release_date"),
         F.coalesce(F.replace(cell_text(6), F.lit(","), F.lit("")).try_cast("int"), F.lit(0)).alias(
             "theaters"
