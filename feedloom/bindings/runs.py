@@ -10,7 +10,7 @@ from feedloom.bindings.registry import query
 from feedloom.functions import dates, text
 from feedloom.operators import fingerprint, keyed, normalize
 from feedloom.schema import ORDER
-from feedloom.session import work_dir
+from feedloom.session import is_folder, work_dir
 from feedloom.sources import published, syndication
 from feedloom.streaming import jobs
 
@@ -94,7 +94,8 @@ def meta_versions(t):
 
 @query(
     "syndication_files",
-    rf"""WITH d AS (SELECT doc_id, source, {q.squeeze("split_part(text, chr(10), 1)")} AS title, {q.squeeze('text')} AS overview FROM documents)
+    rf"""WITH x AS (SELECT doc_id, source, regexp_replace(text, '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g') AS text FROM documents),
+    d AS (SELECT doc_id, source, {q.squeeze("split_part(text, chr(10), 1)")} AS title, {q.squeeze('text')} AS overview FROM x)
     SELECT doc_id, title, overview, '2024-05-06' AS release_date, '2024-05-07T04:30:00Z' AS published_at,
       'https://x.example/a/' || doc_id || '|https://id.example/' || doc_id || '|https://news.google.com/rss/' || doc_id
         || '|https://' || source || '.example/' AS candidates,
@@ -107,6 +108,8 @@ def syndication_files(t):
         c = F.replace(c, F.lit("&"), F.lit("&amp;"))
         return F.replace(F.replace(c, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
+    # XML cannot carry control characters.
+    docs = t.documents.withColumn("text", F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""))
     key = F.col("doc_id").cast("string")
     # The summary is HTML inside XML, so its text is escaped twice.
     summary = F.concat(
@@ -123,7 +126,7 @@ def syndication_files(t):
         F.lit("</source></item>"),
     )
     path = work_dir(t.spark, "syndication")
-    t.documents.select(item.alias("value")).write.text(path)
+    docs.select(item.alias("value")).write.text(path)
     entries = syndication.entry_texts(syndication.read_syndication(t.spark, path))
     return entries.select(
         F.regexp_extract("id", r"(\d+)$", 1).cast("long").alias("doc_id"),
@@ -140,9 +143,12 @@ def syndication_files(t):
 
 
 def _stream(t, name: str):
-    """A given table as a file stream."""
-    schema = getattr(t, name).schema
-    return t.spark.readStream.schema(schema).parquet(f"{t.root}/{name}.parquet")
+    """A given table as a file stream, be it one file or a folder of files."""
+    reader = t.spark.readStream.schema(getattr(t, name).schema)
+    path = f"{t.root}/{name}.parquet"
+    if is_folder(t.spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(t.root)
 
 
 @query("stream_first_arrivals", "SELECT DISTINCT event_type, user_id FROM events")

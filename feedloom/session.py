@@ -53,3 +53,10 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return os.path.join(shared_dir(spark), "feedloom", f"{label}-{uuid.uuid4().hex}")
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path on the cluster's file system is a folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(target) and fs.getFileStatus(target).isDirectory()

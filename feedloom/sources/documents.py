@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom import vocab
 from feedloom.functions import dates, images, text
@@ -52,73 +56,55 @@ def extract_page_state(pages: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def find_nodes(
-    docs: DataFrame, keep: list[str], json: str, key: str, value: str, max_depth: int = 16
-) -> DataFrame:
-    """Every object, at any depth, whose `key` has the text `value`.
-
-    One row per object with its JSON text and `path`, its place in reading order. The tree
-    is opened level by level with generators: no shuffle and no recursion over the table.
-    Documents nested deeper than `max_depth` are an error, so nothing is lost silently.
+def _hits(text: str | None, key: str, value: str) -> list[tuple]:
+    """Path and text of the matching objects of one document, in reading order."""
+    try:
+        pending = [((), json.loads(text))] if text else []
+    except ValueError:
+        return []
+    found = []
+    while pending:
+        path, node = pending.pop()
+        if isinstance(node, dict):
+            if node.get(key) == value:
+                found.append((path, json.dumps(node, ensure_ascii=False, separators=(",", ":"))))
+            node = list(node.values())
+        if isinstance(node, list):
+            pending += [((*path, i), node[i]) for i in reversed(range(len(node)))]
+    return found
+
+
+def find_nodes(docs: DataFrame, keep: list[str], text: str, key: str, value: str) -> DataFrame:
+    """Every object, at any depth, whose `key` has the text `value`; broken JSON gives none.
+
+    One row per object with its JSON text and `path`, its place in reading order. Spark's JSON
+    types have no walk over unknown keys that keeps their order, and opening a tree level by
+    level parses it once per level, so the walk is a small Arrow-batched function. Documents
+    that do not mention the value never leave the JVM.
     """
-    c = F.col
-    rows = docs.select(
-        *keep,
-        F.array().cast("array<int>").alias("path"),
-        F.col(json).alias("json"),
-        F.lit(True).alias("open"),
-    )
-    for _ in range(max_depth):
-        rows = rows.select(*keep, F.explode(_opened(key, value)).alias("_n")).select(*keep, "_n.*")
-    too_deep = F.raise_error(F.lit(f"document nested deeper than {max_depth}")).cast("string")
-    done = rows.select(
-        *keep, "path", F.when(c("open") & _is_container(c("json")), too_deep).otherwise(c("json")).alias("json"), "open"
+    shape = T.ArrayType(
+        T.StructType(
+            [
+                T.StructField("path", T.ArrayType(T.IntegerType())),
+                T.StructField("json", T.StringType()),
+            ]
+        )
     )
-    return done.where(~c("open")).drop("open")
-
-
-def _is_container(json: Column) -> Column:
-    return json.rlike(r"^\s*[\[{]")
 
+    @F.pandas_udf(shape)
+    def walk(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: _hits(t, key, value))
 
-def _opened(key: str, value: str) -> Column:
-    """A row's replacement on the next level: itself if it is a hit, and its children to open.
-
-    Children are read twice with the same schema, as text (which keeps their order and
-    spelling) and as variants (which tell a container from a string that looks like one).
-    """
-    c = F.col
-    as_object = F.from_json("json", "map<string,string>")
-    as_array = F.from_json(F.when(c("json").rlike(r"^\s*\["), c("json")), "array<string>")
-    is_object = c("json").rlike(r"^\s*\{")
-    texts = F.when(is_object, F.map_values(as_object)).otherwise(as_array)
-    kinds = F.when(
-        is_object, F.map_values(F.from_json("json", "map<string,variant>"))
-    ).otherwise(F.from_json(F.when(c("json").rlike(r"^\s*\["), c("json")), "array<variant>"))
-    numbered = F.transform(
-        F.arrays_zip(texts.alias("t"), kinds.alias("k")),
-        lambda z, i: F.when(
-            F.schema_of_variant(z["k"]).rlike("^(?:OBJECT|ARRAY)"),
-            F.struct(
-                F.concat("path", F.array(i)).alias("path"), z["t"].alias("json"), F.lit(True).alias("open")
-            ),
-        ),
-    )
-    hit = F.when(
-        is_object & (F.get_json_object("json", f"$.{key}") == value),
-        F.struct(c("path"), c("json"), F.lit(False).alias("open")),
-    )
-    kept = F.struct(c("path"), c("json"), c("open"))
-    return F.when(c("open"), F.array_compact(F.concat(F.array(hit), F.coalesce(numbered, F.array(F.lit(None)))))).otherwise(
-        F.array(kept)
-    )
+    mentions = F.col(text).contains(value) | F.col(text).contains("\\u")
+    found = docs.where(mentions).select(*keep, F.explode(walk(text)).alias("_n"))
+    return found.select(*keep, "_n.*")
 
 
-def first_value_of(json: Column | str, keys: list[str]) -> Column:
+def first_value_of(document: Column | str, keys: list[str]) -> Column:
     """First non-blank text stored under one of the keys, anywhere in a JSON text."""
     names = "|".join(keys)
     pattern = rf'(?<!\\)"(?:{names})"\s*:\s*"([^"\\]*[^"\\\s][^"\\]*)"'
-    return strip(first_group(F.col(json) if isinstance(json, str) else json, pattern))
+    return strip(first_group(F.col(document) if isinstance(document, str) else document, pattern))
 
 
 def card_items(cards: DataFrame, keep: list[str]) -> DataFrame:
@@ -152,11 +138,11 @@ def genre_names(codes: Column) -> Column:
     )
 
 
-def flatten_chart_edges(replies: DataFrame, keep: list[str], json: str = "json") -> DataFrame:
+def flatten_chart_edges(replies: DataFrame, keep: list[str], reply: str = "json") -> DataFrame:
     """Chart replies to one row per listed title, in chart order (`pos`)."""
     c = F.col
     edges = replies.select(
-        *keep, F.posexplode(F.from_json(json, _EDGES)["edges"]).alias("pos", "_e")
+        *keep, F.posexplode(F.from_json(reply, _EDGES)["edges"]).alias("pos", "_e")
     )
     content = c("_e.node.content")
     path = blank_to_null(content["fullPath"])

@@ -21,7 +21,7 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
     The schema is fixed, because columns that are null throughout cannot be inferred. A file
     is one published feed (capped), so it fits one row; array positions keep the order.
     """
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     items = F.from_json("value", T.ArrayType(FEED_ITEM))
     feed = F.url_decode(first_group(F.input_file_name(), r"([^/]+?)\.json$"))
     return text.select(feed.alias("feed"), F.posexplode(items).alias("_pos", "_item")).select(
@@ -89,7 +89,7 @@ def write_feed_arrays(
 
 def read_feed_arrays(spark: SparkSession, path: str) -> DataFrame:
     """What `write_feed_arrays` wrote; `feed` comes from the folder names."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     items = F.from_json("value", T.ArrayType(FEED_ITEM))
     return text.select("feed", F.posexplode(items).alias("_pos", "_item")).select(
         "feed", (F.col("_pos") + 1).alias("feed_pos"), "_item.*"
