@@ -29,11 +29,11 @@ def _with_order(df):
 
 def _feed_items(t):
     """Every page as a normalised record in its feed, with its position."""
-    items = normalize.normalize_items(_with_order(page_queries.raw_items(t)), RUN_AT)
     placed = keyed.enumerate_positions(
-        items, ["feed"], ["page_id"], F.floor(F.col("page_id") / 1_000_000), "feed_pos"
+        page_queries.raw_items(t), ["feed"], ["page_id"], F.floor(F.col("page_id") / 1_000_000), "feed_pos"
     )
-    return normalize.published_form(placed.drop(*ORDER, "page_id"))
+    items = normalize.normalize_items(placed, RUN_AT)
+    return normalize.published_form(items.drop("page_id"))
 
 
 _FEED_ROWS = (
@@ -199,10 +199,10 @@ _REFRESHED = (
 
 @query("stream_refresh", _REFRESHED)
 def stream_refresh(t):
-    """Pages arriving in four files, merged into feeds batch by batch; equals one batch over all."""
+    """Pages arriving in two files, merged into feeds batch by batch; equals one batch over all."""
     spark = t.spark
     source, target = work_dir(spark, "arriving"), work_dir(spark, "refreshed")
-    t.pages.repartitionByRange(4, "page_id").write.parquet(source)
+    t.pages.repartitionByRange(2, "page_id").write.parquet(source)
     stream = (
         spark.readStream.schema(t.pages.schema).option("maxFilesPerTrigger", 1).parquet(source)
     )

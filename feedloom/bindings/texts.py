@@ -31,7 +31,8 @@ def _src_ord():
     f"SELECT doc_id, {q.clamp('text', 'none')} AS summary FROM documents",
 )
 def summary_clamp(t):
-    return t.documents.select("doc_id", text.clamp_summary("text", "none").alias("summary"))
+    docs = pin(t.documents.select("doc_id", "text"), text=text.clean_text("text", "none"))
+    return docs.select("doc_id", text.clamp_summary("text").alias("summary"))
 
 
 def _titled(t):
@@ -132,7 +133,8 @@ def quality_gate(t):
     FROM documents""",
 )
 def classify_type(t):
-    return t.documents.select(
+    docs = pin(t.documents.select("doc_id", "lang", "text"), text=F.lower("text"))
+    return docs.select(
         "doc_id",
         text.extract_type("text", F.col("lang")).alias("extracted"),
         text.normalize_type("text").alias("normalized"),
@@ -145,9 +147,8 @@ def classify_type(t):
       lambda w: contains(lower(text), lower(w))), ',') AS terms FROM documents""",
 )
 def tag_terms(t):
-    return t.documents.select(
-        "doc_id", F.array_join(text.extract_terms("text", TERMS), ",").alias("terms")
-    )
+    docs = pin(t.documents.select("doc_id", "text"), text=F.lower("text"))
+    return docs.select("doc_id", F.array_join(text.extract_terms("text", TERMS), ",").alias("terms"))
 
 
 @query(

@@ -26,22 +26,24 @@ _MAIL = (
     (rf"^(?:[A-Za-z]+,?\s*)?(\d{{1,2}})[ -]{_MONTH}[ -](\d{{4}}|\d{{2}})\s+" + _CLOCK, "$3-$2-$1 $4:$5:$6|$7$8"),
     (rf"^(?:[A-Za-z]+,\s*)?{_MONTH} (\d{{1,2}}),? (\d{{4}}|\d{{2}})\s+" + _CLOCK, "$3-$1-$2 $4:$5:$6|$7$8"),
 )
-# Calendar dates without a time.
-_PLAIN = (
-    (r"^(\d{4})[-](\d{1,2})[-](\d{1,2})$", "$1-$2-$3 0:0:0|"),
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3 0:0:0|"),
-    (r"^(\d{1,2}) (" + "|".join(m[:3] for m in vocab.MONTHS) + r") (\d{4})$", "$3-$2-$1 0:0:0|"),
-    (rf"^{_MONTH} (\d{{1,2}}), (\d{{4}})$", "$3-$1-$2 0:0:0|"),
+# Calendar dates without a time: year first, and with a month name.
+_NUMERIC = (
+    (r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})$", "$1-$3-$4 0:0:0|"),
     (r"^(\d{4})-(\d{1,2})$", "$1-$2-1 0:0:0|"),
     (r"^(\d{4})$", "$1-1-1 0:0:0|"),
 )
-_ISO = (
-    (r"^(\d{4})-?(\d{2})-?(\d{2})$", "$1-$2-$3 0:0:0|"),
+_NAMED = (
+    (r"^(\d{1,2}) (" + "|".join(m[:3] for m in vocab.MONTHS) + r") (\d{4})$", "$3-$2-$1 0:0:0|"),
+    (rf"^{_MONTH} (\d{{1,2}}), (\d{{4}})$", "$3-$1-$2 0:0:0|"),
+)
+_ISO_TIME = (
     (
         r"^(\d{4})-?(\d{2})-?(\d{2})[^\d](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,]\d+)?)?)?(Z|[+-]\d{2}(?::?\d{2})?)?$",
         "$1-$2-$3 $4:$5:$6|$7",
     ),
 )
+_ISO_DAY = ((r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3 0:0:0|"),)
+# Two-digit years, and missing minutes or seconds.
 _TIDY = (
     (r"^([0-6]\d)-", "20$1-"),
     (r"^(\d\d)-", "19$1-"),
@@ -56,11 +58,23 @@ def _rewrite(text: Column, *groups) -> Column:
     return text
 
 
+def _rewritten(text: Column, with_time, year_first) -> Column:
+    """Only the rules that fit the look of the text are tried."""
+    return (
+        F.when(text.contains(":"), _rewrite(text, with_time, _TIDY))
+        .when(text.rlike("^[0-9]{4}"), _rewrite(text, year_first))
+        .otherwise(_rewrite(text, _NAMED))
+    )
+
+
 def _wall_clock(rewritten: Column) -> Column:
     """Timestamp as written, before the zone is applied."""
-    stamp = F.when(rewritten.contains("|"), F.substring_index(rewritten, "|", 1))
-    return F.coalesce(
+    stamp = F.substring_index(rewritten, "|", 1)
+    return F.when(
+        rewritten.rlike(r"^[0-9]+-[0-9]+-[0-9]+ [0-9:]+[|]"),
         F.try_to_timestamp(stamp, F.lit("yyyy-M-d H:m:s")),
+    ).when(
+        rewritten.contains("|"),
         F.try_to_timestamp(stamp, F.lit("yyyy-MMM-d H:m:s")),
     )
 
@@ -78,12 +92,12 @@ def _zone_minutes(rewritten: Column) -> Column:
 
 def parse_release_date(c: Column | str) -> Column:
     """Calendar day as written, without shifting it to UTC. ISO date-times give NULL."""
-    return F.to_date(_wall_clock(_rewrite(clean_text(c), _MAIL, _PLAIN, _TIDY)))
+    return F.to_date(_wall_clock(_rewritten(clean_text(c), _MAIL, _NUMERIC)))
 
 
 def parse_published(c: Column | str) -> Column:
     """Instant in UTC at second precision: ISO, then mail style, then plain dates."""
-    rewritten = _rewrite(clean_text(c), _ISO, _MAIL, _PLAIN, _TIDY)
+    rewritten = _rewritten(clean_text(c), _ISO_TIME + _MAIL, _ISO_DAY + _NUMERIC)
     return F.timestamp_seconds(
         F.unix_timestamp(_wall_clock(rewritten)) - _zone_minutes(rewritten) * 60
     )

@@ -41,9 +41,12 @@ def clean_lower(c: Column | str) -> Column:
     return clean_text(F.lower(col(c)))
 
 
-def clamp_summary(c: Column | str, fallback: str = "", limit: int = vocab.SUMMARY_CHARS) -> Column:
-    """Whole text up to `limit` characters, otherwise cut at a word end and mark the cut."""
-    text = clean_text(c, fallback)
+def clamp_summary(clean: Column | str, limit: int = vocab.SUMMARY_CHARS) -> Column:
+    """Clean text up to `limit` characters, otherwise cut at a word end with the cut marked.
+
+    Takes a column that `clean_text` made, so that the text is cleaned once.
+    """
+    text = col(clean)
     head = F.rtrim(F.left(text, F.lit(limit)))
     head = F.regexp_replace(head, " [^ ]*$", "")
     head = F.regexp_replace(head, "[ ,;:\\-–—]+$", "")
@@ -79,27 +82,27 @@ def normalize_type(c: Column | str, fallback: str = "movie") -> Column:
     return (
         F.when(text.contains("doc"), "documentary")
         .when(text.contains("anime"), "anime")
-        .when(text.rlike("tv|series|show|season|episode"), "series")
+        .when(has_any(text, ("tv", "series", "show", "season", "episode")), "series")
         .otherwise("movie")
     )
 
 
-def extract_type(c: Column | str, default: Column | str = "movie") -> Column:
-    """Media type named in a free text."""
-    text = F.lower(col(c))
+def extract_type(lowered: Column | str, default: Column | str = "movie") -> Column:
+    """Media type named in a lower-case text."""
+    text = col(lowered)
     default = F.lit(default) if isinstance(default, str) else default
     return (
         F.when(text.contains("documentary"), "documentary")
         .when(text.contains("anime"), "anime")
-        .when(text.rlike("season|episode|series|tv"), "series")
-        .when(text.rlike("movie|film"), "movie")
+        .when(has_any(text, ("season", "episode", "series", "tv")), "series")
+        .when(has_any(text, ("movie", "film")), "movie")
         .otherwise(default)
     )
 
 
-def extract_terms(c: Column | str, terms=vocab.GENRE_NAMES) -> Column:
-    """Which of the terms occur in the text, in list order."""
-    text = F.lower(col(c))
+def extract_terms(lowered: Column | str, terms=vocab.GENRE_NAMES) -> Column:
+    """Which of the terms occur in a lower-case text, in list order."""
+    text = col(lowered)
     hits = F.array(*[F.when(text.contains(t.lower()), F.lit(t)) for t in terms])
     return F.array_compact(hits)
 
@@ -199,15 +202,29 @@ def search_keys(core: Column, cleaned: Column) -> Column:
     )
 
 
-def topic_match(title: Column, overview: Column, allow=vocab.TOPIC_ALLOW, deny=vocab.TOPIC_DENY) -> Column:
-    """No denied word as a whole word, and at least one allowed term as a substring."""
-    text = F.lower(F.concat_ws(" ", clean_text(title), clean_text(overview)))
-    return ~has_word(text, deny) & has_any(text, allow)
+def topic_text(title: Column | str, overview: Column | str) -> Column:
+    """What the topic lists are matched against."""
+    return F.lower(F.concat_ws(" ", clean_text(title), clean_text(overview)))
+
+
+def topic_match(text: Column | str, allow=vocab.TOPIC_ALLOW, deny=vocab.TOPIC_DENY) -> Column:
+    """No denied word as a whole word, and at least one allowed term as a substring.
+
+    `text` is an existing `topic_text` column.
+    """
+    text = col(text)
+    return has_any(text, allow) & ~has_word(text, deny)
+
+
+def merged_text(title: Column | str, overview: Column | str) -> Column:
+    """Title and overview as they are, in lower case."""
+    return F.lower(
+        F.concat_ws(" ", F.coalesce(col(title), F.lit("")), F.coalesce(col(overview), F.lit("")))
+    )
 
 
 def relevance_match(
-    title: Column,
-    overview: Column,
+    text: Column | str,
     source_url: Column,
     exclude=(),
     signals=(),
@@ -215,10 +232,16 @@ def relevance_match(
     trusted=(),
     include=(),
 ) -> Column:
-    """Exclusions first, then both signal lists, then a trusted domain or an include word."""
-    text = F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(overview, F.lit(""))))
+    """Exclusions first, then both signal lists, then a trusted domain or an include word.
+
+    `text` is an existing `merged_text` column.
+    """
+    text = col(text)
     url = F.lower(F.coalesce(source_url, F.lit("")))
-    lower = lambda words: [w.lower() for w in words]
+
+    def lower(words):
+        return [w.lower() for w in words]
+
     keep = ~has_any(text, lower(exclude))
     if signals:
         keep = keep & has_any(text, lower(signals))
@@ -229,10 +252,10 @@ def relevance_match(
     return keep
 
 
-def infer_content_type(feed: Column, media_type: Column, title: Column, overview: Column) -> Column:
-    text = F.concat_ws(" ", clean_lower(title), clean_lower(overview))
+def infer_content_type(feed: Column, media_type: Column, text: Column | str) -> Column:
+    """`text` is an existing `topic_text` column."""
     feed = F.lower(F.coalesce(feed, F.lit("")))
-    documentary = (clean_lower(media_type) == "documentary") | has_word(text, ["documentary"])
+    documentary = (clean_lower(media_type) == "documentary") | has_word(col(text), ["documentary"])
     return (
         F.when(documentary, "review")
         .when(feed == "trending", "trending")
@@ -243,15 +266,13 @@ def infer_content_type(feed: Column, media_type: Column, title: Column, overview
     )
 
 
-def content_bucket(
-    explicit: Column, feed: Column, media_type: Column, title: Column, overview: Column
-) -> Column:
+def content_bucket(explicit: Column, feed: Column, media_type: Column, text: Column | str) -> Column:
     """An allowed explicit value wins; otherwise inferred, `review` where the topic does not fit."""
     given = clean_text(explicit)
     return (
         F.when(given.isin(*vocab.CONTENT_TYPES), given)
-        .when(~topic_match(title, overview), "review")
-        .otherwise(infer_content_type(feed, media_type, title, overview))
+        .when(~topic_match(text), "review")
+        .otherwise(infer_content_type(feed, media_type, text))
     )
 
 
@@ -272,14 +293,18 @@ def quality_score(
     published_at: Column,
     article_url: Column,
     title: Column,
-    overview: Column,
+    merged: Column | str,
+    topic: Column | str,
     allow=vocab.TOPIC_ALLOW,
     deny=vocab.TOPIC_DENY,
     clickbait=vocab.CLICKBAIT,
     generic=vocab.GENERIC_TITLES,
     trusted=vocab.TRUSTED_DOMAIN_PARTS,
 ) -> Column:
-    """Points for a known outlet, picture, time, link and topic; deductions for poor titles."""
+    """Points for a known outlet, picture, time, link and topic; deductions for poor titles.
+
+    `merged` and `topic` are existing `merged_text` and `topic_text` columns.
+    """
 
     def points(condition: Column, n: int) -> Column:
         return F.when(condition, n).otherwise(0)
@@ -287,16 +312,14 @@ def quality_score(
     def present(c: Column) -> Column:
         return F.coalesce(c != "", F.lit(False))
 
-    title = F.coalesce(title, F.lit(""))
-    text = F.lower(F.concat_ws(" ", title, F.coalesce(overview, F.lit(""))))
-    trimmed = strip(title)
+    trimmed = strip(F.coalesce(title, F.lit("")))
     return (
         points(has_any(F.lower(F.coalesce(domain, F.lit(""))), trusted), 3)
         + points(present(poster), 2)
         + points(present(published_at), 2)
         + points(present(article_url), 2)
-        + points(topic_match(title, overview, allow, deny), 2)
-        - points(has_any(text, clickbait), 3)
+        + points(topic_match(topic, allow, deny), 2)
+        - points(has_any(col(merged), clickbait), 3)
         - points(F.lower(trimmed).isin(*generic), 3)
         - points(F.length(trimmed) < 8, 4)
     )

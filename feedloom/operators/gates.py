@@ -42,17 +42,16 @@ def topic_gate(
     items: DataFrame, allow=vocab.TOPIC_ALLOW, deny=vocab.TOPIC_DENY, feeds=FEEDS
 ) -> DataFrame:
     """Rows on topic; chart rows always pass."""
-    on_topic = text.topic_match(F.col("title"), F.col("overview"), allow, deny)
-    passes = F.when(is_chart(feeds), True).otherwise(on_topic) if "feed" in items.columns else on_topic
-    return keep(items, passes)
+    on_topic = text.topic_match("_text", allow, deny)
+    if "feed" in items.columns:
+        on_topic = is_chart(feeds) | on_topic
+    return keep(pin(items, _text=text.topic_text("title", "overview")), on_topic).drop("_text")
 
 
 def relevance_gate(entries: DataFrame, rules: dict) -> DataFrame:
     """Keep entries that match the word lists of a source (see `relevance_match`)."""
-    return keep(
-        entries,
-        text.relevance_match(F.col("title"), F.col("overview"), F.col("source_url"), **rules),
-    )
+    df = pin(entries, _text=text.merged_text("title", "overview"))
+    return keep(df, text.relevance_match("_text", F.col("source_url"), **rules)).drop("_text")
 
 
 def valid_page_gate(items: DataFrame, feeds=FEEDS) -> DataFrame:
@@ -65,18 +64,22 @@ def valid_page_gate(items: DataFrame, feeds=FEEDS) -> DataFrame:
 
 def with_quality(items: DataFrame, **lists) -> DataFrame:
     c = F.col
-    return pin(
+    df = pin(
         items,
-        quality=text.quality_score(
-            c("source_domain"),
-            c("poster_image_url"),
-            c("published_at").cast("string"),
-            c("article_url"),
-            c("title"),
-            c("overview"),
-            **lists,
-        ),
+        _merged=text.merged_text("title", "overview"),
+        _topic=text.topic_text("title", "overview"),
+    )
+    score = text.quality_score(
+        c("source_domain"),
+        c("poster_image_url"),
+        c("published_at").cast("string"),
+        c("article_url"),
+        c("title"),
+        "_merged",
+        "_topic",
+        **lists,
     )
+    return pin(df, quality=score).drop("_merged", "_topic")
 
 
 def quality_gate(

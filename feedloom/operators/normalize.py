@@ -46,17 +46,16 @@ def normalize_items(raw: DataFrame, run_at) -> DataFrame:
     df = pin(
         df,
         title=text.normalize_title("title"),
-        overview=text.clamp_summary("overview", vocab.NO_OVERVIEW),
+        overview=text.clean_text("overview", vocab.NO_OVERVIEW),
         type=text.normalize_type("type"),
         platform=text.normalize_platform("platform"),
     )
     df = df.withColumn("genres", text.normalize_genres(c("genres")))
+    df = pin(df, overview=text.clamp_summary("overview"))
+    df = pin(df, _topic=text.topic_text("title", "overview"))
     df = pin(
-        df,
-        content_type=text.content_bucket(
-            c("content_type"), c("feed"), c("type"), c("title"), c("overview")
-        ),
-    )
+        df, content_type=text.content_bucket(c("content_type"), c("feed"), c("type"), "_topic")
+    ).drop("_topic")
     df = df.withColumns({"scraped_at": run_at, "updated_at": run_at})
     drop = {"published_raw", "published_at_hint"}
     extra = [n for n in df.columns if n not in vocab.FEED_COLUMNS and n not in drop]

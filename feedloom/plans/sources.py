@@ -39,9 +39,7 @@ def syndication_items(
     row = ["feed", "source_ord", "entry_ord"]
     resolved = enrich.resolve_article_urls(entries, pages, row)
     read = syndication.entry_texts(resolved)
-    relevant = text.relevance_match(
-        F.col("title"), F.col("overview"), F.col("source_url"), **rules
-    )
+    relevant = text.relevance_match("merged", F.col("source_url"), **rules)
     taken = rank.cascade_with_budget(read, relevant, n, ["feed"], "source_ord", "entry_ord")
     return syndication.to_raw_items(taken, platform, default_type)
 

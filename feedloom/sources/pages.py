@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from feedloom import vocab
 from feedloom.functions import dates, html, images, text, urls
-from feedloom.functions.core import blank_to_null
+from feedloom.functions.core import blank_to_null, pin
+from feedloom.functions.core import keep as keep_rows
 
 
 def page_titles(pages: DataFrame) -> DataFrame:
@@ -111,11 +112,9 @@ def extract_rows(
     `row_pos` counts from 0 including skipped rows. Cells stay markup; `html.text_of` reads them.
     """
     body = F.regexp_extract("html", rf"(?is)<{container}\b[^>]*>(.*?)</{container}>", 1)
-    return (
-        pages.select(*keep, F.posexplode(html.all_elements(body, row)).alias("row_pos", "_row"))
-        .where(F.col("row_pos") >= skip)
-        .select(*keep, "row_pos", html.all_elements("_row", cell).alias("cells"))
-    )
+    rows = pages.select(*keep, F.posexplode(html.all_elements(body, row)).alias("row_pos", "_row"))
+    rows = rows.where(F.col("row_pos") >= skip)
+    return pin(rows, cells=html.all_elements("_row", cell)).drop("_row")
 
 
 def header_positions(header: Column, names: dict[str, str]) -> dict[str, Column]:
@@ -139,27 +138,28 @@ def chart_rows(pages: DataFrame, keep: list[str], run_date: Column, min_cells: i
         return F.coalesce(html.text_of(F.get("cells", F.lit(i))), F.lit(""))
 
     link = rf"""(?is)<a\b[^>]*href=["']([^"']*{vocab.CHART_LINK_PART}[^"']*)["'][^>]*>(.*?)</a>"""
-    rows = extract_rows(pages, keep, skip=1).where(F.size("cells") >= min_cells)
+    rows = keep_rows(extract_rows(pages, keep, skip=1), F.size("cells") >= min_cells)
     release = F.get("cells", F.lit(2))
-    rows = rows.withColumns(
-        {
-            "title": html.text_of(F.regexp_extract(release, link, 2)),
-            "_href": F.regexp_extract(release, link, 1),
-        }
-    ).where((c("_href") != "") & (F.length("title") >= 2))
+    rows = pin(
+        rows,
+        title=html.text_of(F.regexp_extract(release, link, 2)),
+        _href=F.regexp_extract(release, link, 1),
+    )
+    rows = rows.where((c("_href") != "") & (F.length("title") >= 2))
     page = F.when(c("_href").startswith("/"), F.concat(F.lit(vocab.CHART_HOST), c("_href"))).otherwise(
         c("_href")
     )
+    rows = pin(rows, _theaters=cell_text(6), _days=cell_text(9), distributor=cell_text(10))
     return rows.select(
         *keep,
         "row_pos",
         "title",
         F.regexp_replace(page, r"/*(?:\?.*)?$", "").alias("page_url"),
-        dates.release_from_days(run_date, cell_text(9)).alias("release_date"),
-        F.coalesce(F.replace(cell_text(6), F.lit(","), F.lit("")).try_cast("int"), F.lit(0)).alias(
+        dates.release_from_days(run_date, "_days").alias("release_date"),
+        F.coalesce(F.replace("_theaters", F.lit(","), F.lit("")).try_cast("int"), F.lit(0)).alias(
             "theaters"
         ),
-        cell_text(10).alias("distributor"),
+        "distributor",
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions import images, text
-from feedloom.functions.core import first_group
+from feedloom.functions.core import first_group, pin
 
 _LINKED = "struct<_VALUE:string,_url:string,_type:string,_rel:string,_href:string>"
 ITEM = (
@@ -116,10 +116,12 @@ def media_url(contents: Column, thumbnails: Column, enclosures: Column, summary:
 
 
 def entry_texts(entries: DataFrame) -> DataFrame:
-    """Overview and merged text of entries; the one Python step, for character references."""
-    return entries.withColumn("overview", text.sanitize_overview("summary")).withColumn(
-        "merged", F.concat_ws(" ", "title", "overview")
-    )
+    """Overview of entries and `merged`, their lower-case title and overview.
+
+    The one Python step, for character references.
+    """
+    read = entries.withColumn("overview", text.sanitize_overview("summary"))
+    return pin(read, merged=text.merged_text("title", "overview"))
 
 
 def to_raw_items(entries: DataFrame, platform: str, default_type: str) -> DataFrame:
