@@ -133,11 +133,13 @@ def quality_gate(t):
     FROM documents""",
 )
 def classify_type(t):
-    docs = pin(t.documents.select("doc_id", "lang", "text"), text=F.lower("text"))
+    docs = pin(
+        t.documents.select("doc_id", "lang", "text"), text=F.lower("text"), label=text.type_label("text")
+    )
     return docs.select(
         "doc_id",
         text.extract_type("text", F.col("lang")).alias("extracted"),
-        text.normalize_type("text").alias("normalized"),
+        text.normalize_type("label").alias("normalized"),
     )
 
 

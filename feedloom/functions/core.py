@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Character classes spelled out, so that the JVM regex engine agrees with Unicode text rules.
-SPACE = r"[\p{IsWhite_Space}\x1c-\x1f]"
+_WIDE = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = r"[\t-\r\x1c- " + _WIDE + "]"
+# Whitespace that is not already one plain space.
+LOOSE_SPACE = rf" {SPACE}+|[\t-\r\x1c-\x1f{_WIDE}]{SPACE}*"
 WORD = r"[\p{L}\p{N}_]"
 
 

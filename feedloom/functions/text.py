@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from feedloom import vocab
 from feedloom.functions.core import (
+    LOOSE_SPACE,
     SPACE,
     WORD,
     any_of,
@@ -24,7 +25,7 @@ from feedloom.functions.core import (
 
 def squeeze(c: Column | str) -> Column:
     """Runs of whitespace become one space; no leading or trailing space. NULL stays NULL."""
-    return F.trim(F.regexp_replace(col(c), SPACE + "+", " "))
+    return F.trim(F.regexp_replace(col(c), LOOSE_SPACE, " "))
 
 
 def strip(c: Column | str) -> Column:
@@ -77,8 +78,9 @@ def title_signature(c: Column | str) -> Column:
     return squeeze(text)
 
 
-def normalize_type(c: Column | str, fallback: str = "movie") -> Column:
-    text = F.lower(clean_text(c, fallback))
+def normalize_type(lowered: Column | str) -> Column:
+    """Media type of a clean lower-case label (see `type_label`)."""
+    text = col(lowered)
     return (
         F.when(text.contains("doc"), "documentary")
         .when(text.contains("anime"), "anime")
@@ -87,6 +89,10 @@ def normalize_type(c: Column | str, fallback: str = "movie") -> Column:
     )
 
 
+def type_label(c: Column | str, fallback: str = "movie") -> Column:
+    return F.lower(clean_text(c, fallback))
+
+
 def extract_type(lowered: Column | str, default: Column | str = "movie") -> Column:
     """Media type named in a lower-case text."""
     text = col(lowered)

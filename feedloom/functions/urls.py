@@ -46,10 +46,15 @@ def _clean_query(query: Column) -> Column:
     return F.regexp_replace(kept, "^&", "?")
 
 
-def canonical_url(c: Column | str) -> Column:
-    """https form without fragment and tracking; empty string if it is not an http(s) URL."""
+def url_head(c: Column | str) -> Column:
+    """Trimmed URL with a scheme and without fragment."""
     u = F.regexp_replace(strip(F.coalesce(col(c), F.lit(""))), "^//", "https://")
-    u = strip(F.regexp_replace(F.translate(u, "\t\r\n", ""), "(?s)#.*$", ""))
+    return strip(F.regexp_replace(F.translate(u, "\t\r\n", ""), "(?s)#.*$", ""))
+
+
+def canonical_of(head: Column | str) -> Column:
+    """Canonical form of an existing `url_head` column."""
+    u = col(head)
     path = F.regexp_replace(F.translate(F.regexp_extract(u, _PATH, 1), "\\", "/"), "/{2,}", "/")
     query = F.when(u.contains("?"), _clean_query(F.regexp_extract(u, _QUERY, 1))).otherwise("")
     return F.when(
@@ -63,9 +68,19 @@ def canonical_url(c: Column | str) -> Column:
     ).otherwise("")
 
 
+def canonical_url(c: Column | str) -> Column:
+    """https form without fragment and tracking; empty string if it is not an http(s) URL."""
+    return canonical_of(url_head(c))
+
+
 def unwrap_redirect(c: Column | str) -> Column:
     """Inner URL of a search or social redirect link (decoded twice), else the URL itself."""
-    u = strip(F.coalesce(col(c), F.lit("")))
+    return unwrapped(strip(F.coalesce(col(c), F.lit(""))))
+
+
+def unwrapped(trimmed: Column | str) -> Column:
+    """`unwrap_redirect` of an existing trimmed column."""
+    u = col(trimmed)
     netloc = F.lower(F.regexp_extract(u, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
     path = F.lower(F.regexp_extract(u, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)", 1))
     query = F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1)
@@ -160,8 +175,10 @@ def with_page(df: DataFrame, **urls: tuple[str, str]) -> DataFrame:
     one before it several times, so Catalyst keeps them apart and nothing is computed twice.
     """
     for source, (canon, _) in urls.items():
-        df = pin(df, **{canon: unwrap_redirect(source)})
-        df = pin(df, **{canon: canonical_url(canon)})
+        df = pin(df, **{canon: strip(F.coalesce(source, F.lit("")))})
+        df = pin(df, **{canon: unwrapped(canon)})
+        df = pin(df, **{canon: url_head(canon)})
+        df = pin(df, **{canon: canonical_of(canon)})
     heads, parts = {}, {}
     for source, (canon, _) in urls.items():
         heads |= {f"_h_{source}": host_of(canon), f"_p_{source}": page_path(canon)}
@@ -185,9 +202,8 @@ def publication_domain(c: Column | str) -> Column:
     return F.coalesce(apex, d)
 
 
-def url_signature(canon: Column | str) -> Column:
-    """Comparable form of a canonical URL: lower case, apex domain, sorted decoded query."""
-    u = F.regexp_replace(F.lower(col(canon)), "/+$", "")
+def _signature_of(lowered: Column) -> Column:
+    u = lowered
     query = F.regexp_extract(u, _QUERY, 1)
     marked = F.replace(query, F.lit("&"), F.lit("\u0001"))
     pairs = F.sort_array(F.split(_decode(marked), "\u0001"))
@@ -197,9 +213,21 @@ def url_signature(canon: Column | str) -> Column:
             F.lit("https://"),
             publication_domain(F.regexp_extract(u, _NETLOC, 1)),
             F.regexp_replace(F.regexp_extract(u, _PATH, 1), "/+$", ""),
-            F.when(query != "", F.concat(F.lit("?"), F.array_join(pairs, "&"))).otherwise(""),
+            F.when(u.contains("?"), F.concat(F.lit("?"), F.array_join(pairs, "&"))).otherwise(""),
         ),
-    ).otherwise("")
+    )
+
+
+def url_signature(canon: Column | str) -> Column:
+    """Comparable form of a canonical URL: lower case, apex domain, sorted decoded query."""
+    lowered = F.regexp_replace(F.lower(col(canon)), "/+$", "")
+    return F.coalesce(_signature_of(lowered), F.lit(""))
+
+
+def with_signature(df: DataFrame, **canon: Column) -> DataFrame:
+    """Add signatures of canonical URLs, in stages; NULL for NULL and empty ones."""
+    df = pin(df, **{out: F.regexp_replace(F.lower(c), "/+$", "") for out, c in canon.items()})
+    return pin(df, **{out: _signature_of(F.col(out)) for out in canon})
 
 
 def absolute_href(href: Column | str, base: Column | str) -> Column:

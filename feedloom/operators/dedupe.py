@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import text
 from feedloom.functions.core import blank_to_null, pin
-from feedloom.functions.urls import url_signature, with_page
+from feedloom.functions.urls import with_page, with_signature
 from feedloom.operators.gates import is_chart
 from feedloom.operators.keyed import first_by, lookup
 from feedloom.schema import FEEDS, ORDER
@@ -19,7 +19,7 @@ def with_dedupe_key(items: DataFrame) -> DataFrame:
     df = with_page(items, article_url=("_ac", "_aok"), source_url=("_sc", "_sok"))
     df = df.withColumn("_page", F.when(c("_aok"), c("_ac")).when(c("_sok"), c("_sc")))
     # One signature serves both forms: of the page, or else of the source.
-    df = pin(df, _sig=url_signature(F.coalesce("_page", "_sc")))
+    df = with_signature(df, _sig=F.coalesce("_page", "_sc"))
     df = pin(df, _title=text.title_signature("title"))
     plain = F.lower(
         F.regexp_replace(
@@ -30,7 +30,7 @@ def with_dedupe_key(items: DataFrame) -> DataFrame:
         "|",
         "_title",
         F.coalesce(c("year").cast("string"), F.lit("")),
-        text.normalize_type("type"),
+        text.normalize_type(text.type_label("type")),
         F.coalesce(blank_to_null(c("_sig")), plain),
     )
     key = F.when(c("_page").isNotNull(), F.concat(F.lit("url|"), "_sig")).otherwise(by_title)
@@ -91,13 +91,14 @@ def titles_across_platforms(items: DataFrame, platform: str = "platform") -> Dat
     """Page signature, else title signature, year and type; with the platforms that carry it."""
     c = F.col
     df = with_page(items, article_url=("_ac", "_aok"))
-    df = pin(pin(df, _sig=url_signature("_ac")), _title=text.title_signature("title"))
+    df = with_signature(df, _sig=c("_ac"))
+    df = pin(df, _title=text.title_signature("title"))
     key = F.when(c("_aok"), F.concat(F.lit("url|"), "_sig")).otherwise(
         F.concat_ws(
             "|",
             "_title",
             F.coalesce(c("year").cast("string"), F.lit("")),
-            text.normalize_type("type"),
+            text.normalize_type(text.type_label("type")),
         )
     )
     return (
@@ -125,9 +126,9 @@ def drop_seen_in_earlier_feeds(items: DataFrame, order: list, feeds=FEEDS) -> Da
     )
     df = with_page(items.withColumn("_rank", feed_rank), article_url=("_ac", "_aok"))
     checked = (F.col("_rank") >= 0) & F.col("_aok")
+    df = with_signature(df, _sig=F.when(checked, F.col("_ac")))
     df = df.withColumns(
         {
-            "_sig": F.when(checked, url_signature("_ac")),
             "_row_feed": F.when(~checked, F.col("feed")),
             **{f"_row_{i}": F.when(~checked, F.col(c)) for i, c in enumerate(order)},
         }
@@ -140,7 +141,7 @@ def drop_seen_in_earlier_feeds(items: DataFrame, order: list, feeds=FEEDS) -> Da
 def drop_seen_before(items: DataFrame, seen: DataFrame, spread_by: list) -> DataFrame:
     """Incremental form: drop rows whose page signature is in a table of signatures seen earlier."""
     df = with_page(items, article_url=("_ac", "_aok"))
-    df = df.withColumn("signature", F.when(F.col("_aok"), blank_to_null(url_signature("_ac"))))
+    df = with_signature(df, signature=F.when(F.col("_aok"), F.col("_ac")))
     known = seen.select("signature").distinct().withColumn("_known", F.lit(True))
     return (
         lookup(df, known, ["signature"], spread_by)

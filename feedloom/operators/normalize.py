@@ -47,11 +47,11 @@ def normalize_items(raw: DataFrame, run_at) -> DataFrame:
         df,
         title=text.normalize_title("title"),
         overview=text.clean_text("overview", vocab.NO_OVERVIEW),
-        type=text.normalize_type("type"),
+        type=text.type_label("type"),
         platform=text.normalize_platform("platform"),
     )
     df = df.withColumn("genres", text.normalize_genres(c("genres")))
-    df = pin(df, overview=text.clamp_summary("overview"))
+    df = pin(df, overview=text.clamp_summary("overview"), type=text.normalize_type("type"))
     df = pin(df, _topic=text.topic_text("title", "overview"))
     df = pin(
         df, content_type=text.content_bucket(c("content_type"), c("feed"), c("type"), "_topic")

@@ -30,6 +30,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         SparkSession.builder.master(f"local[{cores}]")
         .appName("feedloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feedloom.functions.core import blank_to_null
-from feedloom.functions.urls import url_signature, with_page
+from feedloom.functions.urls import with_page, with_signature
 from feedloom.operators import dedupe, rank
 from feedloom.operators.fingerprint import feed_fingerprint
 from feedloom.operators.keyed import first_by, ranked_by
@@ -20,11 +19,10 @@ from feedloom.sources import published
 RUN_EVERY = "6 hours"
 
 
-def with_signature(items: DataFrame) -> DataFrame:
+def with_page_signature(items: DataFrame) -> DataFrame:
+    """Add `signature`, the key of `stream_first_arrivals` for articles; NULL without a page."""
     df = with_page(items, article_url=("_ac", "_aok"))
-    return df.withColumn("signature", F.when(F.col("_aok"), blank_to_null(url_signature("_ac")))).drop(
-        "_ac", "_aok"
-    )
+    return with_signature(df, signature=F.when(F.col("_aok"), F.col("_ac"))).drop("_ac", "_aok")
 
 
 def stream_first_arrivals(stream: DataFrame, time: str, keys: list[str], horizon: str) -> DataFrame:
