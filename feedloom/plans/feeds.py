@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feedloom.operators import combine, dedupe, enrich, gates, normalize, rank
 from feedloom.operators.fingerprint import feed_fingerprint
 from feedloom.schema import FEEDS, ORDER, RAW_ITEM, conform, feed_registry
+from feedloom.session import settle
 from feedloom.sources import published
 
 ROW_ID = ["feed", *ORDER]
@@ -38,9 +39,10 @@ def _enriched(items: DataFrame, lookups: Lookups, feeds) -> DataFrame:
     chart = gates.is_chart(feeds)
     charts = items.where(chart)
     articles = items.where(~chart)
-    articles = enrich.validate_images(articles, lookups.header_checks, ROW_ID)
+    articles = settle(enrich.validate_images(articles, lookups.header_checks, ROW_ID), "checked")
     articles = enrich.enrich_from_pages(articles, lookups.pages, lookups.header_checks, ROW_ID)
-    return enrich.lookup_progressive(articles.unionByName(charts), lookups.catalog, ROW_ID)
+    pictured = settle(articles.unionByName(charts), "pictured")
+    return enrich.lookup_progressive(pictured, lookups.catalog, ROW_ID)
 
 
 def process_items(
@@ -48,7 +50,8 @@ def process_items(
 ) -> DataFrame:
     """Cap, normalise, gate, enrich, de-duplicate, order and cap.
 
-    Without `lookups` the enrichment steps are left out, as for fallback rows.
+    Without `lookups` the enrichment steps are left out, as for fallback rows. Every lookup
+    reads its rows more than once, so the rows are written out before each of them.
     """
     items = rank.cap_raw(raw)
     items = normalize.normalize_items(items, run_at)
@@ -56,13 +59,13 @@ def process_items(
     items = gates.topic_gate(items, feeds=feeds)
     items = gates.clean_image_columns(items)
     if lookups is not None:
-        items = _enriched(items, lookups, feeds)
+        items = _enriched(settle(items, "gated"), lookups, feeds)
     items = normalize.finalize_links(items)
     items = gates.valid_page_gate(items, feeds)
     items = gates.quality_gate(items, feeds=feeds)
     items, _ = gates.schema_gate(items)
     items = dedupe.dedupe_feeds(items, feeds)
-    return rank.final_order_cap(items, feeds=feeds)
+    return settle(rank.final_order_cap(items, feeds=feeds), "processed")
 
 
 def _placed(items: DataFrame, source_ord: int) -> DataFrame:
@@ -91,7 +94,7 @@ def build_feeds(
     covered = combine.fallback_for(registry, fallback.rows, fallback.default)
     spare = _placed(process_items(conform(covered, RAW_ITEM), run_at, None, feeds), 1)
     # Every feed has its spare rows now, so no default is needed below.
-    filled = combine.fill_empty_feeds(items, registry, spare, {})
+    filled = settle(combine.fill_empty_feeds(items, registry, spare, {}), "filled")
 
     def finish(rows: DataFrame) -> DataFrame:
         return rank.final_order_cap(dedupe.dedupe_feeds(rows.drop("feed_pos"), feeds), feeds=feeds)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
@@ -56,6 +56,17 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), "feedloom", f"{label}-{uuid.uuid4().hex}")
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder and go on from there.
+
+    Cuts the lineage between steps that use their input several times; a lost executor
+    reads the written table again instead of repeating everything before it.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     """Whether a path on the cluster's file system is a folder."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from feedloom.operators import combine
 from feedloom.plans import feeds as job
 from feedloom.plans import sources as source_jobs
 from feedloom.schema import RAW_ITEM, conform
@@ -88,7 +87,7 @@ def test_enrichment(run):
     assert by_title["It"]["poster_image_url"] == "https://image.tmdb.org/t/p/w500/it.jpg"
     fine = by_title["Another fine film"]
     assert (fine["release_date"], fine["published_at"]) == ("2024-05-03", "2024-05-03T00:00:00Z")
-    assert (fine["source_name"], fine["content_type"]) == ("O", "trending") or fine["source_name"] == "Example" or fine["source_domain"] == "o.example"
+    assert (fine["source_name"], fine["source_domain"], fine["content_type"]) == ("Example", "o.example", "trending")
 
 
 def test_publishing(spark, run):
@@ -128,7 +127,6 @@ def test_gather_isolates_failures(spark):
 
     got = source_jobs.gather(spark, {"bad": bad, "good": good}, {})
     assert got.select("source", "source_ord").collect() == [("good", 1)]
-    assert combine.feed_counts
 
 
 def plan(spark, name):
