@@ -174,11 +174,10 @@ def with_page(df: DataFrame, **urls: tuple[str, str]) -> DataFrame:
     `with_page(df, article_url=("article_canon", "article_ok"))`. Every stage refers to the
     one before it several times, so Catalyst keeps them apart and nothing is computed twice.
     """
-    for source, (canon, _) in urls.items():
-        df = pin(df, **{canon: strip(F.coalesce(source, F.lit("")))})
-        df = pin(df, **{canon: unwrapped(canon)})
-        df = pin(df, **{canon: url_head(canon)})
-        df = pin(df, **{canon: canonical_of(canon)})
+    canons = {canon: source for source, (canon, _) in urls.items()}
+    df = pin(df, **{n: strip(F.coalesce(source, F.lit(""))) for n, source in canons.items()})
+    for step in (unwrapped, url_head, canonical_of):
+        df = pin(df, **{n: step(n) for n in canons})
     heads, parts = {}, {}
     for source, (canon, _) in urls.items():
         heads |= {f"_h_{source}": host_of(canon), f"_p_{source}": page_path(canon)}
