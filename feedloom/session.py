@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -16,6 +17,9 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+#: Folders of single-process sessions, by application.
+_OWN: dict[str, str] = {}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Set the runtime options on a running session."""
@@ -43,14 +47,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: `spark.checkpoint.dir`, else (tests only) a new local one."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or spark.conf.get(
-        "spark.checkpoint.dir", ""
-    )
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="feedloom-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    """The folder that the driver and all executors see: `spark.checkpoint.dir`.
+
+    Only a single-process session (tests, the benchmark) may leave it unset; it then gets one
+    folder below the machine's temporary folder. On a cluster an unset folder is an error.
+    """
+    context = spark.sparkContext
+    configured = context.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
+    if configured:
+        return configured
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _OWN:
+        _OWN[context.applicationId] = tempfile.mkdtemp(prefix="feedloom-")
+    return _OWN[context.applicationId]
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
