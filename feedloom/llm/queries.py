@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import lexicon, line_rules, near_join, sentence_spans, tiling, token_orc
+from feedloom.llm import html_blocks, lexicon, line_rules, near_join, sentence_spans, tiling, token_orc, warc
 from feedloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,16 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_warc_chain")
+def warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"), revisit_bytes=0)
+
+
+@query("op2_html_blocks")
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op4_sentence_spans")
 def repeated_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

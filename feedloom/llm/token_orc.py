@@ -138,17 +138,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
 
 
 def read_tokens(spark, path: str) -> DataFrame:
-    """Rows (doc_id, ids, start): `start` is the number of ids of all documents before, in file order."""
+    """Rows (file, doc_id, row, token_offset, ids) as they stand in the files."""
     rows = spark.read.schema("doc_id long, row long, token_offset long, ids array<int>").orc(path)
-    rows = rows.withColumn("_file", F.col("_metadata.file_name"))
-    # One row per file: a running sum over the files, not over the documents.
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (
-        rows.groupBy("_file")
-        .agg(F.sum(F.size("ids")).alias("_ids"))
-        .select("_file", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_base"))
-    )
-    return rows.join(bases, "_file").select("doc_id", "ids", (F.col("_base") + F.col("token_offset")).alias("start"))
+    return rows.select(F.col("_metadata.file_name").alias("file"), "doc_id", "row", "token_offset", "ids")
 
 
 def find_documents(spark, path: str, doc_ids: list[int]) -> DataFrame:
@@ -158,20 +150,31 @@ def find_documents(spark, path: str, doc_ids: list[int]) -> DataFrame:
 
 
 def token_digests(rows: DataFrame) -> DataFrame:
-    """Per document of `read_tokens`: (doc_id, start, n_tokens, ids_crc32)."""
+    """Per document of `read_tokens`: (doc_id, start, n_tokens, ids_crc32).
+
+    `start` is the number of ids of all documents before it, in the order of the files.
+    """
 
     def digest(batch):
         ids = batch.column("ids")
         ends = ids.offsets.to_numpy()
         data = memoryview(np.ascontiguousarray(ids.values.to_numpy(), np.int32)).cast("B")
-        yield {
-            "doc_id": batch.column("doc_id"),
-            "start": batch.column("start"),
+        yield {c: batch.column(c) for c in ("file", "doc_id", "token_offset")} | {
             "n_tokens": np.diff(ends),
             "ids_crc32": [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends[:-1], ends[1:])],
         }
 
-    return mapped(rows, digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    schema = "file string, doc_id long, token_offset long, n_tokens long, ids_crc32 long"
+    digests = mapped(rows.drop("row"), digest, schema)
+    # One row per file: a running sum over the files, not over the documents.
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (
+        rows.groupBy("file")
+        .agg(F.sum(F.size("ids")).alias("_ids"))
+        .select("file", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_base"))
+    )
+    start = (F.col("_base") + F.col("token_offset")).alias("start")
+    return digests.join(bases, "file").select("doc_id", start, "n_tokens", "ids_crc32")
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int | None = None) -> DataFrame:
