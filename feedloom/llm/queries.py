@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import html_blocks, lexicon, line_rules, near_join, sentence_spans, tiling, token_orc, warc
+from feedloom.llm import fm_quality, html_blocks, lexicon, line_rules, lm_score, near_join, sentence_spans, tiling, token_orc, warc
 from feedloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,12 +34,23 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op3_cross_entropy")
+def language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_score.cross_entropy(table(spark, sf_dir, "documents"), good)
+
+
 @query("op4_sentence_spans")
 def repeated_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentence_spans.drop_repeats(docs).select("doc_id", "text", "n_removed", "removed")
 
 
+@query("op5_factorisation_machine")
+def document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op6_line_rules")
 def quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
