@@ -24,6 +24,9 @@ STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
 BLOOM_FPP = 0.01
 
+#: Chunks whose ids a worker keeps.
+KNOWN_CHUNKS = 1_000_000
+
 _GAP = re.compile(r"\s\s")
 _CHUNK = re.compile(r"\s*\S+|\s+")
 _SEPARATE = re.compile(r"\A\S|\s\Z|<\|")
@@ -73,7 +76,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as 32-bit integers."""
-        self.known.trim()
+        if len(self.known) > KNOWN_CHUNKS:
+            self.known.clear()
         lists = [self.chunks(t) for t in texts]
         new = set().union(*lists).difference(self.known)
         self.learn([c for c in new if not _SEPARATE.search(c)])
