@@ -147,7 +147,8 @@ def verified(candidates: DataFrame, docs: DataFrame, n: int, similarity: float)
             "grams": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
         }
 
-    texts = keyed(docs).select("_key", "text").join(placed, "_key").drop("_key", "n_grams")
+    # The same join at every size: the candidates grow with the corpus and are never broadcast.
+    texts = keyed(docs).select("_key", "text").join(placed.hint("merge"), "_key").drop("_key", "n_grams")
     with_sets = mapped(
         texts, collect, "node long, root long, copies long, block long, blocks long, grams array<long>", rows=128
     ).dropDuplicates(["node"])
