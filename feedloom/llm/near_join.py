@@ -232,4 +232,4 @@ def keep_one(docs: DataFrame, n: int = WORDS, similarity: float = SIMILARITY) ->
     """
     kept = near_classes(docs, n, similarity).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("_key").distinct()
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    return docs.withColumn("_key", key).join(kept, "_key", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.withColumn("_key", key).join(kept.hint("merge"), "_key", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -120,9 +120,10 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
         .groupBy("_key")
         .agg(F.collect_set("span").alias("_spans"))
     )
+    # The same join at every size: what repeats grows with the corpus and is never broadcast.
     names = [c for c in docs.columns if c not in ("n_removed", "removed", "_spans", "_key")]
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    joined = docs.select(*(F.col(f"`{c}`") for c in names), key.alias("_key")).join(again, "_key", "left").drop("_key")
+    joined = docs.select(*(F.col(f"`{c}`") for c in names), key.alias("_key")).join(again.hint("merge"), "_key", "left").drop("_key")
 
     def clean(batch):
         WORD_HASH.trim()
