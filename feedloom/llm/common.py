@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from feedloom.session import tune, work_dir
 
 #: Entries that a worker's memo tables may hold before they are emptied.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 200_000
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -58,22 +59,29 @@ def strings(batch: pa.RecordBatch, name: str) -> list[str]:
 
 
 class Memo(dict):
-    """A function's results by argument, kept for the life of a worker; `trim` bounds it."""
+    """A function's results by argument, kept for the life of a worker.
 
-    def __init__(self, fn: Callable):
+    `trim` bounds it and empties the memos of other operators that ran in the same worker before.
+    """
+
+    live: weakref.WeakValueDictionary = weakref.WeakValueDictionary()
+
+    def __init__(self, fn: Callable, group: str):
         super().__init__()
-        self.fn = fn
+        self.fn, self.group = fn, group
+        Memo.live[id(self)] = self
 
     def __missing__(self, key):
         value = self[key] = self.fn(key)
         return value
 
-    def trim(self) -> None:
-        if len(self) > MEMO_ENTRIES:
-            self.clear()
+    def trim(self, entries: int = MEMO_ENTRIES) -> None:
+        for memo in list(Memo.live.values()):
+            if memo.group != self.group or (memo is self and len(self) > entries):
+                memo.clear()
 
 
-WORD_HASH = Memo(xxhash.xxh3_64_intdigest)
+WORD_HASH = Memo(xxhash.xxh3_64_intdigest, "words")
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

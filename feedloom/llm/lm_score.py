@@ -69,7 +69,7 @@ class Words(Memo):
     """Vocabulary entry of any word."""
 
     def __init__(self, known: dict[str, int]):
-        super().__init__(lambda w: known[w] if w in known else shape(w))
+        super().__init__(lambda w: known[w] if w in known else shape(w), "language models")
 
 
 def pair_counts(docs: DataFrame, known, size: int) -> DataFrame:

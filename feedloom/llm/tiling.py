@@ -30,7 +30,7 @@ def _plain_hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(core.encode("utf-8", "surrogatepass")) | 1 if core else 0
 
 
-PLAIN_HASH = Memo(_plain_hash)
+PLAIN_HASH = Memo(_plain_hash, "tiling")
 
 
 def tokens(text: str) -> np.ndarray:

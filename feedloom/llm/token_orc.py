@@ -50,7 +50,7 @@ class Encoder:
         self.length = np.zeros(max(tokens.values()) + 1, np.int64)
         for token, at in tokens.items():
             self.length[at] = len(token)
-        self.known = Memo(self.single)
+        self.known = Memo(self.single, "chunks")
 
     def single(self, chunk: str) -> bytes:
         ids = self.library.encode_batch_fast([chunk], add_special_tokens=False)[0].ids
@@ -76,8 +76,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as 32-bit integers."""
-        if len(self.known) > KNOWN_CHUNKS:
-            self.known.clear()
+        self.known.trim(KNOWN_CHUNKS)
         lists = [self.chunks(t) for t in texts]
         new = set().union(*lists).difference(self.known)
         self.learn([c for c in new if not _SEPARATE.search(c)])
