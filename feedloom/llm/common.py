@@ -15,6 +15,8 @@ from feedloom.session import tune, work_dir
 
 #: Entries that a worker's memo tables may hold before they are emptied.
 MEMO_ENTRIES = 200_000
+#: Rows of a batch between Spark and Python; long texts make rows large.
+BATCH_ROWS = 1_024
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -25,6 +27,7 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,6 +41,7 @@ def mapped(
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     kind = StructType.fromDDL(schema)
     arrow = to_arrow_schema(kind)
 
@@ -65,6 +69,8 @@ class Memo(dict):
     """
 
     live: weakref.WeakValueDictionary = weakref.WeakValueDictionary()
+    #: What else an operator keeps in a worker, by group: functions that let it go.
+    kept: dict[str, list[Callable]] = {}
 
     def __init__(self, fn: Callable, group: str):
         super().__init__()
@@ -79,6 +85,11 @@ class Memo(dict):
         for memo in list(Memo.live.values()):
             if memo.group != self.group or (memo is self and len(self) > entries):
                 memo.clear()
+        for group, forget in Memo.kept.items():
+            if group != self.group:
+                for f in forget:
+                    f()
+        pa.default_memory_pool().release_unused()
 
 
 WORD_HASH = Memo(xxhash.xxh3_64_intdigest, "words")

@@ -88,6 +88,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+Memo.kept["chunks"] = [encoder.cache_clear]
+
+
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
     """Rows (doc_id, row, token_offset, ids) in ascending order of `doc_id` over the partitions.
 
