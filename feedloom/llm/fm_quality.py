@@ -19,10 +19,10 @@ from feedloom.llm.common import WORD_HASH, gram_hashes, mapped, strings, word_ha
 
 #: Labelled documents used for fitting at most, in order of a hash of doc_id; the others are not needed.
 SAMPLE = 6_000
-#: Buckets of hashed words, factors, passes, documents per step, step size, penalty.
+#: Buckets of hashed words, factors, steps, documents per step, step size, penalty.
 BUCKETS = 1 << 15
 FACTORS = 8
-PASSES = 12
+STEPS = 1_200
 BATCH = 64
 STEP = 0.05
 PENALTY = 1e-5
@@ -108,9 +108,11 @@ def fit(parts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: in
     share = min(max(float(labels.mean()), 0.01), 0.99) if len(labels) else 0.5
     model.bias = float(np.log(share / (1 - share)))
     seen_w, seen_v = np.full(WIDTH, 1e-6), np.full((WIDTH, FACTORS), 1e-6)
-    for _ in range(PASSES if len(labels) else 0):
+    left = STEPS if len(labels) else 0
+    while left:
         order = rng.permutation(len(labels))
-        for some in np.array_split(order, max(1, len(order) // BATCH)):
+        for some in np.array_split(order, max(1, len(order) // BATCH))[:left]:
+            left -= 1
             index, value, rows = joined([parts[k] for k in some])
             raw, sums = model.raw(index, value, rows, len(some))
             error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[some]) / len(some)

@@ -148,6 +148,8 @@ LABELLED = np.array(
         (40, 0.0, 35, 0.0, 50, 0.0, 0, 0, 1), (22, 0.0, 6, 0.0, 48, 0.0, 0, 0, 1), (95, 0.05, 22, 0.0, 80, 0.0, 0, 0, 1),
         (16, 0.1, 60, 0.0, 55, 0.0, 0, 0, 1), (8, 0.0, 62, 0.0, 47, 0.0, 0, 0, 1), (5, 0.0, 0, 0.0, 66, 0.0, 0, 0, 1),
         (3, 0.0, 72, 0.0, 39, 0.0, 0, 0, 1), (6, 0.0, 44, 0.0, 58, 0.0, 0, 0, 1), (28, 0.3, 38, 0.0, 41, 0.0, 0, 0, 1),
+        (60, 0.0, 50, 0.0, 0, 0.0, 0, 0, 1), (41, 0.05, 70, 0.0, 5, 0.0, 0, 0, 1), (90, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1),
+        (33, 0.0, 6, 0.0, 8, 0.0, 0, 0, 1), (26, 0.1, 80, 0.0, 3, 0.5, 0, 0, 1), (150, 0.0, 45, 0.0, 2, 1.0, 0, 0, 1),
         (3, 1.0, 2, 1.0, 4, 1.0, 0, 0, 0), (2, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0), (7, 0.9, 5, 1.0, 30, 0.0, 0, 0, 0),
         (14, 0.8, 3, 1.0, 6, 0.7, 0, 0, 0), (4, 0.0, 3, 1.0, 5, 0.0, 0, 0, 0), (6, 0.0, 5, 0.0, 3, 0.0, 0, 0, 0),
         (9, 0.2, 4, 0.0, 0, 0.0, 0, 0, 0), (2, 0.0, 8, 0.5, 2, 1.0, 0, 0, 0), (11, 0.6, 7, 0.0, 8, 0.4, 0, 0, 0),

@@ -230,6 +230,7 @@ def keep_one(docs: DataFrame, n: int = WORDS, similarity: float = SIMILARITY) ->
     Texts without words are no copies of each other and all stay. A row without doc_id stays, if nothing in its
     class has one. Rows that share a doc_id stand or fall together.
     """
-    kept = near_classes(docs, n, similarity).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("_key").distinct()
+    kept = near_classes(docs, n, similarity).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    kept = kept.select(F.col("_key").alias("__key")).distinct()
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    return docs.withColumn("_key", key).join(kept.hint("merge"), "_key", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.withColumn("__key", key).join(kept.hint("merge"), "__key", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

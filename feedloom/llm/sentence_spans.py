@@ -117,20 +117,20 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     again = (
         spans.join(repeated.select("span", "first"), "span")
         .where("_key <> first")
-        .groupBy("_key")
-        .agg(F.collect_set("span").alias("_spans"))
+        .groupBy(F.col("_key").alias("__key"))
+        .agg(F.collect_set("span").alias("__spans"))
     )
     # The same join at every size: what repeats grows with the corpus and is never broadcast.
-    names = [c for c in docs.columns if c not in ("n_removed", "removed", "_spans", "_key")]
+    names = [c for c in docs.columns if c not in ("n_removed", "removed")]
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    joined = docs.select(*(F.col(f"`{c}`") for c in names), key.alias("_key")).join(again.hint("merge"), "_key", "left").drop("_key")
+    joined = docs.select(*(F.col(f"`{c}`") for c in names), key.alias("__key")).join(again.hint("merge"), "__key", "left").drop("__key")
 
     def clean(batch):
         WORD_HASH.trim()
         texts = batch.column("text").to_pylist()
         results = [
             (None, 0, []) if t is None else without_repeats(t, set(s or ()))
-            for t, s in zip(texts, batch.column("_spans").to_pylist())
+            for t, s in zip(texts, batch.column("__spans").to_pylist())
         ]
         yield {c: batch.column(c) for c in names} | {
             "text": [r[0] for r in results],
@@ -144,5 +144,5 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """`docs` with repeats removed and `n_chars` counted anew; texts of which nothing is left go."""
-    out = drop_repeats(docs).where("n_removed = 0 or trim(text) <> ''").select(*docs.columns)
+    out = drop_repeats(docs).where("n_removed = 0 or trim(text) <> ''").select(*(F.col(f"`{c}`") for c in docs.columns))
     return changed(out, n_chars=F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -144,8 +144,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
 def keep_clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The rows of `docs` whose doc_id holds no benchmark item, with all their columns."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    keyed = docs.withColumn("_key", key)
-    found = leaks(keyed.select(F.col("_key").alias("doc_id"), "text"), benchmark, coverage)
-    return keyed.join(found.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(
+    keyed = docs.withColumn("__key", key)
+    found = leaks(keyed.select(F.col("__key").alias("doc_id"), "text"), benchmark, coverage)
+    return keyed.join(found.select(F.col("doc_id").alias("__key")).distinct(), "__key", "left_anti").select(
         *(F.col(f"`{c}`") for c in docs.columns)
     )
