@@ -150,6 +150,14 @@ LABELLED = np.array(
         (3, 0.0, 72, 0.0, 39, 0.0, 0, 0, 1), (6, 0.0, 44, 0.0, 58, 0.0, 0, 0, 1), (28, 0.3, 38, 0.0, 41, 0.0, 0, 0, 1),
         (60, 0.0, 50, 0.0, 0, 0.0, 0, 0, 1), (41, 0.05, 70, 0.0, 5, 0.0, 0, 0, 1), (90, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1),
         (33, 0.0, 6, 0.0, 8, 0.0, 0, 0, 1), (26, 0.1, 80, 0.0, 3, 0.5, 0, 0, 1), (150, 0.0, 45, 0.0, 2, 1.0, 0, 0, 1),
+        (12, 0.0, 0, 0.0, 30, 0.0, 1, 0, 1), (4, 0.0, 0, 0.0, 3, 0.0, 1, 0, 1), (2, 0.0, 2, 1.0, 7, 0.2, 1, 0, 1),
+        (5, 0.0, 6, 0.0, 1, 0.0, 1, 0, 1), (1, 0.0, 1, 0.0, 1, 0.0, 1, 0, 1), (1, 0.0, 1, 0.0, 0, 0.0, 1, 0, 1),
+        (30, 0.0, 4, 0.0, 4, 0.0, 0, 0, 1), (48, 0.0, 3, 1.0, 0, 0.0, 0, 0, 1), (75, 0.1, 5, 0.0, 9, 0.0, 0, 0, 1),
+        (55, 0.2, 2, 1.0, 2, 1.0, 0, 0, 1), (22, 0.0, 30, 0.0, 0, 0.0, 0, 0, 1), (110, 0.0, 4, 1.0, 100, 0.0, 0, 0, 1),
+        (5, 0.0, 4, 0.6, 44, 0.0, 0, 0, 1), (4, 0.0, 2, 1.0, 40, 0.0, 0, 0, 1), (7, 0.0, 0, 0.0, 52, 0.0, 0, 0, 1),
+        (9, 0.9, 50, 0.0, 40, 0.0, 0, 0, 0), (5, 1.0, 45, 0.0, 3, 1.0, 0, 0, 0), (24, 0.8, 4, 1.0, 50, 0.0, 0, 0, 0),
+        (3, 0.0, 0, 0.0, 4, 0.0, 0, 0, 0), (4, 0.0, 4, 0.0, 0, 0.0, 0, 0, 0), (2, 0.0, 70, 0.0, 0, 0.0, 0, 0, 0),
+        (6, 0.0, 90, 0.0, 3, 0.0, 0, 0, 0), (8, 0.0, 60, 0.0, 2, 0.0, 0, 0, 0), (10, 0.2, 40, 0.0, 0, 0.0, 0, 0, 0),
         (3, 1.0, 2, 1.0, 4, 1.0, 0, 0, 0), (2, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0), (7, 0.9, 5, 1.0, 30, 0.0, 0, 0, 0),
         (14, 0.8, 3, 1.0, 6, 0.7, 0, 0, 0), (4, 0.0, 3, 1.0, 5, 0.0, 0, 0, 0), (6, 0.0, 5, 0.0, 3, 0.0, 0, 0, 0),
         (9, 0.2, 4, 0.0, 0, 0.0, 0, 0, 0), (2, 0.0, 8, 0.5, 2, 1.0, 0, 0, 0), (11, 0.6, 7, 0.0, 8, 0.4, 0, 0, 0),
@@ -159,7 +167,7 @@ LABELLED = np.array(
 )
 
 
-def grow(rows: np.ndarray, depth: int = 6) -> tuple | float:
+def grow(rows: np.ndarray, depth: int = 8, leaf: int = 2) -> tuple | float:
     """A decision tree by the Gini index: (column, threshold, tree at most, tree above), or the share of main text."""
     label = rows[:, -1]
     share = float(label.mean())
@@ -170,13 +178,15 @@ def grow(rows: np.ndarray, depth: int = 6) -> tuple | float:
         values = np.unique(rows[:, column])
         for cut in (values[:-1] + values[1:]) / 2:
             left = rows[:, column] <= cut
+            if min(left.sum(), (~left).sum()) < leaf:
+                continue
             impurity = sum(m.sum() * (p := label[m].mean()) * (1 - p) for m in (left, ~left))
             if best is None or impurity < best[0] - 1e-12:
                 best = impurity, column, float(cut)
     if best is None:
         return share
     left = rows[:, best[1]] <= best[2]
-    return best[1], best[2], grow(rows[left], depth - 1), grow(rows[~left], depth - 1)
+    return best[1], best[2], grow(rows[left], depth - 1, leaf), grow(rows[~left], depth - 1, leaf)
 
 
 def verdict(tree: tuple | float, row: tuple) -> float:
