@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,14 +12,32 @@ from feedloom import vocab
 from feedloom.functions.core import col, first_group
 from feedloom.functions.text import squeeze, strip
 
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "))
+# Named references that end in a semicolon, from Python's table of the markup standard.
+_NAMED = {name[:-1]: char for name, char in html5.items() if name.endswith(";")} | {"nbsp": " "}
+_REFERENCE = r"^&(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _reference(piece: Column, names: Column) -> Column:
+    """A piece that starts with a reference, decoded; any other piece as it is."""
+    found = F.regexp_extract(piece, _REFERENCE, 1)
+    number = (
+        F.when(found.rlike("^#[xX]"), F.conv(F.substring(found, 3, 8), 16, 10))
+        .when(found.startswith("#"), F.substring(found, 2, 8))
+        .cast("int")
+    )
+    valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number < 0x110000))
+    char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+    char = F.coalesce(F.when(number == 160, " ").otherwise(char), F.try_element_at(names, found))
+    return F.when(found == "", piece).otherwise(
+        F.coalesce(F.concat(char, F.regexp_replace(piece, _REFERENCE, "")), piece)
+    )
 
 
-def decode_basic(c: Column) -> Column:
-    """The markup entities; `&amp;` last so that nothing is decoded twice."""
-    for entity, char in _ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+def decode_references(c: Column) -> Column:
+    """Numeric and named character references; what they stand for is not decoded again."""
+    names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+    pieces = F.transform(F.split(c, "(?=&)"), lambda p: _reference(p, names))
+    return F.when(c.contains("&"), F.array_join(pieces, "")).otherwise(c)
 
 
 def tag_text(html: Column | str, tag: str) -> Column:
@@ -26,7 +47,7 @@ def tag_text(html: Column | str, tag: str) -> Column:
 
 
 def text_of(fragment: Column) -> Column:
-    return squeeze(decode_basic(F.regexp_replace(fragment, "<[^>]+>", " ")))
+    return squeeze(decode_references(F.regexp_replace(fragment, "<[^>]+>", " ")))
 
 
 def attribute(html: Column | str, tag: str, name: str) -> Column:

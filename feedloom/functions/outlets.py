@@ -59,7 +59,3 @@ def source_name(domain: Column | str) -> Column:
         .when(core == "", d)
         .otherwise(F.coalesce(label, _humanize(token)))
     )
-
-
-def name_or_unknown(name: Column) -> Column:
-    return F.coalesce(blank_to_null(name), F.lit("Unknown"))

@@ -4,22 +4,26 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.keyed import first_by, lookup, ranked_by
+from feedloom.schema import RAW_ITEM
 
 
 def union_sources(frames: dict[str, DataFrame | None]) -> DataFrame:
     """All sources of a feed in priority order, tagged with `source` and `source_ord`.
 
-    A source that failed (None) contributes nothing; missing columns become NULL.
+    A source that failed (None) contributes nothing; missing columns become NULL. If all
+    failed, the result is an empty table of raw records.
     """
     tagged = [
         df.withColumns({"source": F.lit(name), "source_ord": F.lit(i)})
         for i, (name, df) in enumerate(frames.items())
         if df is not None
     ]
+    if not tagged:
+        return SparkSession.active().createDataFrame([], RAW_ITEM)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 

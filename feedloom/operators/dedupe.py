@@ -57,12 +57,16 @@ def dedupe_charts(items: DataFrame, by=("feed",), order=ORDER) -> DataFrame:
     return first_by(keyed, [*by, "_key"], list(order)).drop("_key")
 
 
-def dedupe_feeds(items: DataFrame, feeds=FEEDS, order=ORDER) -> DataFrame:
-    """Both rules in one shuffle: each row carries the key of its kind of feed."""
-    keyed = with_dedupe_key(items).withColumn(
+def with_feed_key(items: DataFrame, feeds=FEEDS) -> DataFrame:
+    """Add `dedupe_key` by the rule of the row's kind of feed."""
+    return with_dedupe_key(items).withColumn(
         "dedupe_key", F.when(is_chart(feeds), chart_key()).otherwise(F.col("dedupe_key"))
     )
-    return first_by(keyed, ["feed", "dedupe_key"], list(order)).drop("dedupe_key")
+
+
+def dedupe_feeds(items: DataFrame, feeds=FEEDS, order=ORDER) -> DataFrame:
+    """Both rules in one shuffle: each row carries the key of its kind of feed."""
+    return first_by(with_feed_key(items, feeds), ["feed", "dedupe_key"], list(order)).drop("dedupe_key")
 
 
 def dedupe_by_title(df: DataFrame, by: list, order: list, title: str = "title", url: str | None = None) -> DataFrame:

@@ -55,7 +55,7 @@ def large_feed_fingerprint(df: DataFrame, by: list, columns=None, exclude=()) ->
     """
     names = columns or [c for c in df.columns if c not in by]
     part = F.conv(F.left(F.sha2(canonical_json(names, exclude), 256), F.lit(HASH_SLICE)), 16, 10)
-    return df.select(*by, part.cast("decimal(20,0)").alias("_part")).groupBy(*by).agg(
+    return df.select(*by, part.cast("decimal(28,0)").alias("_part")).groupBy(*by).agg(
         F.count(F.lit(1)).alias("count"), F.sum("_part").cast("string").alias("hash")
     )
 

@@ -26,10 +26,17 @@ def is_chart(feeds=FEEDS) -> Column:
     return F.coalesce(F.col("feed").isin(*charts), F.lit(False)) if charts else F.lit(False)
 
 
+def per_feed(name: str, default: int, feeds=FEEDS) -> Column:
+    """A number of the registry by the row's feed; `default` for feeds it does not list."""
+    at = ("feed", "feed_ord", "kind", "min_title", "cap").index(name)
+    values = F.create_map(*[F.lit(x) for row in feeds for x in (row[0], row[at])]) if feeds else None
+    return F.lit(default) if values is None else F.coalesce(F.try_element_at(values, F.col("feed")), F.lit(default))
+
+
 def drop_reserved_titles(items: DataFrame, feeds=FEEDS) -> DataFrame:
     """No source URL, placeholder or generic titles, and titles too short for their feed."""
     title = text.strip("title")
-    shortest = F.when(is_chart(feeds), 2).otherwise(8)
+    shortest = per_feed("min_title", vocab.MIN_TITLE, feeds)
     return keep(
         items.where(F.col("source_url") != ""),
         ~F.lower("title").isin(*vocab.RESERVED_TITLES)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.core import col
 
-HOT_KEYS = 256
-HOT_ROWS = 1_000_000
+#: Rows of one key that one task joins; a key with more rows gets as many salts as it needs.
+ROWS_PER_TASK = 1_000_000
+#: Partitions for rows without a key.
 SALTS = 32
 
 
@@ -66,16 +67,10 @@ def key_counts(rows: DataFrame, on: list[str]) -> DataFrame:
     return counted.where("_rows > 0")
 
 
-def hot_keys(
-    counts: DataFrame, on: list[str], limit: int = HOT_KEYS, min_rows: int = HOT_ROWS
-) -> DataFrame:
-    """The most frequent keys, at most `limit` of them; any other key holds under 1/limit of the rows."""
-    return (
-        counts.where(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"), *on)
-        .limit(limit)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
+def salts_of(counts: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Number of salts of every key that fills more than one task: rows divided by `rows_per_task`."""
+    salts = F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts")
+    return counts.select(*on, salts).where("_salts > 1")
 
 
 def lookup(
@@ -86,38 +81,25 @@ def lookup(
     *,
     how: str = "left",
     counts: DataFrame | None = None,
-    limit: int = HOT_KEYS,
-    min_rows: int = HOT_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join rows to a table with at most one row per key.
 
-    Rows of the hottest keys and rows without a key are spread over `salts` partitions by a
-    hash of `spread_by` (columns that identify the row, so a retried task spreads them the
-    same way); only the table rows of hot keys are repeated. The broadcast list holds at
-    most `limit` keys. `counts` takes the `key_counts` of the rows where they exist already.
+    The rows of a key are spread over as many salts as their counted number needs, rows without a key over
+    `salts`, by a hash of `spread_by` (columns that identify the row, so a retried task spreads them the same
+    way); only the table rows of spread keys are repeated. There is at most one spread key per task's worth of
+    rows, and Spark broadcasts their list only below its own size limit. `counts` takes the `key_counts` of the
+    rows where they exist already.
     """
     counts = key_counts(rows, on) if counts is None else counts
-    hot = F.broadcast(hot_keys(counts, on, limit, min_rows))
+    spread = salts_of(counts, on, rows_per_task)
     missing = F.lit(False)
     for k in on:
         missing = missing | F.col(k).isNull()
-    spread = F.pmod(F.xxhash64(*[col(c) for c in spread_by]), F.lit(salts)).cast("int")
-    left = (
-        rows.join(hot, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | missing, spread).otherwise(0))
-        .drop("_hot")
-    )
-    right = (
-        table.join(hot, on, "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        .drop("_hot")
-    )
+    row_hash = F.xxhash64(*[col(c) for c in spread_by])
+    many = F.when(missing, salts).otherwise(F.coalesce("_salts", F.lit(1)))
+    left = rows.join(spread, on, "left").withColumn("_salt", F.pmod(row_hash, many).cast("int")).drop("_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    right = table.join(spread, on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return left.join(right, [*on, "_salt"], how).drop("_salt")

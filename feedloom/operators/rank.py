@@ -7,22 +7,32 @@ from pyspark.sql import functions as F
 
 from feedloom import vocab
 from feedloom.functions.core import col
-from feedloom.operators.gates import is_chart
+from feedloom.operators.gates import is_chart, per_feed
 from feedloom.operators.keyed import first_by, lookup, ranked_by
 from feedloom.schema import FEEDS, ORDER
 
 
-def cap_raw(raw: DataFrame, n: int = vocab.FEED_CAP, by=("feed",), order=ORDER) -> DataFrame:
-    """First `n` rows per feed in source order, before any gate."""
-    return first_by(raw, list(by), list(order), n)
+def largest_cap(feeds) -> int:
+    return max([vocab.FEED_CAP, *(row[4] for row in feeds)])
+
+
+def cap_raw(raw: DataFrame, n: int | None = None, by=("feed",), order=ORDER, feeds=FEEDS) -> DataFrame:
+    """First rows per feed in source order, before any gate: `n`, or as many as the registry says.
+
+    The comparison with the largest cap is a group limit before the shuffle, that with the feed's own follows.
+    """
+    if n is not None or "feed" not in raw.columns:
+        return first_by(raw, list(by), list(order), n or vocab.FEED_CAP)
+    first = ranked_by(raw, list(by), list(order), largest_cap(feeds), "_at")
+    return first.where(F.col("_at") <= per_feed("cap", vocab.FEED_CAP, feeds)).drop("_at")
 
 
 def final_order_cap(
-    items: DataFrame, n: int = vocab.FEED_CAP, order=ORDER, feeds=FEEDS, by=("feed",)
+    items: DataFrame, n: int | None = None, order=ORDER, feeds=FEEDS, by=("feed",)
 ) -> DataFrame:
     """Newest release first, then title descending, then source order; charts keep source order.
 
-    Adds `feed_pos`, the 1-based position in the feed.
+    Keeps `n` rows, or as many as the registry says. Adds `feed_pos`, the 1-based position in the feed.
     """
     chart = is_chart(feeds)
     keys = [
@@ -30,7 +40,10 @@ def final_order_cap(
         F.when(~chart, F.col("title")).desc_nulls_last(),
         *order,
     ]
-    return ranked_by(items, list(by), keys, n, "feed_pos")
+    if n is not None:
+        return ranked_by(items, list(by), keys, n, "feed_pos")
+    first = ranked_by(items, list(by), keys, largest_cap(feeds), "feed_pos")
+    return first.where(F.col("feed_pos") <= per_feed("cap", vocab.FEED_CAP, feeds))
 
 
 def rank_chart(

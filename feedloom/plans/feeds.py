@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators import combine, dedupe, enrich, gates, normalize, rank
 from feedloom.operators.fingerprint import feed_fingerprint
+from feedloom.operators.keyed import ranked_by
 from feedloom.schema import FEEDS, ORDER, RAW_ITEM, conform, feed_registry
 from feedloom.session import settle
 from feedloom.sources import published
@@ -46,20 +47,25 @@ def _enriched(items: DataFrame, lookups: Lookups, feeds) -> DataFrame:
 
 
 def process_items(
-    raw: DataFrame, run_at: str, lookups: Lookups | None = None, feeds=FEEDS
+    raw: DataFrame, run_at: str, lookups: Lookups | None = None, feeds=FEEDS, catalog: DataFrame | None = None
 ) -> DataFrame:
     """Cap, normalise, gate, enrich, de-duplicate, order and cap.
 
-    Without `lookups` the enrichment steps are left out, as for fallback rows. Every lookup
+    Without `lookups` the enrichment steps are left out, as for fallback rows, of which chart
+    rows still get pictures from `catalog`. Every lookup
     reads its rows more than once, so the rows are written out before each of them.
     """
-    items = rank.cap_raw(raw)
+    items = rank.cap_raw(raw, feeds=feeds)
     items = normalize.normalize_items(items, run_at)
     items = gates.drop_reserved_titles(items, feeds)
     items = gates.topic_gate(items, feeds=feeds)
     items = gates.clean_image_columns(items)
     if lookups is not None:
         items = _enriched(settle(items, "gated"), lookups, feeds)
+    elif catalog is not None:
+        items = settle(items, "gated")
+        chart = gates.is_chart(feeds)
+        items = enrich.lookup_progressive(items.where(chart), catalog, ROW_ID).unionByName(items.where(~chart))
     items = normalize.finalize_links(items)
     items = gates.valid_page_gate(items, feeds)
     items = gates.quality_gate(items, feeds=feeds)
@@ -92,7 +98,7 @@ def build_feeds(
     items = _placed(process_items(conform(raw), run_at, lookups, feeds), 0)
 
     covered = combine.fallback_for(registry, fallback.rows, fallback.default)
-    spare = _placed(process_items(conform(covered, RAW_ITEM), run_at, None, feeds), 1)
+    spare = _placed(process_items(conform(covered, RAW_ITEM), run_at, None, feeds, lookups.catalog), 1)
     # Every feed has its spare rows now, so no default is needed below.
     filled = settle(combine.fill_empty_feeds(items, registry, spare, {}), "filled")
 
@@ -101,6 +107,9 @@ def build_feeds(
 
     boosted = combine.boost_low_feeds(filled, registry, spare, {}, finish, ROW_ID)
     unique = dedupe.drop_seen_in_earlier_feeds(boosted, ["feed_pos"], feeds)
+    # Capped feeds: positions follow each other again.
+    unique = ranked_by(unique, ["feed"], ["feed_pos"], rank.largest_cap(feeds), "_at")
+    unique = unique.drop("feed_pos").withColumnRenamed("_at", "feed_pos")
     ordered = unique.drop(*[c for c in unique.columns if c in RAW_ITEM.names and c in ORDER + ["source"]])
     return normalize.published_form(ordered)
 

@@ -85,7 +85,3 @@ def gather(spark: SparkSession, sources: dict[str, FeedSource], config: dict) ->
         except Exception:  # noqa: BLE001 - one broken source must not stop the feed
             frames[name] = None
     return combine.union_sources(frames)
-
-
-def relevant_entries(entries: DataFrame, feed: str) -> DataFrame:
-    return gates.relevance_gate(entries, RULES.get(feed, {}))

@@ -80,7 +80,7 @@ def find_nodes(docs: DataFrame, keep: list[str], text: str, key: str, value: str
     One row per object with its JSON text and `path`, its place in reading order. Spark's JSON
     types have no walk over unknown keys that keeps their order, and opening a tree level by
     level parses it once per level, so the walk is a small Arrow-batched function. Documents
-    that do not mention the value never leave the JVM.
+    that neither mention the value nor hold an escape never leave the JVM.
     """
     shape = T.ArrayType(
         T.StructType(
@@ -95,7 +95,7 @@ def find_nodes(docs: DataFrame, keep: list[str], text: str, key: str, value: str
     def walk(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: _hits(t, key, value))
 
-    mentions = F.col(text).contains(value) | F.col(text).contains("\\u")
+    mentions = F.col(text).contains(value) | F.col(text).contains("\\")
     found = docs.where(mentions).select(*keep, F.explode(walk(text)).alias("_n"))
     return found.select(*keep, "_n.*")
 

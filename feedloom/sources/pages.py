@@ -107,25 +107,16 @@ def extract_json_ld(pages: DataFrame, keep: list[str]) -> DataFrame:
 def extract_rows(
     pages: DataFrame, keep: list[str], container: str = "table", row: str = "tr", cell: str = "td", skip: int = 0
 ) -> DataFrame:
-    """Rows of the first such container with their cells by position.
+    """Rows of all such containers, in page order, with their cells by position.
 
-    `row_pos` counts from 0 including skipped rows. Cells stay markup; `html.text_of` reads them.
+    `row_pos` counts from 0 over the page, including skipped rows; `skip` leaves out the page's first rows. Cells stay markup; `html.text_of` reads them.
     """
-    body = F.regexp_extract("html", rf"(?is)<{container}\b[^>]*>(.*?)</{container}>", 1)
+    body = F.array_join(html.all_elements("html", container), "\n")
     rows = pages.select(*keep, F.posexplode(html.all_elements(body, row)).alias("row_pos", "_row"))
     rows = rows.where(F.col("row_pos") >= skip)
     return pin(rows, cells=html.all_elements("_row", cell)).drop("_row")
 
 
-def header_positions(header: Column, names: dict[str, str]) -> dict[str, Column]:
-    """0-based cell position of each wanted column, found by its header text."""
-    lowered = F.transform(header, lambda h: F.lower(html.text_of(h)))
-    return {
-        out: F.nullif(F.array_position(lowered, F.lit(name.lower())), F.lit(0)) - 1
-        for out, name in names.items()
-    }
-
-
 def chart_rows(pages: DataFrame, keep: list[str], run_date: Column, min_cells: int = 10) -> DataFrame:
     """Box-office table: title, page, theaters, days in release and distributor per row.
 

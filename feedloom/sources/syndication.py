@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions import images, text
@@ -17,25 +17,44 @@ ITEM = (
 )
 
 
-def read_syndication(spark: SparkSession, path: str) -> DataFrame:
-    """One row per `<item>`, in file order (`entry_ord` is unique and grows within a file).
+def read_items(spark: SparkSession, path: str) -> DataFrame:
+    """One row per `<item>` with `file` and `entry_ord`, its place in the file from 1; `_broken` has malformed items.
 
-    The record-wise reader splits large files over tasks and loses only a malformed item,
-    not the rest of its file.
+    The record-wise reader splits large files over tasks; a malformed item does not touch
+    the rest of its file.
     """
     raw = (
         spark.read.format("xml")
         .option("rowTag", "item")
         .option("useLegacyXMLParser", "true")
-        .option("mode", "DROPMALFORMED")
-        .schema(ITEM)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_broken")
+        .schema(f"{ITEM}, _broken string")
         .load(path)
     )
-    return syndication_entries(
-        raw.withColumns(
-            {"file": F.input_file_name(), "entry_ord": F.monotonically_increasing_id()}
-        )
+    # The reader refuses to read nothing but its column of malformed records.
+    read = F.length(F.coalesce("title", F.lit(""))) >= 0
+    placed = raw.withColumns(
+        {
+            "_broken": F.when(read, F.col("_broken")),
+            "file": F.col("_metadata.file_path"),
+            "_block": F.col("_metadata.file_block_start"),
+            "_row": F.monotonically_increasing_id(),
+        }
     )
+    in_file = Window.partitionBy("file").orderBy("_block", "_row")
+    return placed.withColumn("entry_ord", F.row_number().over(in_file)).drop("_block", "_row")
+
+
+def read_syndication(spark: SparkSession, path: str) -> DataFrame:
+    """The well-formed items of all files as entries, in file order (`entry_ord` counts from 1 in each file)."""
+    return syndication_entries(read_items(spark, path).where("_broken is null").drop("_broken"))
+
+
+def broken_items(spark: SparkSession, path: str) -> DataFrame:
+    """Number of malformed items per file, for the run's report."""
+    items = read_items(spark, path)
+    return items.groupBy("file").agg(F.count_if(F.col("_broken").isNotNull()).alias("n_broken"))
 
 
 def syndication_entries(raw: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ def refresh_batch(
     id: a repeated batch overwrites its own output.
     """
     seen_path, feed_path = os.path.join(path, "seen"), os.path.join(path, "feeds")
-    keyed = dedupe.with_dedupe_key(items).withColumn("signature", F.concat_ws("|", "feed", "dedupe_key"))
+    keyed = dedupe.with_feed_key(items, feeds).withColumn("signature", F.concat_ws("|", "feed", "dedupe_key"))
     fresh = first_by(keyed, ["signature"], list(ORDER)).drop("dedupe_key")
     earlier = _before(spark, seen_path, batch_id)
     if earlier:

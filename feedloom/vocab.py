@@ -292,66 +292,9 @@ TRENDING_SIGNALS = (
     "this month",
 )
 
-UPCOMING_SIGNALS = (
-    "upcoming ",
-    " coming soon",
-    "coming soon",
-    "next week",
-    "next month",
-    "will premiere",
-    "will debut",
-    "will release",
-    "will arrive",
-    "will stream",
-    "will launch",
-    "set to premiere",
-    "set to debut",
-    "set to release",
-    "set to arrive",
-    "set to stream",
-    "scheduled for",
-    "slated ",
-    "slated for",
-    "due ",
-    "due out",
-    "premieres on",
-    "premieres this",
-    "premieres next",
-    "premieres in ",
-    "premieres december",
-    "premieres january",
-    "premieres february",
-    "premieres march",
-    "premieres april",
-    "premieres may",
-    "premieres june",
-    "premieres july",
-    "premieres august",
-    "premieres september",
-    "premieres october",
-    "premieres november",
-    "release date announced",
-    "release date:",
-    "release date ",
-    "arrives ",
-    "arrives on",
-    "arriving ",
-    "coming to ",
-    "coming in ",
-    "coming this",
-    "coming next",
-    "drops ",
-    "drop on ",
-    "push back",
-    "pushed to",
-    "pushed back",
-    "delayed until",
-    "delayed ",
-    "arrives december",
-    "arrives january",
-    "arrives february",
-    "season returns",
-)
+# Shortest title of a feed that the registry does not list.
+MIN_TITLE = 8
+
 
 # --- fixed values: URLs and outlets ---------------------------------------------
 TRACKING_PARAMS = (

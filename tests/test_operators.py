@@ -25,10 +25,10 @@ def test_lookup_spreads_hot_and_missing_keys(spark):
     )
     table = spark.createDataFrame([("hot", 1), ("1", 2), ("500", 3), ("unused", 4)], "k string, v int")
     plain = {(r["id"], r["v"]) for r in rows.join(table, "k", "left").collect()}
-    salted = keyed.lookup(rows, table, ["k"], ["id"], min_rows=5, limit=4, salts=8)
+    salted = keyed.lookup(rows, table, ["k"], ["id"], rows_per_task=5, salts=8)
     got = salted.collect()
     assert len(got) == 1000 and {(r["id"], r["v"]) for r in got} == plain
-    inner = keyed.lookup(rows, table, ["k"], ["id"], how="inner", min_rows=5, limit=4, salts=8)
+    inner = keyed.lookup(rows, table, ["k"], ["id"], how="inner", rows_per_task=5, salts=8)
     assert inner.count() == rows.join(table, "k").count()
 
 
@@ -38,7 +38,7 @@ def test_hot_rows_go_to_several_partitions(spark):
     try:
         rows = spark.range(4000).select("id", F.lit("hot").alias("k"))
         table = spark.createDataFrame([("hot", 1)], "k string, v int")
-        joined = keyed.lookup(rows, table, ["k"], ["id"], min_rows=5, salts=32)
+        joined = keyed.lookup(rows, table, ["k"], ["id"], rows_per_task=5, salts=32)
         sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
         assert len(sizes) > 4 and max(r["count"] for r in sizes) < 2000
     finally:
