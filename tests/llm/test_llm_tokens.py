@@ -63,6 +63,8 @@ def test_word_digests(docs):
         want.append((i, len(x), hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
     got = [tuple(r) for r in lexicon.token_digests(docs(ROWS), WORD).collect()]
     assert sorted(got) == sorted(want)
+    again = [tuple(r) for r in lexicon.token_digests(docs(ROWS), WORD).collect()]
+    assert sorted(again) == sorted(want)
     both = lexicon.encode_decode(docs(ROWS[:2]), WORD).collect()
     assert sorted(len(r.ids) for r in both) == [0, 2] and "lang" in both[0].asDict()
 
