@@ -78,8 +78,8 @@ class Encoder:
         """The ids of each text as 32-bit integers."""
         self.known.trim(KNOWN_CHUNKS)
         lists = [self.chunks(t) for t in texts]
-        new = set().union(*lists).difference(self.known)
-        self.learn([c for c in new if not _SEPARATE.search(c)])
+        # A set's difference with a dict of another class would walk through the whole dict.
+        self.learn([c for c in set().union(*lists) if c not in self.known and not _SEPARATE.search(c)])
         return [b"".join(map(self.known.__getitem__, chunks)) for chunks in lists]
 
 
