@@ -92,7 +92,7 @@ Memo.kept["chunks"] = [encoder.cache_clear]
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
-    """Rows (doc_id, row, token_offset, ids) in ascending order of `doc_id` over the partitions.
+    """Rows (doc_id, row, token_offset, n_tokens, ids) in ascending order of `doc_id` over the partitions.
 
     `row` and `token_offset` count rows and ids from the start of the partition, which becomes one file.
     A null text is the empty text, which has the end id only. Rows that repeat a `doc_id` stay apart, in order
@@ -121,12 +121,12 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None) -> Dat
                 rows = pa.array(np.arange(row, row + len(parts)), pa.int64())
                 offsets = pa.array(offset + ends[:-1], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), rows, offsets, ids],
-                    names=["doc_id", "row", "token_offset", "ids"],
+                    [part.column("doc_id").cast(pa.int64()), rows, offsets, pa.array(np.diff(ends)), ids],
+                    names=["doc_id", "row", "token_offset", "n_tokens", "ids"],
                 )
                 row, offset = row + len(parts), offset + int(ends[-1])
 
-    return ordered.mapInArrow(encode, "doc_id long, row long, token_offset long, ids array<int>")
+    return ordered.mapInArrow(encode, "doc_id long, row long, token_offset long, n_tokens long, ids array<int>")
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = None) -> None:
@@ -144,9 +144,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
 
 
 def read_tokens(spark, path: str) -> DataFrame:
-    """Rows (file, doc_id, row, token_offset, ids) as they stand in the files."""
-    rows = spark.read.schema("doc_id long, row long, token_offset long, ids array<int>").orc(path)
-    return rows.select(F.col("_metadata.file_name").alias("file"), "doc_id", "row", "token_offset", "ids")
+    """Rows (file, doc_id, row, token_offset, n_tokens, ids) as they stand in the files."""
+    rows = spark.read.schema("doc_id long, row long, token_offset long, n_tokens long, ids array<int>").orc(path)
+    return rows.select(F.col("_metadata.file_name").alias("file"), "doc_id", "row", "token_offset", "n_tokens", "ids")
 
 
 def find_documents(spark, path: str, doc_ids: list[int]) -> DataFrame:
@@ -171,12 +171,12 @@ def token_digests(rows: DataFrame) -> DataFrame:
         }
 
     schema = "file string, doc_id long, token_offset long, n_tokens long, ids_crc32 long"
-    digests = mapped(rows.drop("row"), digest, schema)
-    # One row per file: a running sum over the files, not over the documents.
+    digests = mapped(rows.drop("row", "n_tokens"), digest, schema)
+    # One row per file: a running sum over the files, not over the documents. The ids are not read for it.
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
         rows.groupBy("file")
-        .agg(F.sum(F.size("ids")).alias("_ids"))
+        .agg(F.sum("n_tokens").alias("_ids"))
         .select("file", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_base"))
     )
     start = (F.col("_base") + F.col("token_offset")).alias("start")
