@@ -58,19 +58,20 @@ def event_positions(t):
 
 @query(
     "chart_rank",
-    """WITH e AS (SELECT CAST(ts AS DATE) AS day, CASE event_type WHEN 'view' THEN 0 ELSE 1 END AS type_ord, event_id,
+    """WITH e AS (SELECT CAST(ts AS DATE) AS day, CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE 2 END AS type_ord, event_id,
         CASE WHEN user_id % 10 = 0 THEN '' ELSE 'U' || user_id END AS title
-      FROM events WHERE event_type IN ('view', 'click')),
+      FROM events),
     d AS (SELECT *, row_number() OVER (PARTITION BY day, title ORDER BY type_ord, event_id) AS rn FROM e WHERE title <> ''),
     r AS (SELECT strftime(day, '%Y-%m-%d') AS day, type_ord, title,
         row_number() OVER (PARTITION BY day, type_ord ORDER BY event_id) AS rank FROM d WHERE rn = 1)
     SELECT * FROM r WHERE rank <= 10""",
 )
 def chart_rank(t):
-    """Daily charts: first views, then clicks of users not seen among the views."""
-    entries = t.events.where(F.col("event_type").isin("view", "click")).select(
+    """Daily charts: first views, then clicks of users not seen among the views, then all other events."""
+    kind = F.col("event_type")
+    entries = t.events.select(
         F.to_date("ts").cast("string").alias("day"),
-        F.when(F.col("event_type") == "view", 0).otherwise(1).alias("type_ord"),
+        F.when(kind == "view", 0).when(kind == "click", 1).otherwise(2).alias("type_ord"),
         "event_id",
         F.when(F.col("user_id") % 10 == 0, " ").otherwise(F.concat(F.lit("U"), "user_id")).alias("title"),
     )

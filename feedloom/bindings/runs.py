@@ -20,9 +20,9 @@ RUN_AT = "2024-06-01 00:00:00"
 def _with_order(df):
     return df.withColumns(
         {
-            "source_ord": F.lit(0),
-            "page_ord": F.lit(0),
-            "entry_ord": F.col("page_id").cast("int"),
+            "source_ord": F.lit(0).cast("long"),
+            "page_ord": F.lit(0).cast("long"),
+            "entry_ord": F.col("page_id").cast("long"),
         }
     )
 
@@ -193,7 +193,7 @@ _REFRESHED = (
         CASE WHEN feed IN ('netflix', 'disney_plus', 'prime_video', 'hbo_max') THEN NULL ELSE release_date END DESC NULLS LAST,
         CASE WHEN feed IN ('netflix', 'disney_plus', 'prime_video', 'hbo_max') THEN NULL ELSE title END DESC NULLS LAST, page_id) AS feed_pos
       FROM d WHERE rn = 1)
-    SELECT feed, CAST(entry_ord AS INTEGER) AS entry_ord, title, feed_pos FROM r WHERE feed_pos <= 20"""
+    SELECT feed, CAST(entry_ord AS BIGINT) AS entry_ord, title, feed_pos FROM r WHERE feed_pos <= 20"""
 )
 
 

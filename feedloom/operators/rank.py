@@ -64,16 +64,21 @@ def rank_chart(
     return ranked_by(fresh, [*by, type_ord], order, n, "rank")
 
 
+#: How far a source is ever read, and entries looked at for each missing row.
+SCAN_LIMIT = 400
+SCAN_STEP = 25
+
+
 def scan_budget_size(need: Column) -> Column:
     """How many entries of a source are looked at to find `need` relevant ones."""
-    return F.least(F.lit(400), F.greatest(need * 25, need + 20))
+    return F.least(F.lit(SCAN_LIMIT), F.greatest(need * SCAN_STEP, need + 20))
 
 
 def scan_budget(
     entries: DataFrame, relevant: Column, n: int, by: list, pos: str
 ) -> DataFrame:
     """First `n` relevant entries among the first entries the budget allows (`pos` is 1-based)."""
-    window_size = min(400, max(n * 25, n + 20))
+    window_size = min(SCAN_LIMIT, max(n * SCAN_STEP, n + 20))
     scanned = entries.where(F.col(pos) <= window_size).where(relevant)
     return first_by(scanned, by, [pos], n)
 
@@ -89,11 +94,15 @@ def cascade_with_budget(
     """`cascade_sources` where each source is scanned only as far as its open need allows.
 
     The budget of a source depends on what earlier sources gave, so the need is folded over
-    the sources of a feed. A source contributes at most 400 positions to the fold.
+    the sources of a feed. A source contributes at most `SCAN_LIMIT` positions to the fold. One whose
+    first hit lies in the k-th step of the scan gives a row whenever k rows are missing, so of
+    each k only the first `n` sources can count; the fold sees no more than those.
     """
-    near = entries.where(F.col(pos) <= 400).where(relevant)
-    per_source = near.groupBy(*by, source_ord).agg(F.collect_list(pos).alias("_hits"))
-    per_feed = per_source.groupBy(*by).agg(
+    near = entries.where(F.col(pos) <= SCAN_LIMIT).where(relevant)
+    per_source = near.groupBy(*by, source_ord).agg(
+        F.collect_list(pos).alias("_hits"), F.ceil(F.min(pos) / SCAN_STEP).alias("_step")
+    )
+    per_feed = first_by(per_source, [*by, "_step"], [source_ord], n).groupBy(*by).agg(
         F.sort_array(F.collect_list(F.struct(F.col(source_ord).alias("s"), "_hits"))).alias("_all")
     )
 
@@ -109,9 +118,10 @@ def cascade_with_budget(
             ).alias("taken"),
         )
 
+    kinds = dict(entries.dtypes)
     start = F.struct(
         F.lit(n).alias("need"),
-        F.array().cast("array<struct<s:int,p:int>>").alias("taken"),
+        F.array().cast(f"array<struct<s:{kinds[source_ord]},p:{kinds[pos]}>>").alias("taken"),
     )
     taken = F.aggregate("_all", start, step, lambda s: s["taken"])
     chosen = per_feed.select(*by, F.explode(taken).alias("_t")).select(

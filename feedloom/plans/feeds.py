@@ -78,9 +78,9 @@ def _placed(items: DataFrame, source_ord: int) -> DataFrame:
     """Feed position as the order of rows that go through the last steps again."""
     return items.withColumns(
         {
-            "source_ord": F.lit(source_ord),
-            "page_ord": F.lit(0),
-            "entry_ord": F.col("feed_pos").cast("int"),
+            "source_ord": F.lit(source_ord).cast("long"),
+            "page_ord": F.lit(0).cast("long"),
+            "entry_ord": F.col("feed_pos").cast("long"),
         }
     )
 

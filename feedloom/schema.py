@@ -11,9 +11,9 @@ RAW_ITEM = T.StructType(
     [
         T.StructField("feed", T.StringType()),
         T.StructField("source", T.StringType()),
-        T.StructField("source_ord", T.IntegerType()),
-        T.StructField("page_ord", T.IntegerType()),
-        T.StructField("entry_ord", T.IntegerType()),
+        T.StructField("source_ord", T.LongType()),
+        T.StructField("page_ord", T.LongType()),
+        T.StructField("entry_ord", T.LongType()),
     ]
     + [
         T.StructField(name, T.ArrayType(T.StringType()) if name == "genres" else T.StringType())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from feedloom.functions.core import first_group
 from feedloom.operators.fingerprint import detect_changes, next_version
 from feedloom.operators.keyed import ranked_by
 from feedloom.schema import FEED_ITEM, FEED_META, FEED_VERSION
+from feedloom.session import settle
 
 
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
@@ -102,17 +104,32 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder on the cluster's file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _latest(spark: SparkSession, path: str) -> str | None:
+    """Folder of the highest version whose tables are both complete."""
+    versions = [name for name in _names(spark, path) if re.match(r"v\d{9}-", name)]
+    for name in sorted(versions, reverse=True):
+        base = os.path.join(path, name)
+        if all(_exists(spark, os.path.join(base, t, "_SUCCESS")) for t in ("feed_meta", "feed_version")):
+            return base
+    return None
+
+
 def read_meta(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Latest committed `feed_meta` and `feed_version`; empty before the first run."""
-    current = os.path.join(path, "current")
-    if not _exists(spark, current):
+    base = _latest(spark, path)
+    if base is None:
         return _empty(spark, FEED_META), _empty(spark, FEED_VERSION)
-    run = spark.read.text(current).first()[0]
-    base = os.path.join(path, run)
     return (
         spark.read.schema(FEED_META).parquet(os.path.join(base, "feed_meta")),
         spark.read.schema(FEED_VERSION).parquet(os.path.join(base, "feed_version")),
@@ -122,24 +139,20 @@ def read_meta(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 def write_meta(spark: SparkSession, meta: DataFrame, path: str, run_id: str, run_at: str) -> bool:
     """Commit new metadata only if a hash or the set of feeds changed; returns whether it did.
 
-    `meta` has one row per feed. The new tables go to a folder of their own named after the
-    run; the pointer file is replaced last, so readers never see half a run and repeating
-    a run is harmless.
+    `meta` has one row per feed. The new tables go to a folder of their own, named after the
+    version and the run; readers take the highest version that is complete, so they never see
+    half a run, nothing committed is replaced, and a run that broke off can be repeated.
     """
+    meta = settle(meta.select("feed", F.col("count").cast("long"), "hash"), "meta")
     old_meta, old_version = read_meta(spark, path)
     changes = detect_changes(old_meta, meta)
     version = next_version(changes, old_version, run_at)
     row = version.first()
     if not row["changed"] and not old_version.isEmpty():
         return False
-    base = os.path.join(path, run_id)
-    meta.select("feed", F.col("count").cast("long"), "hash").write.mode("overwrite").parquet(
-        os.path.join(base, "feed_meta")
-    )
+    base = os.path.join(path, f"v{row['version']:09d}-{run_id}")
+    meta.write.mode("overwrite").parquet(os.path.join(base, "feed_meta"))
     spark.createDataFrame([(row["version"], row["updated_at"])], FEED_VERSION).write.mode(
         "overwrite"
     ).parquet(os.path.join(base, "feed_version"))
-    spark.createDataFrame([(run_id,)], "value string").coalesce(1).write.mode("overwrite").text(
-        os.path.join(path, "current")
-    )
     return True

@@ -87,8 +87,10 @@ def test_cascade_with_budget_equals_a_loop(spark):
     rows, want = [], {}
     for feed in range(6):
         sources = [(s, [p for p in range(1, 500) if (p * (s + 3) + feed) % (11 + 9 * s) == 0]) for s in range(4)]
+        # Many sources whose only hit lies far down.
+        sources += [(s, [(37 * s + feed) % 420 + 1]) for s in range(4, 60) if feed % 2]
         want[feed] = set(loop(sources, 5 + 7 * feed))
-        rows += [(feed, s, p, p in hits) for s, hits in sources for p in range(1, 500)]
+        rows += [(feed, s, p, p in hits) for s, hits in sources for p in (range(1, 500) if s < 4 else hits)]
     df = spark.createDataFrame(rows, "feed int, s int, p int, hit boolean")
     for feed in range(6):
         part = df.where(F.col("feed") == feed)
@@ -133,6 +135,13 @@ def test_meta_is_written_only_on_change(spark):
     assert published.write_meta(spark, meta(("b", 0, "z")), path, "r5", "t5")
     feeds, version = published.read_meta(spark, path)
     assert version.collect() == [(4, "t5")] and feeds.collect() == [("b", 0, "z")]
+    # A run that broke off between its two tables is not seen, and the next one takes its number.
+    meta(("c", 9, "w")).write.parquet(f"{path}/v000000005-broken/feed_meta")
+    feeds, version = published.read_meta(spark, path)
+    assert version.collect() == [(4, "t5")] and feeds.collect() == [("b", 0, "z")]
+    assert published.write_meta(spark, meta(("b", 1, "y")), path, "a6", "t6")
+    feeds, version = published.read_meta(spark, path)
+    assert version.collect() == [(5, "t6")] and feeds.collect() == [("b", 1, "y")]
 
 
 def test_union_skips_failed_sources(spark):
