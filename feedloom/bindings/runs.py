@@ -186,9 +186,11 @@ def six_hour_charts(t):
 _REFRESHED = (
     page_queries.RAW_CTE
     + f""", k AS (SELECT *, CASE WHEN page_id % 5 < 4 THEN strftime(day, '%Y-%m-%d') END AS release_date,
-        {q.signature('article_url')} AS sig FROM m),
+        {q.signature('article_url')} AS sig,
+        coalesce(CASE WHEN page_id % 3 = 2 THEN '19' || lpad(CAST(page_id % 100 AS VARCHAR), 2, '0')
+          ELSE nullif(regexp_extract(raw_title, '(19|20)[0-9][0-9]'), '') END, '') AS year FROM m),
     d AS (SELECT *, row_number() OVER (PARTITION BY feed,
-        CASE WHEN feed IN ('netflix', 'disney_plus', 'prime_video', 'hbo_max') THEN CAST(page_id AS VARCHAR) ELSE sig END ORDER BY page_id) AS rn FROM k),
+        CASE WHEN feed IN ('netflix', 'disney_plus', 'prime_video', 'hbo_max') THEN concat_ws('|', lower(trim(title)), type, year) ELSE sig END ORDER BY page_id) AS rn FROM k),
     r AS (SELECT feed, page_id AS entry_ord, title, row_number() OVER (PARTITION BY feed ORDER BY
         CASE WHEN feed IN ('netflix', 'disney_plus', 'prime_video', 'hbo_max') THEN NULL ELSE release_date END DESC NULLS LAST,
         CASE WHEN feed IN ('netflix', 'disney_plus', 'prime_video', 'hbo_max') THEN NULL ELSE title END DESC NULLS LAST, page_id) AS feed_pos
@@ -199,13 +201,11 @@ _REFRESHED = (
 
 @query("stream_refresh", _REFRESHED)
 def stream_refresh(t):
-    """Pages arriving in two files, merged into feeds batch by batch; equals one batch over all."""
+    """Pages arriving in two batches in page order, merged into feeds; equals one batch over all."""
     spark = t.spark
     source, target = work_dir(spark, "arriving"), work_dir(spark, "refreshed")
-    t.pages.repartitionByRange(2, "page_id").write.parquet(source)
-    stream = (
-        spark.readStream.schema(t.pages.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    )
+    checkpoint = work_dir(spark, "refreshed-checkpoint")
+    middle = F.lit(t.pages.agg(F.percentile_approx("page_id", 0.5)).first()[0])
 
     class Arrived:
         def __init__(self, pages):
@@ -214,7 +214,9 @@ def stream_refresh(t):
     def to_items(batch):
         return normalize.normalize_items(_with_order(page_queries.raw_items(Arrived(batch))), RUN_AT)
 
-    jobs.stream_refresh_feeds(
-        stream, to_items, target, work_dir(spark, "refreshed-checkpoint"), "2024-06-01T00:00:00Z"
-    ).awaitTermination()
+    # Of rows with one key the first arrival stays, so later pages must not overtake earlier ones.
+    for part in (F.col("page_id") <= middle, F.col("page_id") > middle):
+        t.pages.where(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(t.pages.schema).parquet(source)
+        jobs.stream_refresh_feeds(stream, to_items, target, checkpoint, "2024-06-01T00:00:00Z").awaitTermination()
     return jobs.latest_feeds(spark, target).select("feed", "entry_ord", "title", "feed_pos")
