@@ -8,9 +8,10 @@ from feedloom.bindings import pages as page_queries
 from feedloom.bindings import sql as q
 from feedloom.bindings.registry import query
 from feedloom.functions import dates, text
-from feedloom.operators import fingerprint, keyed, normalize
+from feedloom.operators import fingerprint, gates, keyed, normalize
+from feedloom.plans import feeds as feed_plan
 from feedloom.schema import ORDER
-from feedloom.session import is_folder, work_dir
+from feedloom.session import is_folder, settle, work_dir
 from feedloom.sources import published, syndication
 from feedloom.streaming import jobs
 
@@ -220,3 +221,55 @@ def stream_refresh(t):
         stream = spark.readStream.schema(t.pages.schema).parquet(source)
         jobs.stream_refresh_feeds(stream, to_items, target, checkpoint, "2024-06-01T00:00:00Z").awaitTermination()
     return jobs.latest_feeds(spark, target).select("feed", "entry_ord", "title", "feed_pos")
+
+
+# --- the feed job -----------------------------------------------------------------------
+
+#: A feed without rows of its own: it lives on the fallback table.
+EMPTY_FEED = "hbo_max"
+
+
+def _built_feeds(t):
+    """All pages as raw records of a run; chart rows share the URL of their list, one feed is empty."""
+    named = _with_order(page_queries.raw_items(t))
+    own = [name for name in page_queries.FEED_NAMES if name != EMPTY_FEED]
+    placed = F.element_at(F.array(*[F.lit(x) for x in own]), (F.pmod("page_id", F.lit(len(own))) + 1).cast("int"))
+    raw = named.withColumn("feed", placed)
+    chart = gates.is_chart(feed_plan.FEEDS)
+    raw = raw.withColumns(
+        {
+            "source_url": F.when(chart, F.concat(F.lit("https://lists.example/"), "feed")).otherwise(F.col("source_url")),
+            "article_url": F.when(~chart, F.col("article_url")),
+        }
+    )
+    catalog = (
+        named.where("title <> ''")
+        .groupBy(F.lower("title").alias("search_key"))
+        .agg(F.min("page_id").alias("p"))
+        .select("search_key", F.lit("movie").alias("search_type"), F.concat(F.lit("/p"), "p", F.lit(".jpg")).alias("image_path"))
+    )
+    lookups = feed_plan.Lookups(t.pages.select("url", "html"), page_queries._header_checks(t), catalog)
+    # The fallback table covers every feed, the empty one included.
+    return feed_plan.build_feeds(t.spark, raw, RUN_AT, lookups, feed_plan.Fallback(named))
+
+
+@query("feed_job")
+def feed_job(t):
+    """The whole job from raw records to ordered feeds."""
+    return _built_feeds(t).select(
+        "feed", F.col("feed_pos").cast("long").alias("feed_pos"), "title", "type", "article_url", "poster_image_url"
+    )
+
+
+@query("feed_job_published")
+def feed_job_published(t):
+    """The job published twice: the second run changes nothing, so the version stays."""
+    path = work_dir(t.spark, "job")
+    built = settle(_built_feeds(t), "built")
+    for day in (1, 2):
+        feed_plan.publish_feeds(t.spark, built, path, f"run-{day}", f"2024-06-0{day}T00:00:00Z")
+    meta, version = published.read_meta(t.spark, f"{path}/meta")
+    stamp = version.first()
+    return meta.select(
+        "feed", "count", F.lit(stamp["version"]).alias("version"), F.lit(stamp["updated_at"]).alias("updated_at")
+    )

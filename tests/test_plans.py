@@ -129,6 +129,24 @@ def test_gather_isolates_failures(spark):
     assert got.select("source", "source_ord").collect() == [("good", 1)]
 
 
+def test_feed_job_over_pages(spark):
+    feeds = {}
+    for r in entry.queries()["feed_job"](spark, SF_DIR).orderBy("feed", "feed_pos").collect():
+        feeds.setdefault(r["feed"], []).append(r)
+    # The feed without rows of its own lives on the fallback table.
+    assert set(feeds) == {"trending", "upcoming", "netflix", "disney_plus", "prime_video", "hbo_max", "cinema_releases"}
+    for name, rows in feeds.items():
+        assert [r["feed_pos"] for r in rows] == list(range(1, len(rows) + 1)) and len(rows) <= 20
+        links = {r["article_url"] for r in rows}
+        if name in ("netflix", "disney_plus", "prime_video"):
+            # Chart rows share the URL of their list and are told apart by title, type and year.
+            assert links == {f"https://lists.example/{name}"} and len(rows) > 1
+        elif name != "hbo_max":
+            assert len(links) == len(rows)
+    later = {r["article_url"] for r in feeds["upcoming"]}
+    assert not later & {r["article_url"] for r in feeds["trending"]}
+
+
 def plan(spark, name):
     return entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
