@@ -1,28 +1,39 @@
 """Cross-entropy difference of documents under two matched bigram models, target against background.
 
-Both models have the same vocabulary, order and smoothing; they differ only in the texts they count. The shared
-vocabulary is closed: frequent words of the whole corpus, and classes by shape for all other words. Counts cover
-every text. A model is a square table over the vocabulary, so what is broadcast is bounded by its size.
+Both models have the same vocabulary, order and smoothing; they differ only in the texts they count. The vocabulary
+is every word of all texts, unless the caller closes it. Words and bigrams are counted per chunk of documents, the
+chunks' counts are added up in buckets of the hash space, and every chunk gets the sums of its own words and bigrams
+back. A bigram is one entry of a chunk however often it occurs there, so a hot one has as many entries as there are
+chunks; nothing that grows with the corpus is collected or broadcast. Words and bigrams are 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import MEMO_ENTRIES, Memo, mapped, strings
+from feedloom.llm.common import BATCH_ROWS, MEMO_ENTRIES, Memo, long_of, mix, settle, strings
 
-#: Frequent words in the vocabulary; weight of the bigram against the word's own share; pseudo-count of a word.
-WORDS = 960
+#: Weight of the bigram against the word's own share; pseudo-count of a word.
 BIGRAM_WEIGHT = 0.7
 PSEUDO = 1.0
-#: Classes of other words, and the entry before the first word of a text.
+#: Of a vocabulary that the caller closes: classes of other words, and the entry before the first word of a text.
 CLASSES = 32
 START = CLASSES
+#: Words of a chunk of documents, which is one document at least; bytes of text for each bucket of the hash space.
+CHUNK_WORDS = 1_000_000
+BUCKET_BYTES = 8_000_000
+
+#: Kinds of rows of a chunk: sums of words, sums of bigrams, documents. Counts of an entry by kind.
+WORD, PAIR, DOC = 0, 1, 2
+WIDTH = {WORD: 4, PAIR: 2}
 
 _DIGITS = set("0123456789")
 
@@ -59,103 +70,232 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame, words: int = WORDS) -> dict[str, int]:
+def vocabulary(docs: DataFrame, words: int) -> dict[str, int]:
     """Entries of the most frequent words, ties in order of the word; classes and the start come before them."""
     top = word_counts(docs).orderBy(F.desc("n"), "word").limit(words).collect()
     return {r["word"]: START + 1 + k for k, r in enumerate(top)}
 
 
+def hash_of(entry: int) -> int:
+    return int(mix(np.array([entry], np.uint64))[0])
+
+
 class Words(Memo):
-    """Vocabulary entry of any word."""
+    """Hash of any word; of its entry in a closed vocabulary, where one is given."""
 
-    def __init__(self, known: dict[str, int]):
-        super().__init__(lambda w: known[w] if w in known else shape(w), "language models")
+    def __init__(self, known: dict[str, int] | None):
+        if known is None:
+            super().__init__(xxhash.xxh3_64_intdigest, "language models")
+        else:
+            super().__init__(lambda w: hash_of(known[w] if w in known else shape(w)), "language models")
+        # No word is empty, so the empty one stands before a text.
+        self.start = np.uint64(xxhash.xxh3_64_intdigest("") if known is None else hash_of(START))
 
 
-def pair_counts(docs: DataFrame, known, size: int) -> DataFrame:
-    """(pair, target, background): how often each pair of entries follows in the target's and in all texts."""
+def pair_of(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hash of the bigrams of two columns of word hashes."""
+    return mix(mix(first) * np.uint64(0x9E3779B97F4A7C15) + second)
 
-    def count(batches):
-        entry = Words(known.value)
-        both = np.zeros((2, size * size), np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                pairs: list[list[np.ndarray]] = [[], []]
-                for text, target in zip(strings(part, "text"), part.column("target").to_pylist()):
-                    found = entries(text, entry)
-                    pairs[bool(target)].append(found[:-1] * size + found[1:])
-                for k in (0, 1):
-                    if pairs[k]:
-                        cells, times = np.unique(np.concatenate(pairs[k]), return_counts=True)
-                        both[k, cells] += times
-                entry.trim()
-        both[0] += both[1]
-        cells = np.flatnonzero(both[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cells), pa.array(both[1, cells]), pa.array(both[0, cells])], names=["pair", "target", "background"]
-        )
-
-    counted = docs.select("text", "target").mapInArrow(count, "pair long, target long, background long")
-    return counted.groupBy("pair").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-def entries(text: str, entry: Words) -> np.ndarray:
-    """The start and the entries of a text's words."""
-    words = text.lower().split()
-    out = np.empty(len(words) + 1, np.int64)
-    out[0] = START
-    out[1:] = np.fromiter(map(entry.__getitem__, words), np.int64, len(words))
+
+def before(words: np.ndarray, sizes: np.ndarray, start) -> np.ndarray:
+    """What stands before each word of texts that follow each other: the start, or the word before."""
+    out = np.empty_like(words)
+    out[1:] = words[:-1]
+    out[(np.cumsum(sizes) - sizes)[sizes > 0]] = start
     return out
 
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """Loss in bits of the second word of every pair, from a square table of counts; same smoothing for each model."""
-    size = len(counts)
-    single = counts.sum(axis=0) + PSEUDO
-    single = single / single.sum()
-    before = counts.sum(axis=1, keepdims=True)
-    bigram = np.divide(counts, before, out=np.zeros(counts.shape), where=before > 0)
-    weight = np.where(before > 0, BIGRAM_WEIGHT, 0.0)
-    return -np.log2(weight * bigram + (1 - weight) * single[None, :]).astype(np.float32).reshape(size * size)
+def lists(values: np.ndarray, ends) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
+def chunk_rows(chunk: int, ids: list[pa.Array], texts: list[np.ndarray], targets: list[bool], start, buckets: int):
+    """The rows of a chunk: its documents as local word numbers, and its counts cut by bucket of the hash space."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    flat = np.concatenate(texts)
+    wanted = np.repeat(np.array(targets, bool), sizes)
+    first = before(flat, sizes, start)
+    words, local = np.unique(np.append(flat, start), return_inverse=True)
+    at_start = local[-1]
+    local = local[:-1]
+    local_first = before(local, sizes, at_start)
+    pairs, which = np.unique(pair_of(first, flat), return_inverse=True)
+    n = len(words)
+    by_word = [np.bincount(x, minlength=n) for x in (local_first[wanted], local_first, local[wanted], local)]
+    by_pair = [np.bincount(x, minlength=len(pairs)) for x in (which[wanted], which)]
+    kind, bucket, keys, counts = [], [], [], []
+    for k, hashes, columns in ((WORD, words, by_word), (PAIR, pairs, by_pair)):
+        # Sorted hashes lie bucket by bucket.
+        cuts = np.searchsorted((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
+        used = np.flatnonzero(np.diff(cuts))
+        ends = np.append(cuts[used], len(hashes))
+        table = np.stack(columns, axis=1).astype(np.int64)
+        kind.append(np.full(len(used), k, np.int32))
+        bucket.append(used)
+        keys.append(lists(long_of(hashes), ends))
+        counts.append(lists(table.ravel(), ends * WIDTH[k]))
+    many, docs = sum(map(len, bucket)), len(texts)
+    total = many + docs
+    yield {
+        "chunk": np.full(total, chunk, np.int64),
+        "kind": np.concatenate([*kind, np.full(docs, DOC, np.int32)]),
+        "bucket": np.concatenate([*bucket, np.zeros(docs, np.int64)]),
+        "keys": pa.concat_arrays([*keys, pa.nulls(docs, keys[0].type)]),
+        "counts": pa.concat_arrays([*counts, pa.nulls(docs, counts[0].type)]),
+        "doc_id": pa.concat_arrays([pa.nulls(many, ids[0].type), *ids]),
+        "target": pa.concat_arrays([pa.nulls(many, pa.bool_()), pa.array(targets, pa.bool_())]),
+        "words": pa.concat_arrays(
+            [pa.nulls(many, pa.list_(pa.int32())), lists(local.astype(np.int32), np.append(0, np.cumsum(sizes)))]
+        ),
+    }
+
+
+def chunked(docs: DataFrame, known, buckets: int) -> DataFrame:
+    """Rows of all chunks of `docs` (doc_id, text, target); see `chunk_rows`."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = StructType.fromDDL(
+        f"chunk long, kind int, bucket long, keys array<long>, counts array<long>, doc_id {kind}, target boolean, words array<int>"
+    )
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        entry = Words(None if known is None else known.value)
+        chunk, held = TaskContext.get().partitionId() << 32, 0
+        ids, texts, targets = [], [], []
+
+        def emit():
+            for columns in chunk_rows(chunk, ids, texts, targets, entry.start, buckets):
+                made = [c if isinstance(c, pa.Array) else pa.array(c) for c in (columns[f.name] for f in arrow)]
+                rows = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(made, arrow)], schema=arrow)
+                yield from (rows.slice(k, BATCH_ROWS) for k in range(0, rows.num_rows, BATCH_ROWS))
+
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                words = strings(row, "text")[0].lower().split()
+                ids.append(row.column("doc_id"))
+                texts.append(np.fromiter(map(entry.__getitem__, words), np.uint64, len(words)))
+                targets.append(bool(row.column("target")[0].as_py()))
+                held += len(words)
+                if held >= CHUNK_WORDS or len(ids) >= CHUNK_WORDS // 10:
+                    yield from emit()
+                    chunk, held, ids, texts, targets = chunk + 1, 0, [], [], []
+                if len(entry) > MEMO_ENTRIES:
+                    entry.trim()
+        if ids:
+            yield from emit()
+        entry.trim()
 
+    return docs.select("doc_id", "text", "target").mapInArrow(run, schema)
+
+
+def values_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The flat values of a column of lists, and the lists' sizes."""
+    joined = column.combine_chunks()
+    joined = joined if isinstance(joined, pa.Array) else pa.concat_arrays(joined.chunks)
+    return joined.flatten().to_numpy(), joined.value_lengths().to_numpy()
+
+
+def totals(rows: DataFrame, kind: int) -> DataFrame:
+    """The chunks' counts of one kind with the sums over all chunks in place of their own; `n_new` sums to the
+    number of different entries. Words keep their hashes."""
+    width = WIDTH[kind]
+
+    def add(group: pa.Table) -> pa.Table:
+        keys, sizes = values_of(group.column("keys"))
+        counts = values_of(group.column("counts"))[0].reshape(-1, width)
+        different, which = np.unique(keys, return_inverse=True)
+        # Sums of floats are exact below 2^53.
+        sums = [np.bincount(which, weights=counts[:, k])[which].astype(np.int64) for k in range(width)]
+        ends = np.append(0, np.cumsum(sizes))
+        n_new = np.zeros(len(sizes), np.int64)
+        n_new[0] = len(different)
+        held = group.column("keys").combine_chunks() if kind == WORD else pa.nulls(len(sizes), pa.list_(pa.int64()))
+        return pa.table(
+            {
+                "chunk": group.column("chunk"), "kind": group.column("kind"), "bucket": group.column("bucket"),
+                "keys": held, "counts": lists(np.stack(sums, axis=1).ravel(), ends * width), "n_new": n_new,
+            }
+        )
+
+    own = rows.where(F.col("kind") == kind).select("chunk", "kind", "bucket", "keys", "counts")
+    return own.groupBy("bucket").applyInArrow(
+        add, "chunk long, kind int, bucket long, keys array<long>, counts array<long>, n_new long"
+    )
 
-def cross_entropy(docs: DataFrame, target_ids: DataFrame, words: int = WORDS) -> DataFrame:
+
+def losses(pair: np.ndarray, first: np.ndarray, second: np.ndarray, n_words: int, size: int) -> np.ndarray:
+    """Loss in bits of the second word of bigrams: counts of the bigram, of its first word as a first one, of its
+    second word; `n_words` words were counted and the vocabulary has `size` entries. The same for each model."""
+    bigram = np.divide(pair, first, out=np.zeros(len(pair)), where=first > 0)
+    weight = np.where(first > 0, BIGRAM_WEIGHT, 0.0)
+    return -np.log2(weight * bigram + (1 - weight) * (second + PSEUDO) / (n_words + PSEUDO * size))
+
+
+def cross_entropy(docs: DataFrame, target_ids: DataFrame, words: int | None = None) -> DataFrame:
     """(doc_id, n_words, target_loss, background_loss, difference) per document (doc_id, text).
 
     `target_ids` (doc_id) names the documents of the target; the background are all documents. Losses are bits per
     word, `difference` is the mean of the word losses under the target less those under the background: the lower,
-    the more a text is like the target. A null or empty text has no words and losses of 0. Rows that repeat are
-    counted and scored each; a null doc_id is never in the target. Empty tables give no rows.
+    the more a text is like the target. The vocabulary is every word of all texts; a caller that passes `words` closes
+    it to so many frequent words, and others count as classes by shape. A null or empty text has no words and losses
+    of 0. Rows that repeat are counted and scored each; a null doc_id is never in the target. Empty tables give no rows.
     """
     spark = docs.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     base = docs.select("doc_id", "text")
-    found = vocabulary(base, words)
-    size = START + 1 + words
-    known = spark.sparkContext.broadcast(found)
+    known = None if words is None else spark.sparkContext.broadcast(vocabulary(base, words))
     # The same join at every size: what grows with the corpus is never broadcast.
     marked = base.join(
         target_ids.select("doc_id", F.lit(True).alias("target")).dropDuplicates(["doc_id"]).hint("merge"), "doc_id", "left"
     )
-    table = pair_counts(marked, known, size).toArrow()  # one row per pair of entries at most
-    both = np.zeros((2, size * size))
-    for k, name in enumerate(("target", "background")):
-        both[k, table.column("pair").to_numpy()] = table.column(name).to_numpy()
-    models = spark.sparkContext.broadcast(np.stack([losses(b.reshape(size, size)) for b in both]))
+    n_bytes = base.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = max(1, math.ceil(n_bytes / BUCKET_BYTES))
+    rows = settle(chunked(marked, known, buckets), "language-chunks")
+    by_word = settle(totals(rows, WORD), "language-words")
+    texts = rows.where(F.col("kind") == DOC)
+    n = F.size("words").cast("long")
+    seen = texts.agg(F.sum(F.when(F.col("target"), n)).alias("target"), F.sum(n).alias("background")).first()
+    counted = {k: seen[k] or 0 for k in ("target", "background")}
+    different = by_word.agg(F.sum("n_new")).first()[0] or 0
+    size = START + 1 + words if words is not None else different
+    start = Words(None if known is None else {}).start
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def score(batch):
-        entry = score.__dict__.setdefault("entry", Words(known.value))
-        rows = []
-        for text in strings(batch, "text"):
-            seen = entries(text, entry)
-            n = len(seen) - 1
-            pairs = seen[:-1] * size + seen[1:]
-            target, background = (float(m[pairs].sum(dtype=np.float64)) / max(n, 1) for m in models.value)
-            rows.append((n, target, background, target - background))
-        entry.trim()
-        names = ("n_words", "target_loss", "background_loss", "difference")
-        yield {"doc_id": batch.column("doc_id")} | dict(zip(names, zip(*rows)))
-
+    def score(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+        kinds = group.column("kind").to_numpy()
+        cuts = np.searchsorted(kinds, [WORD, PAIR, DOC, DOC + 1])
+        of_words, of_pairs, of_docs = (group.slice(a, b - a) for a, b in zip(cuts, cuts[1:]))
+        local, sizes = values_of(of_docs.column("words"))
+        total_loss = [np.zeros(len(sizes)), np.zeros(len(sizes))]
+        if len(local):
+            hashes = values_of(of_words.column("keys"))[0].view(np.uint64)
+            word_counts = values_of(of_words.column("counts"))[0].reshape(-1, WIDTH[WORD])
+            pair_counts = values_of(of_pairs.column("counts"))[0].reshape(-1, WIDTH[PAIR])
+            first = before(local, sizes, np.searchsorted(hashes, start))
+            # The bigrams in the order of their hashes, as they were counted.
+            _, some, which = np.unique(pair_of(hashes[first], hashes[local]), return_index=True, return_inverse=True)
+            a, b = first[some], local[some]
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            for k, n_words in enumerate((counted["target"], counted["background"])):
+                bits = losses(pair_counts[:, k], word_counts[a, k], word_counts[b, 2 + k], n_words, size)
+                total_loss[k] = np.bincount(owner, weights=bits[which], minlength=len(sizes)) / np.maximum(sizes, 1)
+        target, background = total_loss
+        return pa.table(
+            {
+                "doc_id": of_docs.column("doc_id"), "n_words": sizes.astype(np.int64), "target_loss": target,
+                "background_loss": background, "difference": target - background,
+            }
+        )
+
+    # Every chunk meets the sums of its own entries; only those are moved.
+    columns = ["chunk", "kind", "bucket", "keys", "counts"]
+    none = [F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("array<int>").alias("words")]
+    sums = by_word.select(*columns, *none).unionAll(totals(rows, PAIR).select(*columns, *none))
+    together = sums.unionAll(texts.select(*columns, "doc_id", "words"))
     schema = f"doc_id {kind}, n_words long, target_loss double, background_loss double, difference double"
-    return mapped(base, score, schema)
+    return together.groupBy("chunk").applyInArrow(score, schema)

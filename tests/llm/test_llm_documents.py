@@ -227,6 +227,35 @@ def test_losses_and_matched_models(spark, docs):
     assert lm_score.cross_entropy(docs([]), target).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [1, 700, 1_000_000])
+def test_losses_know_every_word(spark, docs, monkeypatch, chunk):
+    monkeypatch.setattr(lm_score, "CHUNK_WORDS", chunk)
+    monkeypatch.setattr(lm_score, "BUCKET_BYTES", 3_000)
+    common = [f"c{k:05d}" for k in range(1_200)]  # more frequent than any topic word
+    rng = random.Random(4)
+    topic = lambda name, k: " ".join(rng.choice(common) if j % 2 else f"{name}{(7 * k + j) % 90:05d}" for j in range(400))
+    rows = [(k, topic("a" if k < 12 else "b", k)) for k in range(24)] + [(30, " ".join(common * 3)), (31, None), (32, ""), (32, "One"), (None, "one")]
+    target = spark.createDataFrame([(k,) for k in range(8)], "doc_id long")
+    got = {(r.doc_id, r.n_words): r for r in lm_score.cross_entropy(docs(rows), target).collect()}
+    assert len(got) == len(rows)
+    seqs = [(i, ["", *(t or "").lower().split()]) for i, t in rows]
+    size = len({w for _, s in seqs for w in s})
+    for name, some in (("target_loss", [s for i, s in seqs if i in range(8)]), ("background_loss", [s for _, s in seqs])):
+        pair = Counter(p for s in some for p in zip(s, s[1:]))
+        first, second = Counter(), Counter()
+        for (a, b), n in pair.items():
+            first[a] += n
+            second[b] += n
+        for i, s in seqs:
+            bits = 0
+            for a, b in zip(s, s[1:]):
+                weight = lm_score.BIGRAM_WEIGHT if first[a] else 0.0
+                bits -= np.log2(weight * pair[a, b] / max(first[a], 1) + (1 - weight) * (second[b] + 1) / (sum(second.values()) + size))
+            assert got[i, len(s) - 1][name] == pytest.approx(bits / max(len(s) - 1, 1))
+    held_out, other = ([got[k, 400].difference for k in some] for some in (range(8, 12), range(12, 24)))
+    assert max(held_out) < min(other)
+
+
 def test_factors_in_linear_time():
     rng = np.random.default_rng(1)
     model = fm_quality.Model(0.3, rng.normal(size=fm_quality.WIDTH), rng.normal(size=(fm_quality.WIDTH, 4)))
