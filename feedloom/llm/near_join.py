@@ -89,15 +89,14 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(doc_id, F.xxhash64("text")).alias("_key"), doc_id.alias("doc_id"), "text")
 
 
-def compare(nodes: np.ndarray, copies: np.ndarray, block: np.ndarray, sets: list[np.ndarray], similarity: float):
-    """Links among the nodes of one block, or between those of two: (text links, document links, parent) per node."""
+def compare(nodes: np.ndarray, copies: np.ndarray, block: np.ndarray, sets: list[np.ndarray], similarity: float, two: bool):
+    """Links among the nodes of one block, or only between those of `two`: (text links, document links, parent) per node."""
     n = len(nodes)
     size = np.array([len(s) for s in sets], np.int64)
     gram, inverse, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(n), size)[np.argsort(inverse, kind="stable")]
     start = np.cumsum(holders) - holders
     mine = np.split(inverse, np.cumsum(size)[:-1])
-    two = block.min() != block.max()
     texts, documents = np.zeros(n, np.int64), np.zeros(n, np.int64)
     parent = list(range(n))
 
@@ -162,13 +161,16 @@ def verified(candidates: DataFrame, docs: DataFrame, n: int, similarity: float)
         F.greatest("block", "_other").alias("b"),
     )
 
-    def links(group: pa.Table) -> pa.Table:
+    def links(key: tuple, group: pa.Table) -> pa.Table:
+        two = key[1].as_py() != key[2].as_py()
         nodes = group.column("node").to_numpy()
         block = group.column("block").to_numpy()
+        if two and block.min() == block.max():  # the other block has no nodes
+            return pa.table({c: pa.array([], pa.int64()) for c in ("node", "parent", "texts", "documents")})
         lists = group.column("grams").combine_chunks()
         values, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
         sets = [values[x:y] for x, y in zip(ends[:-1], ends[1:])]
-        t, d, parent = compare(nodes, group.column("copies").to_numpy(), block, sets, similarity)
+        t, d, parent = compare(nodes, group.column("copies").to_numpy(), block, sets, similarity, two)
         out = pa.table({"node": nodes, "parent": parent, "texts": t, "documents": d})
         return out.filter(pa.array(t > 0))
 

@@ -74,6 +74,13 @@ def test_near_classes(docs, monkeypatch, block):
     assert sorted(map(str, [(r.doc_id, r.class_id, r.n_links, r.n_text_links) for r in got])) == sorted(map(str, brute_classes(NEAR)))
 
 
+@pytest.mark.parametrize("block", [40, 150])
+def test_near_classes_with_empty_blocks(docs, monkeypatch, block):
+    monkeypatch.setattr(near_join, "BLOCK_GRAMS", block)  # more blocks than texts in every group
+    got = near_join.near_classes(docs(NEAR)).collect()
+    assert sorted(map(str, brute_classes(NEAR))) == sorted(str((r.doc_id, r.class_id, r.n_links, r.n_text_links)) for r in got)
+
+
 def test_near_keeps_one(docs):
     kept = near_join.keep_one(docs(NEAR))
     assert kept.columns == docs([]).columns
