@@ -37,33 +37,50 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def runs(text: str, parts: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first sentence and end sentence of the shortest run from each sentence that is long enough.
+    """Hash, first sentence and end sentence of the shortest long-enough runs from each sentence and up to each.
 
-    Words are compared in lower case; white space does not count.
+    Together they cover every run that is long enough: up to the last sentence from which the run's end is far enough,
+    the run from a sentence ends inside it, and the run up to its end has the rest. A run that holds a long-enough run
+    is long enough itself. Words are compared in lower case; white space does not count.
     """
     words = [text[a:b].lower().encode("utf-8", "surrogatepass").split() for a, b in parts]
     sizes = np.array([len(w) for w in words], np.int64)
-    total = np.concatenate([[0], np.cumsum(sizes)])
     # A polynomial prefix hash gives the hash of any run of words in one step.
     flat = mix(word_hashes([w for some in words for w in some]))
+    total = np.concatenate([[0], np.cumsum(sizes)])
     with np.errstate(over="ignore"):
         power = np.cumprod(np.full(len(flat) + 1, 0x9E3779B97F4A7C15, np.uint64))
         prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(flat * power[:-1], dtype=np.uint64)]) if len(flat) else np.zeros(1, np.uint64)
-        # The first sentence end that completes the words; then at least SENTENCES sentences with words.
-        first = np.arange(len(parts))
-        filled = np.flatnonzero(sizes)
-        by_words = np.searchsorted(total, total[:-1] + RUN_WORDS, side="left")
-        at = np.searchsorted(filled, first) + SENTENCES - 1
-        by_count = np.where(at < len(filled), filled[np.minimum(at, len(filled) - 1)] + 1, len(parts) + 1) if len(filled) else first + len(parts) + 1
-        end = np.where(sizes >= LONG_SENTENCE, first + 1, np.maximum(by_words, by_count))
-        good = (end <= len(parts)) & (sizes > 0)
-        first, end = first[good], end[good]
+        n = len(parts)
+        last = shortest_ends(sizes)
+        start = n - shortest_ends(sizes[::-1])[::-1]
+        from_each, up_to_each = np.flatnonzero(last <= n), np.flatnonzero(start >= 0)
+        both = np.concatenate([
+            np.stack([from_each, last[from_each]], axis=1), np.stack([start[up_to_each], up_to_each + 1], axis=1)
+        ])
+        first, end = np.unique(both, axis=0).T if len(both) else both.T
         a, b = total[first], total[end]
         # Bring the run's terms to the same power before comparing: multiply by the inverse of power[a].
         span = (prefix[b] - prefix[a]) * inverse_powers(len(flat) + 1)[a]
         return mix(span ^ mix((b - a).astype(np.uint64))), first, end
 
 
+def shortest_ends(sizes: np.ndarray) -> np.ndarray:
+    """End of the shortest long-enough run from each sentence with words; one more than there are sentences if none is."""
+    n = len(sizes)
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    first = np.arange(n)
+    filled = np.flatnonzero(sizes)
+    if not len(filled):
+        return np.full(n, n + 1)
+    # The first sentence end that completes the words; then at least SENTENCES sentences with words.
+    by_words = np.searchsorted(total, total[:-1] + RUN_WORDS, side="left")
+    at = np.searchsorted(filled, first) + SENTENCES - 1
+    by_count = np.where(at < len(filled), filled[np.minimum(at, len(filled) - 1)] + 1, n + 1)
+    end = np.where(sizes >= LONG_SENTENCE, first + 1, np.maximum(by_words, by_count))
+    return np.where(sizes > 0, end, n + 1)
+
+
 _INVERSES = np.ones(1, np.uint64)
 
 

@@ -129,6 +129,45 @@ def test_repeated_passages(docs):
     assert sentence_spans.drop_repeats(docs([])).count() == 0
 
 
+def uneven(sizes, seed):
+    """Sentences of the given numbers of words."""
+    rng = random.Random(seed)
+    return [" ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(n)) + ". " for n in sizes]
+
+
+def brute_spans(rows):
+    """Per text the sentences in a long-enough run that occurred in an earlier document or earlier in the text."""
+    seen, out = set(), {}
+    for i, text in rows:
+        parts = [tuple(text[a:b].lower().split()) for a, b in sentence_spans.sentences(text)]
+        own, gone = set(), set()
+        for a in range(len(parts)):
+            for b in range(a + 1, len(parts) + 1):
+                run = sum(parts[a:b], ())
+                long = len(run) >= 20 and sum(map(bool, parts[a:b])) >= 2 or any(len(p) >= 40 for p in parts[a:b])
+                if long and (run in seen or run in own):
+                    gone |= set(range(a, b))
+                if long:
+                    own.add(run)
+        seen |= own
+        out[i] = len(gone)
+    return out
+
+
+def test_runs_equal_all_sentence_runs(docs):
+    rng = random.Random(8)
+    rows = []
+    for n, sizes in enumerate([(39, 3, 3, 3, 3), (45, 10), (10, 45), (8, 8, 8), (3, 3, 3, 3, 39), (9, 9), (41,), (45, 2, 3, 50, 1, 1)]):
+        passage = "".join(uneven(sizes, 50 + n))
+        rows += [(2 * n + 1, passage + "".join(uneven((7, 12), 90 + n))), (2 * n + 2, "".join(uneven((6,), 70 + n)) + passage + "".join(uneven((5, 30), 80 + n)))]
+    pool = [uneven([rng.choice((1, 2, 5, 9, 19, 25, 39, 40, 44))], 1_000 + k)[0] for k in range(40)]
+    for k in range(40):
+        at = [rng.randrange(40) for _ in range(3)]
+        rows.append((100 + k, "".join(s for a in at for s in pool[a : a + rng.randint(1, 6)])))
+    got = {r.doc_id: r.n_removed for r in sentence_spans.drop_repeats(docs(rows)).collect()}
+    assert got == brute_spans(rows) and [got[2 * n + 2] for n in range(8)] == [5, 2, 2, 3, 5, 0, 1, 6]
+
+
 def brute_counts(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text)
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
