@@ -168,10 +168,32 @@ def tag_terms(t):
     FROM x""",
 )
 def search_titles(t):
-    """Headlines built around the first sentence, stripped again to the search phrases."""
-    core = F.split_part(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit("."), F.lit(1))
-    plain = text.squeeze(core)
+    """Headlines built around plain first sentences, stripped again; `search_candidates` takes every document."""
     noisy = r"""(?i)[‘’“”'"]|[-–—|:]|\b(?:every|reveal|examine|debut|announce|season|trailer|hold|first|watch|dive|show|here|where|get|is)"""
+    df = cores_of(keep_plain(t.documents, _first_sentence(), noisy))
+    df = df.withColumn("keys", text.search_keys(F.col("core"), F.col("core")))
+    return df.select(
+        "doc_id",
+        F.get("keys", F.lit(0)).alias("search_title"),
+        F.get("keys", F.lit(1)).alias("four_words"),
+        F.get("keys", F.lit(2)).alias("three_words"),
+    )
+
+
+@query("search_candidates")
+def search_candidates(t):
+    """All search phrases of the headline around the first sentence of every document."""
+    return cores_of(t.documents).select("doc_id", text.search_keys(F.col("core"), F.col("clean")).alias("candidates"))
+
+
+def _first_sentence():
+    text_ = F.coalesce("text", F.lit(""))
+    return text.squeeze(F.split_part(F.split_part(text_, F.lit("\n"), F.lit(1)), F.lit("."), F.lit(1)))
+
+
+def cores_of(docs):
+    """(doc_id, headline, clean, core) of headlines built around the first sentence."""
+    plain = _first_sentence()
     k = F.col("doc_id") % 4
     headline = (
         F.when(k == 0, F.concat(plain, F.lit(" - Netflix announces more")))
@@ -179,16 +201,9 @@ def search_titles(t):
         .when(k == 2, F.concat(plain, F.lit(" Official Trailer drops")))
         .otherwise(F.concat(F.lit("Everyone is in ‘"), plain, F.lit(" ’ today")))
     )
-    df = keep_plain(t.documents, plain, noisy).select("doc_id", headline.alias("headline"))
+    df = docs.select("doc_id", headline.alias("headline"))
     df = pin(df, clean=text.search_title("headline"))
-    df = pin(df, core=text.title_core(F.col("headline"), F.col("clean")))
-    df = df.withColumn("keys", text.search_keys(F.col("core"), F.col("core")))
-    return df.select(
-        "doc_id",
-        F.get("keys", F.lit(0)).alias("search_title"),
-        F.get("keys", F.lit(1)).alias("four_words"),
-        F.get("keys", F.lit(2)).alias("three_words"),
-    )
+    return pin(df, core=text.title_core(F.col("headline"), F.col("clean")))
 
 
 def keep_plain(df, plain, noisy):

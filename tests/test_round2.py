@@ -1,9 +1,16 @@
 """Registry limits, character references, broken items, escaped documents and chart keys in the stream."""
 
 import os
+import re
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
+from tests.check import TESTDATA
 
+import __spark_entry__ as entry
+from feedloom import vocab
+from feedloom.bindings import QUERIES
 from feedloom.functions import html
 from feedloom.operators import combine, gates, rank
 from feedloom.schema import RAW_ITEM, conform
@@ -60,3 +67,40 @@ def test_items_are_numbered_and_broken_ones_counted(spark):
     assert sorted(r.entry_ord for r in entries.where(F.col("file").contains("/a/")).collect()) == [1, 2, 3, 4, 5]
     assert entries.where(F.col("file").contains("/b/")).count() == 2
     assert syndication.broken_items(spark, f"{path}/*").agg(F.sum("n_broken")).first()[0] == 1
+
+
+def cleaned_title(title):
+    out = title
+    for pattern in (vocab.SEARCH_TRAILING_NOISE, vocab.SEARCH_SEASON, vocab.SEARCH_SUFFIXES, vocab.SEARCH_PREFIXES):
+        out = re.sub(pattern, "", out, flags=re.I)
+    return re.sub(r"[:\-–—|]+\s*$", "", re.sub(r"\s+", " ", out).strip()).strip() or title.strip()
+
+
+def candidates(doc_id, body):
+    plain = re.sub(r"\s+", " ", (body or "").split("\n")[0].split(".")[0]).strip()
+    title = (f"{plain} - Netflix announces more", f"Watch {plain} season 12", f"{plain} Official Trailer drops", f"Everyone is in ‘{plain} ’ today")[doc_id % 4]
+    quoted, clean = re.search(vocab.QUOTED_TITLE, title), cleaned_title(title)
+    core = quoted[1].strip() if quoted else clean
+    words = (core or clean).split()
+    out = [core, clean, " ".join(words[:4]) if len(words) > 4 else "", " ".join(words[:3]) if len(words) > 6 else ""]
+    return [c for n, c in enumerate(out) if c.strip() and c.lower().strip() not in [o.lower().strip() for o in out[:n]]]
+
+
+NOISY = [
+    "", None, "Top 'Scary Movie' here", "Dune: Part Two - what we know", "Watch the men in black | Hulu", "“It” gets a new trailer", "Is it", "Here's what is new: Every show",
+    "First look at a very long headline of many words", "Where will Dune go – and why", "\"A\" and 'Bcd' show", "12 shows coming in 2024 by x", "season 3", "Announces every", "- : |",
+]
+
+
+def test_search_candidates_of_every_document(spark):
+    rows = [(4 * n + k, t) for n, t in enumerate(NOISY) for k in range(4)]
+    got = QUERIES["search_candidates"](SimpleNamespace(documents=spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+    assert {r.doc_id: r.candidates for r in got} == {i: candidates(i, t) for i, t in rows}
+
+
+def test_search_candidates_of_the_given_documents(spark):
+    folder = os.path.join(TESTDATA, "sf0.001")
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    got = {r.doc_id: r.candidates for r in entry.queries()["search_candidates"](spark, folder).collect()}
+    assert got == {r.doc_id: candidates(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
