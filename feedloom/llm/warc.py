@@ -99,7 +99,7 @@ def write_archives(pages: DataFrame, path: str, revisit_bytes: int = 0) -> None:
 def parse(piece: bytes, first: bool) -> dict | None:
     """The fields of a piece that begins behind its magic, or None if it is no record."""
     at = piece.find(END.encode())
-    if at < 0 or not piece[:32].split(b"\r\n", 1)[0].strip(MAGIC.encode()).isdigit():
+    if at < 0 or not piece[:32].split(b"\r\n", 1)[0].removeprefix(MAGIC.encode()).isdigit():
         return None
     fields = {k.lower(): v for k, v in _FIELD.findall(piece[:at])}
     if not fields.get(b"content-length", b"").isdigit() or b"warc-type" not in fields:

@@ -56,6 +56,17 @@ def test_splits_inside_records(spark):
             spark.conf.set(k, v)
 
 
+def test_version_1_1(spark, tmp_path):
+    bodies = [b"", b"<p>one</p>", b"two\r\n\r\nWARC/1.1\r\n"]
+    with open(tmp_path / "a.warc", "wb") as out:
+        for k, body in enumerate(bodies):
+            block = b"HTTP/1.1 200 OK\r\n\r\n" + body
+            head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{k}>\r\nContent-Length: {len(block)}\r\n\r\n"
+            out.write(head.encode() + block + b"\r\n\r\n")
+    got = {r.page_id: r.payload_bytes for r in warc.read_archives(spark, str(tmp_path)).collect()}
+    assert got == {k: len(body) for k, body in enumerate(bodies)}
+
+
 def test_rows_without_id_and_ties(spark):
     rows = [(None, "u", "a"), (None, "u", "b"), (1, "u", "a"), (2, "u", "c"), (2, "u", "c")]
     got = sorted(((r.page_id or 0, r.record_type, r.refers_to) for r in warc.round_trip(make(spark, rows)).collect()), key=str)
