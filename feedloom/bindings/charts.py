@@ -11,7 +11,6 @@ from feedloom.functions import dates
 from feedloom.operators import dedupe, fingerprint, keyed, rank
 from feedloom.sources import documents, pages
 
-ROWS_PER_BUCKET = 1_000_000
 
 
 @query(
@@ -39,9 +38,18 @@ def chart_dedupe(t):
     """SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rank FROM part""",
 )
 def list_positions(t):
-    parts = t.part.select("p_partkey", "p_brand")
-    bucket = F.floor(F.col("p_partkey") / ROWS_PER_BUCKET)
-    return keyed.enumerate_positions(parts, ["p_brand"], ["p_partkey"], bucket)
+    return keyed.enumerate_positions(t.part.select("p_partkey", "p_brand"), ["p_brand"], ["p_partkey"])
+
+
+@query(
+    "name_positions",
+    """SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_name DESC, c_custkey) AS rank
+    FROM customer""",
+)
+def name_positions(t):
+    """Few long lists in falling order of a text: the ranges come from a sample of the texts."""
+    customers = t.customer.select("c_custkey", "c_mktsegment", "c_name")
+    return keyed.enumerate_positions(customers, ["c_mktsegment"], [F.desc("c_name"), "c_custkey"]).drop("c_name")
 
 
 @query(
@@ -49,11 +57,8 @@ def list_positions(t):
     "SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rank FROM events",
 )
 def event_positions(t):
-    """Few very long lists: buckets of a thousand events spread each over many tasks."""
-    events = t.events.select("event_id", "event_type")
-    return keyed.enumerate_positions(
-        events, ["event_type"], ["event_id"], F.floor(F.col("event_id") / 1000)
-    )
+    """Few very long lists, each spread over many tasks."""
+    return keyed.enumerate_positions(t.events.select("event_id", "event_type"), ["event_type"], ["event_id"])
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions.core import col
+from feedloom.session import settle
 
 #: Rows of one key that one task joins; a key with more rows gets as many salts as it needs.
 ROWS_PER_TASK = 1_000_000
@@ -30,32 +31,37 @@ def ranked_by(df: DataFrame, keys: list, order: list, n: int, name: str = "rank"
 
 
 def enumerate_positions(
-    df: DataFrame, keys: list[str], order: list[str], bucket: Column, name: str = "rank"
+    df: DataFrame, keys: list[str], order: list, bucket: Column | None = None, name: str = "rank"
 ) -> DataFrame:
-    """1-based position of every row in its list, for lists of any length.
+    """1-based position of every row in its list, for lists of any length and any order columns.
 
-    `bucket` never decreases along the order. Rows are numbered within (list, bucket) and
-    shifted by the size of the earlier buckets, so a long list is spread over many tasks;
-    only one row per bucket is summed up along the list.
+    Rows are numbered within (list, bucket) and shifted by the size of the earlier buckets, so a long list is
+    spread over many tasks; only one row per bucket is summed up along the list. Without `bucket` the rows are
+    written once in ranges of (list, order): Spark cuts the ranges at splitters from a sample of the rows, so
+    strings and skewed numbers spread as well as dense ids do. A given `bucket` must never decrease along the
+    order and saves that step. Rows that tie in the whole order share a range and are numbered in any order.
     """
-    df = df.withColumn("_bucket", bucket)
-    within = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    along = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    if bucket is None:
+        ranged = df.repartitionByRange(*keys, *order).withColumn("_bucket", F.spark_partition_id())
+        df = settle(ranged, "ranges")
+    else:
+        df = df.withColumn("_bucket", bucket)
+    # One column that is never NULL, in which NULL keys are equal: the window and the join share one shuffle.
+    df = df.withColumn("_list", F.struct(*keys) if keys else F.lit(0))
+    within = Window.partitionBy("_list", "_bucket").orderBy(*order)
+    along = Window.partitionBy("_list").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.groupBy(*keys, "_bucket")
+        df.groupBy("_list", "_bucket")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(along), F.lit(0)))
-        .drop("_rows")
+        .select("_list", "_bucket", F.coalesce(F.sum("_rows").over(along), F.lit(0)).alias("_before"))
+    )
+    numbered = df.withColumn("_within", F.row_number().over(within))
+    position = (F.col("_within") + F.col("_before")).cast("long")
+    return (
+        numbered.join(offsets, ["_list", "_bucket"])
+        .withColumn(name, position)
+        .drop("_list", "_bucket", "_within", "_before")
     )
-    # Null-safe, because a list key may be NULL.
-    numbered = df.withColumn("_within", F.row_number().over(within)).alias("n")
-    o = offsets.alias("o")
-    same = F.col("n._bucket").eqNullSafe(F.col("o._bucket"))
-    for k in keys:
-        same = same & F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}"))
-    return numbered.join(o, same).select(
-        "n.*", (F.col("n._within") + F.col("o._before")).cast("long").alias(name)
-    ).drop("_bucket", "_within")
 
 
 def key_counts(rows: DataFrame, on: list[str]) -> DataFrame:

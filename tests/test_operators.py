@@ -55,6 +55,28 @@ def test_positions_equal_row_number(spark):
     assert {(r["k"], r["o"], r["rank"]) for r in got} == {(r["k"], r["o"], r["rank"]) for r in want}
 
 
+def test_positions_in_sampled_ranges(spark):
+    """A hot list in order of skewed strings, NULLs among keys and order, falling order."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        i = F.col("id")
+        key = F.when(i % 10 == 0, F.concat(F.lit("k"), i % 3)).when(i % 10 == 1, None).otherwise("hot")
+        text = F.when(i % 50 == 3, None).otherwise(F.concat(F.lit("a" * 12), F.sha1(i.cast("string"))))
+        df = spark.range(4_000).select(i, key.alias("k"), text.alias("o"))
+        order = [F.desc_nulls_first("o"), "id"]
+        got = keyed.enumerate_positions(df, ["k"], order)
+        want = df.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+        assert sorted(map(tuple, got.select("id", "rank").collect())) == sorted(map(tuple, want.select("id", "rank").collect()))
+        plain = keyed.enumerate_positions(df.select("id"), [], ["id"]).collect()
+        assert all(r["id"] + 1 == r["rank"] for r in plain)
+        hot = keyed.enumerate_positions(df, ["k"], order).where("k = 'hot'")
+        sizes = [r["count"] for r in hot.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) > 3 and max(sizes) < 2_000
+        assert keyed.enumerate_positions(df.limit(0), ["k"], order).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_first_by_limits_before_the_shuffle(spark):
     df = spark.range(100).select("id", (F.col("id") % 5).alias("k"))
     plan = plan_of(keyed.first_by(df, ["k"], ["id"]))
