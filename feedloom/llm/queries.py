@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import fm_quality, html_blocks, lexicon, line_rules, lm_score, near_join, sentence_spans, tiling, token_orc, warc
+from feedloom.llm import (
+    centroids,
+    fm_quality,
+    html_blocks,
+    lexicon,
+    line_rules,
+    lm_score,
+    mixing,
+    near_join,
+    prefix_trie,
+    sentence_spans,
+    tiling,
+    token_orc,
+    warc,
+)
 from feedloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +92,20 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_string_tiling")
 def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_bisector_clusters", centroids.oracle())
+def bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_prefix_trie", prefix_trie.ORACLE)
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = prefix_trie.shared_starts(prefix_trie.turn_rows(table(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(turns, convs)
+
+
+@query("op13_source_mix", mixing.ORACLE)
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
