@@ -10,6 +10,7 @@ from feedloom.bindings.registry import query
 from feedloom.functions import dates, text
 from feedloom.operators import fingerprint, gates, keyed, normalize
 from feedloom.plans import feeds as feed_plan
+from feedloom.plans import sources as source_jobs
 from feedloom.schema import ORDER
 from feedloom.session import is_folder, settle, work_dir
 from feedloom.sources import published, syndication
@@ -93,6 +94,11 @@ def meta_versions(t):
     )
 
 
+def _escaped(c):
+    c = F.replace(c, F.lit("&"), F.lit("&amp;"))
+    return F.replace(F.replace(c, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
 @query(
     "syndication_files",
     rf"""WITH x AS (SELECT doc_id, source, regexp_replace(text, '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g') AS text FROM documents),
@@ -104,25 +110,20 @@ def meta_versions(t):
 )
 def syndication_files(t):
     """Documents written as RSS items and read by the XML source."""
-
-    def escaped(c):
-        c = F.replace(c, F.lit("&"), F.lit("&amp;"))
-        return F.replace(F.replace(c, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-
     # XML cannot carry control characters.
     docs = t.documents.withColumn("text", F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""))
     key = F.col("doc_id").cast("string")
     # The summary is HTML inside XML, so its text is escaped twice.
     summary = F.concat(
-        F.lit('<a href="//x.example/a/'), key, F.lit('">x</a> '), escaped("text"),
+        F.lit('<a href="//x.example/a/'), key, F.lit('">x</a> '), _escaped("text"),
         F.lit('<img class="c" src="//i.example/'), key, F.lit('.jpg"/>'),
     )
     summary = F.regexp_replace(summary, ">x</a> ", "></a> ")
     item = F.concat(
-        F.lit("<item><title>"), escaped(F.split_part("text", F.lit("\n"), F.lit(1))),
+        F.lit("<item><title>"), _escaped(F.split_part("text", F.lit("\n"), F.lit(1))),
         F.lit("</title><link>https://news.google.com/rss/"), key,
         F.lit('</link><guid isPermaLink="false">https://id.example/'), key,
-        F.lit("</guid><pubDate>Mon, 06 May 2024 23:30:00 -0500</pubDate><description>"), escaped(summary),
+        F.lit("</guid><pubDate>Mon, 06 May 2024 23:30:00 -0500</pubDate><description>"), _escaped(summary),
         F.lit('</description><source url="https://'), "source", F.lit('.example/">'), "source",
         F.lit("</source></item>"),
     )
@@ -140,6 +141,63 @@ def syndication_files(t):
     )
 
 
+JOB_RULES = {"alpha": {"signals": ["thsh", "Rere"], "exclude": ["ndnd"]}, "beta": {"include": ["erer", "on the"], "trusted": ["/7"]}}
+JOB_ROWS = 300
+
+
+@query(
+    "syndication_job",
+    rf"""WITH x AS (SELECT doc_id, doc_id // 25 AS source_ord, doc_id % 25 + 1 AS entry_ord, regexp_replace(text, '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g') AS text
+      FROM documents),
+    d AS (SELECT *, CASE WHEN source_ord % 2 = 0 THEN 'alpha' ELSE 'beta' END AS feed, {q.squeeze('text')} AS overview,
+      'https://variety.com/2024/film/news/some-story-' || doc_id || '/' AS url,
+      lower({q.squeeze("split_part(text, chr(10), 1)")} || ' ' || {q.squeeze('text')}) AS merged FROM x),
+    k AS (SELECT *, row_number() OVER (PARTITION BY feed ORDER BY source_ord, entry_ord) AS rn FROM d WHERE
+      (feed = 'alpha' AND (contains(merged, 'thsh') OR contains(merged, 'rere')) AND NOT contains(merged, 'ndnd'))
+      OR (feed = 'beta' AND (contains(merged, 'erer') OR contains(merged, 'on the') OR contains(url, '/7'))))
+    SELECT feed, source_ord, entry_ord, CASE feed WHEN 'alpha' THEN 'cinema' ELSE 'multi_platform' END AS platform, overview,
+      url AS article_url, 'Mon, 06 May 2024 23:30:00 -0500' AS published_raw, 'https://i.example/' || doc_id || '.jpg' AS poster_image_url
+    FROM k WHERE rn <= {JOB_ROWS}""",
+)
+def syndication_job(t):
+    """Documents landed as RSS and Atom files, by the file-to-source table and the word lists of two feeds to raw records."""
+    key = F.col("doc_id").cast("string")
+    docs = t.documents.withColumns(
+        {
+            "text": F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""),
+            "batch": F.floor(F.col("doc_id") / 25),
+            "_url": F.concat(F.lit("https://variety.com/2024/film/news/some-story-"), key, F.lit("/")),
+            "_image": F.concat(F.lit("https://i.example/"), key, F.lit(".jpg")),
+        }
+    )
+    title = _escaped(F.split_part("text", F.lit("\n"), F.lit(1)))
+    # The summary is HTML inside XML, so its text is escaped twice.
+    summary = _escaped(_escaped(F.col("text")))
+    item = F.concat(
+        F.lit("<item><title>"), title, F.lit("</title><link>"), "_url", F.lit('</link><guid isPermaLink="false">'), key,
+        F.lit("</guid><pubDate>Mon, 06 May 2024 23:30:00 -0500</pubDate><description>"), summary,
+        F.lit('</description><enclosure type="image/jpeg" url="'), "_image", F.lit('"/></item>'),
+    )
+    entry = F.concat(
+        F.lit('<entry><title type="text">'), title, F.lit('</title><link rel="enclosure" type="image/jpeg" href="'), "_image",
+        F.lit('"/><link href="'), "_url", F.lit('"/><id>'), key, F.lit("</id><published>Mon, 06 May 2024 23:30:00 -0500</published><summary>"),
+        summary, F.lit("</summary></entry>"),
+    )
+    path = work_dir(t.spark, "landed")
+    landed = docs.select("batch", "doc_id", F.when(F.col("batch") % 3 == 2, entry).otherwise(item).alias("value"))
+    ordered = landed.repartition("batch").sortWithinPartitions("batch", "doc_id").select("batch", "value")
+    ordered.write.partitionBy("batch").text(path)
+    feed = F.when(F.col("batch") % 2 == 0, "alpha").otherwise("beta")
+    files = docs.select("batch").distinct().select(
+        F.col("batch").cast("string").alias("name"), feed.alias("feed"), F.col("batch").alias("source_ord")
+    )
+    rules = source_jobs.feed_rules(t.spark, JOB_RULES, {"alpha": "cinema", "beta": "multi_platform"})
+    pages = t.pages.select("url", F.col("url").alias("final_url"), "html")
+    name = F.regexp_extract("file", r"/batch=([^/]+)/", 1)
+    raw = source_jobs.syndication_job(t.spark, path, files, rules, pages, JOB_ROWS, name)
+    return raw.select("feed", "source_ord", "entry_ord", "platform", "overview", "article_url", "published_raw", "poster_image_url")
+
+
 # --- streams ----------------------------------------------------------------------------
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
 from html.entities import html5
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,3 +83,56 @@ def canonical_link(html: Column | str) -> Column:
 
 def og_url(html: Column | str) -> Column:
     return first_match(html, vocab.OG_URL_PATTERNS)
+
+
+def rows_of(html: str, container: str, row: str, cell: str) -> list[list[str]]:
+    """Inner markup of the cells of every row of every container, nested ones too, rows and cells in page order.
+
+    One pass over the tags. An element ends at the end tag of its own container's depth, or where the next one of its
+    kind starts, if its end tag is left out. A row also has the cells of the containers within its cells. Comments,
+    scripts and styles hold no tags.
+    """
+    tags = re.compile(
+        rf"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)({container}|{row}|{cell})\b[^<>]*>", re.I | re.S
+    )
+    rows: list[list[list[int]]] = []
+    open_: list[list] = []  # one (cells of the open row, open cell) per container around this place
+
+    def end_cell(at: int) -> None:
+        if open_[-1][1]:
+            open_[-1][1][1] = at
+        open_[-1][1] = None
+
+    for m in tags.finditer(html):
+        closing, tag = m.group(2), (m.group(3) or "").lower()
+        if tag == container and not closing:
+            open_.append([None, None])
+        elif tag and open_:
+            end_cell(m.start())
+            if tag == container:
+                open_.pop()
+            elif tag == row:
+                open_[-1][0] = None if closing else []
+                if not closing:
+                    rows.append(open_[-1][0])
+            elif not closing and open_[-1][0] is not None:
+                open_[-1][1] = [m.end(), len(html)]
+                for around, _ in open_:
+                    if around is not None:
+                        around.append(open_[-1][1])
+    return [[html[a:b] for a, b in cells] for cells in rows]
+
+
+def container_rows(html: Column | str, container: str, row: str, cell: str) -> Column:
+    """`rows_of` as array<array<string>>, NULL without such a container; one Arrow-batched pass over the markup.
+
+    Depth can't be counted by a pattern, and arrays of the JVM have no running sum, so this is Python; markup that
+    holds no container never leaves the JVM.
+    """
+
+    @F.pandas_udf("array<array<string>>")
+    def find(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda h: None if h is None else rows_of(h, container, row, cell))
+
+    c = col(html)
+    return find(F.when(c.rlike(rf"(?i)<{container}\b"), c))

@@ -257,6 +257,23 @@ def relevance_match(
     return keep
 
 
+def relevance_by_rules(text: Column | str, source_url: Column, rules: Column) -> Column:
+    """`relevance_match` with the word lists as arrays of a struct, in lower case; an empty or null list asks for nothing."""
+    text = col(text)
+    url = F.lower(F.coalesce(source_url, F.lit("")))
+
+    def any_in(where: Column, words: str) -> Column:
+        return F.coalesce(F.exists(rules[words], lambda w: where.contains(w)), F.lit(False))
+
+    def asked(words: str) -> Column:
+        return F.coalesce(F.size(rules[words]), F.lit(0)) > 0
+
+    keep = ~any_in(text, "exclude")
+    for words in ("signals", "extra_signals"):
+        keep = keep & (~asked(words) | any_in(text, words))
+    return keep & (~asked("include") | any_in(url, "trusted") | any_in(text, "include"))
+
+
 def infer_content_type(feed: Column, media_type: Column, text: Column | str) -> Column:
     """`text` is an existing `topic_text` column."""
     feed = F.lower(F.coalesce(feed, F.lit("")))

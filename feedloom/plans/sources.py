@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from feedloom import vocab
 from feedloom.functions import text
+from feedloom.functions.core import pin
 from feedloom.operators import combine, enrich, gates, rank
+from feedloom.session import settle
 from feedloom.sources import documents, pages as html_pages, syndication
 
 # A source plug-in: (spark, config) -> raw records. None means the source failed.
@@ -21,6 +23,17 @@ RULES = {
     "upcoming": {"exclude": vocab.UPCOMING_EXCLUDE},
     "cinema_releases": {"signals": vocab.THEATRICAL_SIGNALS},
 }
+RULE_LISTS = ("exclude", "signals", "extra_signals", "trusted", "include")
+FEED_RULES = "feed string, platform string, default_type string, " + ", ".join(f"{c} array<string>" for c in RULE_LISTS)
+
+
+def feed_rules(spark: SparkSession, rules: dict[str, dict], platforms: dict[str, str], default_type: str = "movie") -> DataFrame:
+    """One row per feed: its platform, its default type and its word lists in lower case."""
+    rows = []
+    for feed, platform in platforms.items():
+        lists = [[w.lower() for w in rules.get(feed, {}).get(c, ())] for c in RULE_LISTS]
+        rows.append((feed, platform, rules.get(feed, {}).get("default_type", default_type), *lists))
+    return spark.createDataFrame(rows, FEED_RULES)
 
 
 def syndication_items(
@@ -44,6 +57,39 @@ def syndication_items(
     return syndication.to_raw_items(taken, platform, default_type)
 
 
+def file_name(file: str = "file") -> Column:
+    """Last part of a file's path."""
+    return F.regexp_extract(file, r"([^/]+)$", 1)
+
+
+def syndication_job(
+    spark: SparkSession,
+    path: str,
+    files: DataFrame,
+    rules: DataFrame,
+    pages: DataFrame,
+    n: int = vocab.FEED_CAP,
+    name: Column | None = None,
+) -> DataFrame:
+    """Landed RSS and Atom files of all feeds to raw records, in one pass.
+
+    `files(name, feed, source_ord)` says which feed and source a file belongs to; `name` reads the name from a file's
+    path, its last part if not given. Entries of files without a row are left out. `rules` is a table as of
+    `feed_rules`; entries of a feed without a row are left out too. `pages(url, final_url, html)` resolves links.
+    """
+    entries = syndication.read_syndication(spark, path).withColumn("name", file_name() if name is None else name)
+    placed = entries.join(files, "name").withColumn("source_ord", F.col("source_ord").cast("long")).drop("file", "name")
+    placed = settle(placed.withColumn("page_ord", F.lit(0).cast("long")), "entries")
+    resolved = enrich.resolve_article_urls(placed, pages, ["feed", "source_ord", "entry_ord"])
+    # The word lists meet the rows where they are judged, so they take part in no shuffle.
+    ruled = syndication.entry_texts(resolved).join(rules, "feed")
+    lists = F.struct(*RULE_LISTS)
+    judged = pin(ruled, _keep=text.relevance_by_rules("merged", F.col("source_url"), lists)).drop(*RULE_LISTS)
+    judged = settle(judged.where("_keep"), "relevant")
+    taken = rank.cascade_with_budget(judged, F.col("_keep"), n, ["feed"], "source_ord", "entry_ord")
+    return syndication.to_raw_items(taken, F.col("platform"), F.col("default_type"))
+
+
 def chart_items(
     replies: DataFrame, by: list[str], label: Column, n: int = vocab.TOP_PER_TYPE
 ) -> DataFrame:

@@ -107,14 +107,13 @@ def extract_json_ld(pages: DataFrame, keep: list[str]) -> DataFrame:
 def extract_rows(
     pages: DataFrame, keep: list[str], container: str = "table", row: str = "tr", cell: str = "td", skip: int = 0
 ) -> DataFrame:
-    """Rows of all such containers, in page order, with their cells by position.
+    """Rows of all such containers, in page order, with their cells by position; see `html.rows_of` for nested ones.
 
     `row_pos` counts from 0 over the page, including skipped rows; `skip` leaves out the page's first rows. Cells stay markup; `html.text_of` reads them.
     """
-    body = F.array_join(html.all_elements("html", container), "\n")
-    rows = pages.select(*keep, F.posexplode(html.all_elements(body, row)).alias("row_pos", "_row"))
-    rows = rows.where(F.col("row_pos") >= skip)
-    return pin(rows, cells=html.all_elements("_row", cell)).drop("_row")
+    rows = pages.where(F.col("html").rlike(rf"(?i)<{container}\b"))
+    rows = rows.select(*keep, F.posexplode(html.container_rows("html", container, row, cell)).alias("row_pos", "cells"))
+    return rows.where(F.col("row_pos") >= skip)
 
 
 def chart_rows(pages: DataFrame, keep: list[str], run_date: Column, min_cells: int = 10) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions import images, text
 from feedloom.functions.core import first_group, pin
+from feedloom.operators.keyed import enumerate_positions
+from feedloom.session import settle
 
 _LINKED = "struct<_VALUE:string,_url:string,_type:string,_rel:string,_href:string>"
 ITEM = (
@@ -17,33 +19,78 @@ ITEM = (
 )
 
 
-def read_items(spark: SparkSession, path: str) -> DataFrame:
-    """One row per `<item>` with `file` and `entry_ord`, its place in the file from 1; `_broken` has malformed items.
+_ATOM_LINK = "array<struct<_VALUE:string,_href:string,_rel:string,_type:string>>"
+ATOM_ENTRY = (
+    f"title string, link {_ATOM_LINK}, id string, published string, summary string, content string, "
+    f"source struct<title:string,link:{_ATOM_LINK}>, `media:content` array<{_LINKED}>, `media:thumbnail` array<{_LINKED}>"
+)
+
 
-    The record-wise reader splits large files over tasks; a malformed item does not touch
-    the rest of its file.
+def _records(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """One row per element `tag`, with its file, the split it was read from and its place in the split.
+
+    The end tag is the record separator of the text source, so Spark cuts files of any size into splits at any byte and
+    every record is still read once and whole; Spark's own XML source reads each file in one task.
     """
-    raw = (
-        spark.read.format("xml")
-        .option("rowTag", "item")
-        .option("useLegacyXMLParser", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_broken")
-        .schema(f"{ITEM}, _broken string")
-        .load(path)
+    read = spark.read.option("lineSep", f"</{tag}>").text(path)
+    record = F.regexp_extract("value", rf"(?s)<{tag}[\s>].*$", 0)
+    found = pin(
+        read.select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        ).where(F.col("value").rlike(rf"<{tag}[\s>]")),
+        _xml=F.concat(record, F.lit(f"</{tag}>")),
     )
-    # The reader refuses to read nothing but its column of malformed records.
-    read = F.length(F.coalesce("title", F.lit(""))) >= 0
-    placed = raw.withColumns(
-        {
-            "_broken": F.when(read, F.col("_broken")),
-            "file": F.col("_metadata.file_path"),
-            "_block": F.col("_metadata.file_block_start"),
-            "_row": F.monotonically_increasing_id(),
-        }
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    parsed = pin(found, _x=F.from_xml("_xml", f"{schema}, _broken string", options))
+    return parsed.select("_x.*", "file", "_block", "_row")
+
+
+def atom_items(entries: DataFrame) -> DataFrame:
+    """Atom entries in the columns of RSS items.
+
+    The first link without a relation or with `alternate` is the entry link, those marked `enclosure` are enclosures,
+    and the summary is the content where there is none.
+    """
+    none = F.array().cast(_ATOM_LINK)
+
+    def alternate(links: Column) -> Column:
+        own = F.filter(links, lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+        return F.try_element_at(own, F.lit(1))["_href"]
+
+    def linked(x: Column) -> Column:
+        return F.struct(x["_VALUE"].alias("_VALUE"), x["_href"].alias("_url"), x["_type"].alias("_type"), x["_rel"].alias("_rel"), x["_href"].alias("_href"))
+
+    links = F.coalesce(F.col("link"), none)
+    source = F.struct(F.col("source.title").alias("_VALUE"), alternate(F.col("source.link")).alias("_url"))
+    kept = [c for c in entries.columns if c not in ("link", "id", "published", "summary", "content", "source")]
+    return entries.select(
+        *(F.col(f"`{c}`") for c in kept),
+        alternate(links).alias("link"),
+        F.col("id").alias("guid"),
+        F.col("published").alias("pubDate"),
+        F.coalesce("summary", "content").alias("description"),
+        F.when(F.col("source").isNotNull(), source).alias("source"),
+        F.transform(F.filter(links, lambda x: x["_rel"] == "enclosure"), linked).alias("enclosure"),
+        F.transform(links, lambda x: x["_href"]).alias("links"),
     )
-    in_file = Window.partitionBy("file").orderBy("_block", "_row")
-    return placed.withColumn("entry_ord", F.row_number().over(in_file)).drop("_block", "_row")
+
+
+def read_items(spark: SparkSession, path: str) -> DataFrame:
+    """One row per RSS `<item>` and Atom `<entry>` with `file` and `entry_ord`, its place in the file from 1; `_broken` has malformed ones.
+
+    Large files are split over tasks; a malformed item does not touch the rest of its file. Items
+    are written once; they are numbered within their split and shifted by the counts of the file's earlier splits, so
+    a file of any size is never gathered in one task.
+    """
+    rss = _records(spark, path, "item", ITEM)
+    rss = rss.withColumn("links", F.coalesce(F.col("enclosure")["_url"], F.array().cast("array<string>")))
+    atom = atom_items(_records(spark, path, "entry", ATOM_ENTRY))
+    items = settle(rss.unionByName(atom), "items")
+    placed = enumerate_positions(items, ["file"], ["_block", "_row"], F.col("_block"), "entry_ord")
+    return placed.drop("_block", "_row")
 
 
 def read_syndication(spark: SparkSession, path: str) -> DataFrame:
@@ -70,7 +117,7 @@ def syndication_entries(raw: DataFrame) -> DataFrame:
         c("guid").alias("id"),
         F.coalesce("link", F.lit("")).alias("link"),
         c("source._url").alias("source_href"),
-        candidate_urls(summary, c("guid"), c("enclosure")["_url"], c("link"), c("source._url")).alias(
+        candidate_urls(summary, c("guid"), c("links"), c("link"), c("source._url")).alias(
             "candidate_urls"
         ),
         media_url(
@@ -143,16 +190,17 @@ def entry_texts(entries: DataFrame) -> DataFrame:
     return pin(read, merged=text.merged_text("title", "overview"))
 
 
-def to_raw_items(entries: DataFrame, platform: str, default_type: str) -> DataFrame:
+def to_raw_items(entries: DataFrame, platform: Column | str, default_type: Column | str) -> DataFrame:
     """Entries (with resolved URLs) as raw records."""
     c = F.col
+    platform = F.lit(platform) if isinstance(platform, str) else platform
     return entries.select(
         *[n for n in ("feed", "source", "source_ord", "page_ord", "entry_ord") if n in entries.columns],
         text.sanitize_title("title").alias("title"),
         # The year of a news entry is the year it was published.
         text.parse_year("published").cast("string").alias("year"),
         text.extract_type("merged", default_type).alias("type"),
-        F.lit(platform).alias("platform"),
+        platform.alias("platform"),
         c("published").alias("release_date"),
         c("published").alias("published_raw"),
         "overview",

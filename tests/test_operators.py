@@ -232,3 +232,40 @@ def test_a_repeat_does_not_return_after_its_first_row_left_the_feed(spark):
     assert titles == ["New"] + [f"Title {i}" for i in range(22, 3, -1)]
     # Replaying the batch changes nothing.
     assert not jobs.refresh_batch(spark, batch(later), 1, path, "t2")
+
+
+def _table(rng, depth):
+    """A random table: its markup, and the cells of every row in page order with those of tables inside them."""
+    html, rows = "<table>", []
+    for _ in range(rng.randint(0, 3)):
+        cells, inside = [], []
+        html += rng.choice(["<tr>", '<TR class="a">'])
+        for _ in range(rng.randint(0, 3)):
+            cell, own = rng.choice(["x", " <b>y</b> ", "<!-- <td> --> z", ""]), []
+            if depth and rng.random() < 0.4:
+                table, inner_rows, own = _table(rng, depth - 1)
+                cell += table
+                inside += inner_rows
+            html += "<td>" + cell + rng.choice(["</td>", ""])
+            cells += [cell, *own]
+        html += rng.choice(["</tr>", ""])
+        rows.append((cells, inside))
+    flat = [r for cells, inside in rows for r in (cells, *inside)]
+    return html + "</table>", flat, [c for cells, _ in rows for c in cells]
+
+
+def test_rows_of_nested_tables():
+    import random
+
+    from feedloom.functions.html import rows_of
+
+    rng = random.Random(7)
+    for _ in range(300):
+        html, rows, _ = _table(rng, 3)
+        assert rows_of("<p>" + html, "table", "tr", "td") == rows
+    assert rows_of("", "table", "tr", "td") == []
+    assert rows_of("<table><tr><td>a<td>b", "table", "tr", "td") == [["a", "b"]]
+    assert rows_of("<td>no</td></table><tr>", "table", "tr", "td") == []
+    assert rows_of("<ul><li><a>1</a><ul><li><a>2</a></ul><li></ul>", "ul", "li", "a") == [["1", "2"], ["2"], []]
+    assert len(rows_of("<table><tr><td>" * 300, "table", "tr", "td")[0]) == 300
+    assert rows_of("<table><tr" * 200_000 + "<!--" * 200_000, "table", "tr", "td") == []

@@ -11,8 +11,9 @@ from tests.check import TESTDATA
 import __spark_entry__ as entry
 from feedloom import vocab
 from feedloom.bindings import QUERIES
-from feedloom.functions import html
+from feedloom.functions import html, text
 from feedloom.operators import combine, gates, rank
+from feedloom.plans import sources as source_jobs
 from feedloom.schema import RAW_ITEM, conform
 from feedloom.session import work_dir
 from feedloom.sources import documents, pages, syndication
@@ -69,6 +70,54 @@ def test_items_are_numbered_and_broken_ones_counted(spark):
     assert syndication.broken_items(spark, f"{path}/*").agg(F.sum("n_broken")).first()[0] == 1
 
 
+def test_items_are_numbered_over_small_splits(spark):
+    """A file cut into many splits keeps its order; Atom entries are read too."""
+    path = work_dir(spark, "rss")
+    item = "<item><title>{}</title><guid>{}</guid></item>"
+    atom = (
+        '<entry><title type="text">A &amp; b</title><link rel="enclosure" type="image/png" href="https://i.example/p.png"/>'
+        '<link href="https://e.example/1"/><id>e1</id><published>2024-05-06T00:00:00Z</published><content>long</content>'
+        '<source><title>s</title><link href="https://s.example/"/></source></entry>'
+    )
+    rows = "\n".join(item.format(k, k) for k in range(400))
+    spark.createDataFrame([(f"<rss>{rows}</rss>",)], "v string").coalesce(1).write.text(os.path.join(path, "a"))
+    spark.createDataFrame([(f"<feed>{atom}{atom.replace('e1', 'e2')}</feed>",)], "v string").coalesce(1).write.text(os.path.join(path, "b"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        items = syndication.read_items(spark, f"{path}/*")
+        got = {(r.file[-30:], r.guid): r.entry_ord for r in items.collect()}
+        blocks = syndication._records(spark, f"{path}/a", "item", syndication.ITEM).select("_block").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert blocks > 3
+    assert {int(g): n for (_, g), n in got.items() if g[0] != "e"} == {k: k + 1 for k in range(400)}
+    assert {g: n for (_, g), n in got.items() if g[0] == "e"} == {"e1": 1, "e2": 2}
+    entry = syndication.read_syndication(spark, f"{path}/b").where("id = 'e1'").first()
+    assert (entry.title, entry.summary, entry.link, entry.source_href) == ("A & b", "long", "https://e.example/1", "https://s.example/")
+    assert entry.candidate_urls == ["https://e.example/1", "https://i.example/p.png", "https://s.example/"]
+    assert entry.media_url == "https://i.example/p.png"
+
+
+def test_rules_from_a_table_equal_given_ones(spark):
+    texts = ["a trailer for x", "release date of y", "Trailer x release", "podcast trailer", ""]
+    rules = {
+        "p": {"signals": ["Trailer"], "exclude": ["podcast"]},
+        "q": {"include": ["y"], "trusted": ["good.example"], "extra_signals": ["release"]},
+        "r": {},
+    }
+    table = source_jobs.feed_rules(spark, rules, dict.fromkeys(rules, "multi_platform"))
+    rows = [(f, t.lower(), u) for f in rules for t in texts for u in ("https://good.example/a", "", None)]
+    df = spark.createDataFrame(rows, "feed string, merged string, url string").join(table, "feed")
+    lists = F.struct(*source_jobs.RULE_LISTS)
+    one = F.lit(False)
+    for feed, given in rules.items():
+        one = F.when(F.col("feed") == feed, text.relevance_match("merged", F.col("url"), **given)).otherwise(one)
+    got = df.select(text.relevance_by_rules("merged", F.col("url"), lists).alias("a"), one.alias("b")).collect()
+    assert all(r.a == r.b for r in got) and {r.a for r in got} == {True, False}
+
+
 def cleaned_title(title):
     out = title
     for pattern in (vocab.SEARCH_TRAILING_NOISE, vocab.SEARCH_SEASON, vocab.SEARCH_SUFFIXES, vocab.SEARCH_PREFIXES):
