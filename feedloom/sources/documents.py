@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from feedloom import vocab
 from feedloom.functions import dates, images, text
-from feedloom.functions.core import blank_to_null, first_group, lookup_map
+from feedloom.functions.core import blank_to_null, first_group, lookup_map, pin
 from feedloom.functions.text import strip
+from feedloom.session import settle
 
 _STATE = (
     "struct<props:struct<pageProps:struct<data:struct<totalPages:int,"
@@ -56,48 +53,124 @@ def extract_page_state(pages: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def _hits(text: str | None, key: str, value: str) -> list[tuple]:
-    """Path and text of the matching objects of one document, in reading order."""
+#: Depths of a tree that one job goes down.
+DEPTHS = 3
+
+
+def _object(node: Column) -> Column:
+    return F.try_variant_get(node, "$", "map<string,variant>")
+
+
+def _array(node: Column) -> Column:
+    return F.try_variant_get(node, "$", "array<variant>")
+
+
+def _string(node: Column) -> Column:
+    """The text of a JSON string, NULL for every other value."""
+    return F.when(F.schema_of_variant(node) == "STRING", F.try_variant_get(node, "$", "string"))
+
+
+def _deeper(nodes: DataFrame, keep: list[str], wanted) -> DataFrame:
+    """All nodes (`_path`, `_json`, `_open`) and the objects and arrays right inside the open ones, which are then the open ones.
+
+    The JSON text keeps the order of keys, and the variant tells an object from a text that looks like one. Of a repeated
+    key the last value counts.
+    """
+    opens = r"^\s*[\[{]"
+    text = F.when(F.col("_open"), F.col("_json"))
+    # Parsed once per node; only nodes with something inside that is wanted get here open.
+    rows = pin(nodes, _node=F.try_parse_json(text))
+    rows = pin(
+        rows,
+        _fields=_object(F.col("_node")),
+        _items=_array(F.col("_node")),
+        _entries=F.map_entries(F.from_json(F.when(text.rlike(r"^\s*\{"), text), "map<string,string>")),
+        _texts=F.from_json(F.when(text.rlike(r"^\s*\["), text), "array<string>"),
+    )
+
+    def later(e, i):
+        return F.exists(F.slice("_entries", i + 2, F.size("_entries")), lambda x: x["key"] == e["key"])
+
+    def inner(at: Column, json: Column, node: Column) -> Column:
+        # A text that merely looks like an object or array is neither.
+        holds = _object(node).isNotNull() | _array(node).isNotNull()
+        path = F.concat("_path", F.array(at))
+        return F.when(holds, F.struct(path.alias("_path"), json.alias("_json"), F.lit(True).alias("_open")))
+
+    placed = F.transform(
+        "_entries",
+        lambda e, i: F.when(
+            e["value"].rlike(opens) & wanted(e["value"]) & ~later(e, i), inner(i, e["value"], F.element_at("_fields", e["key"]))
+        ),
+    )
+    listed = F.transform("_texts", lambda t, i: F.when(t.rlike(opens) & wanted(t), inner(i, t, F.get("_items", i))))
+    inside = F.when(F.col("_fields").isNotNull(), placed).when(F.col("_items").isNotNull(), listed)
+    itself = F.struct("_path", "_json", F.lit(False).alias("_open"))
+    return rows.select(*keep, F.inline(F.concat(F.array(itself), F.array_compact(F.coalesce(inside, F.array().cast(_NODES))))))
+
+
+_NODES = "array<struct<_path:array<int>,_json:string,_open:boolean>>"
+
+
+def _walk(docs: DataFrame, keep: list[str], text: str, mentions) -> DataFrame:
+    """All objects and arrays of JSON texts: rows (*keep, _path, _json, _fields), `_fields` the values of an object by key.
+
+    `mentions` says which texts may hold what is looked for; those that neither mention anything nor hold an escape are
+    not opened. A job goes some depths down and writes what it met to the shared folder. Broken JSON gives nothing.
+    """
+    spark = docs.sparkSession
+
+    def wanted(json: Column) -> Column:
+        return mentions(json) | json.contains("\\")
+
+    repeated = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(repeated)
+    spark.conf.set(repeated, "true")
     try:
-        pending = [((), json.loads(text))] if text else []
-    except ValueError:
-        return []
-    found = []
-    while pending:
-        path, node = pending.pop()
-        if isinstance(node, dict):
-            if node.get(key) == value:
-                found.append((path, json.dumps(node, ensure_ascii=False, separators=(",", ":"))))
-            node = list(node.values())
-        if isinstance(node, list):
-            pending += [((*path, i), node[i]) for i in reversed(range(len(node)))]
-    return found
+        root = docs.select(*keep, F.array().cast("array<int>").alias("_path"), F.col(text).alias("_json"), F.lit(True).alias("_open"))
+        rows, met = root.where(wanted(F.col("_json"))), None
+        while True:
+            for _ in range(DEPTHS):
+                rows = _deeper(rows, keep, wanted)
+            level = settle(rows, "json")
+            closed = level.where("NOT _open")
+            met = closed if met is None else met.unionByName(closed)
+            rows = level.where("_open")
+            if rows.isEmpty():
+                break
+        return pin(met.select(*keep, "_path", "_json"), _fields=_object(F.try_parse_json("_json")))
+    finally:
+        spark.conf.set(repeated, before)
 
 
 def find_nodes(docs: DataFrame, keep: list[str], text: str, key: str, value: str) -> DataFrame:
     """Every object, at any depth, whose `key` has the text `value`; broken JSON gives none.
 
-    One row per object with its JSON text and `path`, its place in reading order. Spark's JSON
-    types have no walk over unknown keys that keeps their order, and opening a tree level by
-    level parses it once per level, so the walk is a small Arrow-batched function. Documents
-    that neither mention the value nor hold an escape never leave the JVM.
+    One row per object with its JSON text and `path`, its place in reading order.
     """
-    shape = T.ArrayType(
-        T.StructType(
-            [
-                T.StructField("path", T.ArrayType(T.IntegerType())),
-                T.StructField("json", T.StringType()),
-            ]
-        )
-    )
+    nodes = _walk(docs, keep, text, lambda t: t.contains(value))
+    hit = nodes.where(_string(F.element_at("_fields", F.lit(key))) == value)
+    return hit.select(*keep, F.col("_path").alias("path"), F.col("_json").alias("json"))
 
-    @F.pandas_udf(shape)
-    def walk(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _hits(t, key, value))
 
-    mentions = F.col(text).contains(value) | F.col(text).contains("\\")
-    found = docs.where(mentions).select(*keep, F.explode(walk(text)).alias("_n"))
-    return found.select(*keep, "_n.*")
+def first_values(docs: DataFrame, keep: list[str], text: str, keys: list[str]) -> DataFrame:
+    """First non-blank text stored under one of `keys` anywhere in a JSON text, in reading order: rows (*keep, value).
+
+    `keep` names the row; rows without such a text are left out.
+    """
+
+    def mentions(t: Column) -> Column:
+        hit = F.lit(False)
+        for k in keys:
+            hit = hit | t.contains(f'"{k}"')
+        return hit
+
+    nodes = _walk(docs, keep, text, mentions).where("_fields IS NOT NULL")
+    names = F.map_keys(F.from_json("_json", "map<string,string>"))
+    said = F.array(*(F.struct(F.lit(k).alias("key"), blank_to_null(strip(_string(F.element_at("_fields", F.lit(k))))).alias("value")) for k in keys))
+    rows = pin(nodes, _names=names, _said=said).select(*keep, "_path", "_names", F.inline("_said")).where("value IS NOT NULL")
+    at = F.concat("_path", F.array((F.array_position("_names", F.col("key")) - 1).cast("int")))
+    return rows.groupBy(*keep).agg(F.min_by("value", at).alias("value"))
 
 
 def first_value_of(document: Column | str, keys: list[str]) -> Column:

@@ -201,6 +201,60 @@ def test_nodes_at_any_depth(spark):
     assert [json.loads(r["json"]).get("n") for r in got] == [1, "first", None]
 
 
+def _nodes_of(text, key, value):
+    """Brute force: path and object, in reading order."""
+    try:
+        pending, found = [((), json.loads(text))], []
+    except ValueError:
+        return []
+    while pending:
+        path, node = pending.pop()
+        if isinstance(node, dict) and node.get(key) == value:
+            found.append((path, node))
+        inside = list(node.values()) if isinstance(node, dict) else node if isinstance(node, list) else []
+        pending += [((*path, i), inside[i]) for i in reversed(range(len(inside)))]
+    return found
+
+
+def test_json_trees_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+
+    def tree(depth):
+        kind = rng.random()
+        if depth == 0 or kind < 0.25:
+            return rng.choice(["C", "", " x ", 1, None, True, 2.5, '{"_type":"C","id":"no"}', "[1]", "é\\ \"q"])
+        if kind < 0.6:
+            names = rng.sample(["_type", "b", "a", "id", "pic", "z y", "é"], rng.randint(0, 5))
+            return {n: "C" if n == "_type" and rng.random() < 0.6 else tree(depth - 1) for n in names}
+        return [tree(depth - 1) for _ in range(rng.randint(0, 4))]
+
+    texts = [json.dumps(tree(7), ensure_ascii=rng.random() < 0.5) for _ in range(150)] + ["", "[", "null", '{"a":{"_type":"C"},']
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(999, None, "x")], "id int, doc string, _path string")
+    got = documents.find_nodes(docs, ["id"], "doc", "_type", "C").collect()
+    want = [(i, list(path), node) for i, t in enumerate(texts) for path, node in _nodes_of(t, "_type", "C")]
+    order = lambda r: (r[0], r[1])
+    assert sorted(((r["id"], r["path"], json.loads(r["json"])) for r in got), key=order) == sorted(want, key=order)
+
+    def first(node):
+        if isinstance(node, dict):
+            for k, v in node.items():
+                if k in ("id", "pic") and isinstance(v, str) and v.strip():
+                    return v.strip()
+                if (found := first(v)) is not None:
+                    return found
+        for v in node if isinstance(node, list) else []:
+            if (found := first(v)) is not None:
+                return found
+
+    firsts = {i: first(json.loads(t)) for i, t in enumerate(texts[:150])}
+    got = documents.first_values(docs, ["id"], "doc", ["id", "pic"]).collect()
+    assert {r["id"]: r["value"] for r in got} == {i: v for i, v in firsts.items() if v is not None}
+    plan = documents.find_nodes(docs, ["id"], "doc", "_type", "C")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_a_repeat_does_not_return_after_its_first_row_left_the_feed(spark):
     path = work_dir(spark, "refresh-test")
 
