@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from feedloom.functions.urls import with_page, with_signature
 from feedloom.operators import dedupe, rank
@@ -14,6 +16,7 @@ from feedloom.operators.fingerprint import feed_fingerprint
 from feedloom.operators.keyed import first_by, ranked_by
 from feedloom.operators.normalize import published_form
 from feedloom.schema import FEEDS, ORDER
+from feedloom.session import is_folder
 from feedloom.sources import published
 
 RUN_EVERY = "6 hours"
@@ -71,40 +74,67 @@ def _batch_ids(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(root)]
 
 
-def _before(spark: SparkSession, path: str, batch_id: int) -> list[str]:
-    """Folders of earlier batches."""
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders of all batches, oldest first."""
     names = [n for n in _batch_ids(spark, path) if n.startswith("batch=")]
-    return [os.path.join(path, n) for n in names if int(n.split("=")[1]) < batch_id]
+    return [os.path.join(path, n) for n in sorted(names, key=lambda n: int(n.split("=")[1]))]
 
 
-def refresh_batch(
-    spark: SparkSession, items: DataFrame, batch_id: int, path: str, run_at: str, feeds=FEEDS
-) -> bool:
-    """Merge normalised items of a micro-batch into the feeds; returns whether they changed.
+def _last_before(spark: SparkSession, path: str, batch_id: int) -> str | None:
+    """Folder of the batch before this one; batches without a folder are passed over."""
+    for at in range(batch_id - 1, -1, -1):
+        folder = os.path.join(path, f"batch={at}")
+        if is_folder(spark, folder):
+            return folder
+    return None
+
+
+def fresh_items(items: DataFrame, forget_after: int | None = None, time: str = "scraped_at", feeds=FEEDS) -> DataFrame:
+    """Of a stream of normalised items, those whose feed and key were not seen before; within a batch the first in order.
 
-    Signatures of all earlier batches are kept, so a repeat never returns after its first
-    row has left the capped feed. The new feeds are the top rows of the previous feeds and
-    the new items, which equals the top rows of everything seen. All folders carry the batch
-    id: a repeated batch overwrites its own output.
+    The signatures seen are keyed state of the stream: a batch reads and writes the state of its own keys only, however
+    many batches there were, and a batch that is repeated after a failure starts from the state before it. With
+    `forget_after`, seconds, a signature is dropped when the stream's `time` is so far past the row that brought it, and
+    it may come again; a row without a time is kept for good.
     """
-    seen_path, feed_path = os.path.join(path, "seen"), os.path.join(path, "feeds")
-    keyed = dedupe.with_feed_key(items, feeds).withColumn("signature", F.concat_ws("|", "feed", "dedupe_key"))
-    fresh = first_by(keyed, ["signature"], list(ORDER)).drop("dedupe_key")
-    earlier = _before(spark, seen_path, batch_id)
-    if earlier:
-        fresh = fresh.join(spark.read.parquet(*earlier), "signature", "left_anti")
-
-    fresh_path = os.path.join(path, "fresh", f"batch={batch_id}")
-    fresh.write.mode("overwrite").parquet(fresh_path)
-    fresh = spark.read.parquet(fresh_path)
-    fresh.select("signature").write.mode("overwrite").parquet(
-        os.path.join(seen_path, f"batch={batch_id}")
-    )
+    key = F.concat_ws("|", "feed", "dedupe_key")
+    keyed = dedupe.with_feed_key(items, feeds).withColumn("signature", key).drop("dedupe_key")
+    order, timeout = list(ORDER), GroupStateTimeout.NoTimeout
+    if forget_after is not None:
+        keyed, timeout = keyed.withWatermark(time, "0 seconds"), GroupStateTimeout.EventTimeTimeout
+
+    def pick(_, parts, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        known, best = state.exists, None
+        for part in parts:
+            if not known and len(part):
+                part = part if best is None else pd.concat([best, part])
+                best = part.sort_values(order, kind="stable", na_position="first").head(1)
+        if known or best is None:
+            return
+        state.update((True,))
+        if forget_after is not None and pd.notna(best[time].iloc[0]):
+            until = int(best[time].iloc[0].timestamp() + forget_after) * 1000
+            state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+        yield best
+
+    return keyed.groupBy("signature").applyInPandasWithState(pick, keyed.schema, "seen boolean", "append", timeout).drop("signature")
+
+
+def merge_batch(
+    spark: SparkSession, fresh: DataFrame, batch_id: int, path: str, run_at: str, feeds=FEEDS
+) -> bool:
+    """Merge the fresh items of a micro-batch into the feeds; returns whether they changed.
 
-    rows = fresh.drop("signature")
-    previous = sorted(_before(spark, feed_path, batch_id), key=lambda p: int(p.rsplit("=", 1)[1]))
-    if previous:
-        rows = rows.unionByName(spark.read.parquet(previous[-1]).drop("feed_pos"))
+    The new feeds are the top rows of the previous feeds and the fresh items, which equals the top rows of everything
+    seen. A batch reads its items and the capped feeds of the batch before. All folders carry the batch id: a repeated
+    batch overwrites its own output.
+    """
+    feed_path = os.path.join(path, "feeds")
+    previous = _last_before(spark, feed_path, batch_id)
+    rows = fresh if previous is None else fresh.unionByName(spark.read.parquet(previous).drop("feed_pos"))
     target = os.path.join(feed_path, f"batch={batch_id}")
     rank.final_order_cap(rows, feeds=feeds).write.mode("overwrite").parquet(target)
 
@@ -114,15 +144,16 @@ def refresh_batch(
 
 
 def stream_refresh_feeds(
-    stream: DataFrame, to_items, path: str, checkpoint: str, run_at: str, feeds=FEEDS
+    stream: DataFrame, to_items, path: str, checkpoint: str, run_at: str, feeds=FEEDS, forget_after: int | None = None
 ) -> StreamingQuery:
-    """Refresh feeds from a stream; `to_items` turns a micro-batch into normalised items."""
+    """Refresh feeds from a stream; `to_items` turns its rows into normalised items, row by row."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        refresh_batch(batch.sparkSession, to_items(batch), batch_id, path, run_at, feeds)
+        merge_batch(batch.sparkSession, batch, batch_id, path, run_at, feeds)
 
     return (
-        stream.writeStream.option("checkpointLocation", checkpoint)
+        fresh_items(to_items(stream), forget_after, feeds=feeds)
+        .writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(merge)
         .start()
@@ -130,8 +161,4 @@ def stream_refresh_feeds(
 
 
 def latest_feeds(spark: SparkSession, path: str) -> DataFrame:
-    feed_path = os.path.join(path, "feeds")
-    folders = sorted(_before(spark, feed_path, 1 << 62), key=lambda p: int(p.rsplit("=", 1)[1]))
-    return spark.read.parquet(folders[-1])
-
-
+    return spark.read.parquet(_folders(spark, os.path.join(path, "feeds"))[-1])

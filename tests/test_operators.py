@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import Window
@@ -255,37 +256,69 @@ def test_json_trees_equal_brute_force(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def _feed_rows(spark, rows):
+    from feedloom.schema import FEED_ITEM
+
+    df = spark.createDataFrame(
+        [("trending", 0, 0, *r, None, "movie") for r in rows],
+        "feed string, source_ord long, page_ord long, entry_ord long, title string, release string, link string, year int, type string",
+    )
+    df = df.select(
+        "feed", "source_ord", "page_ord", "entry_ord", "title", "year", "type",
+        F.to_date("release").alias("release_date"), F.col("link").alias("source_url"), F.col("link").alias("article_url"),
+    )
+    stamps = {n: F.lit(None).cast("timestamp") for n in ("scraped_at", "published_at", "updated_at")}
+    rest = {f.name: F.lit(None).cast(f.dataType) for f in FEED_ITEM if f.name not in df.columns and f.name not in stamps}
+    return df.withColumns(rest | stamps)
+
+
+def _refreshed(spark, path, batches, to_items=lambda x: x, **options):
+    """Feed titles after each batch of rows has arrived."""
+    arriving, out = os.path.join(path, "arriving"), []
+    for rows in batches:
+        df = _feed_rows(spark, rows)
+        df.coalesce(1).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(df.schema).parquet(arriving)
+        args = (stream, to_items, path, os.path.join(path, "checkpoint"), "t")
+        jobs.stream_refresh_feeds(*args, **options).awaitTermination()
+        out.append([r["title"] for r in jobs.latest_feeds(spark, path).orderBy("feed_pos").collect()])
+    return out
+
+
 def test_a_repeat_does_not_return_after_its_first_row_left_the_feed(spark):
     path = work_dir(spark, "refresh-test")
+    first = [(i, f"Title {i}", f"2024-02-{i:02d}", f"https://h.example/a/{i}") for i in range(1, 23)]
+    # Entries 1 and 2 were cut by the cap; a newer repeat of 1 must stay out, a new page comes in, and of two in one batch the first in order.
+    later = [(30, "Title again", "2024-06-01", "https://h.example/a/1"), (32, "Newer", "2024-05-02", "https://h.example/a/99")]
+    later += [(31, "New", "2024-05-01", "https://h.example/a/99")]
+    titles = _refreshed(spark, path, [first, later, [(40, "Once more", "2024-06-02", "https://h.example/a/99")]])
+    assert titles[1] == ["New"] + [f"Title {i}" for i in range(22, 3, -1)]
+    assert titles[2] == titles[1]
+    # A repeated batch changes nothing: the feeds of the batch before are merged with its rows again.
+    assert not jobs.merge_batch(spark, _feed_rows(spark, later[-1:]), 1, path, "t2")
+
+
+def test_a_batch_reads_as_much_after_many_batches(spark):
+    """Signatures are state of the stream: no folder of earlier batches but the feeds of the last one is read."""
+    path = work_dir(spark, "refresh-reads")
+    _refreshed(spark, path, [[(i, f"T{i}", "2024-02-01", f"https://h.example/a/{i}")] for i in range(4)])
+    assert sorted(os.listdir(path)) == ["arriving", "checkpoint", "feeds", "meta"]
+    read = []
+    real = jobs._last_before
+    jobs._last_before = lambda *a: read.append(real(*a)) or read[-1]
+    try:
+        _refreshed(spark, path, [[(9, "T9", "2024-02-01", "https://h.example/a/9")]])
+    finally:
+        jobs._last_before = real
+    assert [r.rsplit("=", 1)[1] for r in read] == ["3"]
 
-    def batch(rows):
-        from feedloom.schema import FEED_ITEM
-
-        df = spark.createDataFrame([("trending", 0, 0, *r, None, "movie") for r in rows],
-                                   "feed string, source_ord int, page_ord int, entry_ord int, title string, "
-                                   "release string, link string, year int, type string")
-        df = df.select(
-            "feed", "source_ord", "page_ord", "entry_ord", "title", "year", "type",
-            F.to_date("release").alias("release_date"), F.col("link").alias("source_url"),
-            F.col("link").alias("article_url"),
-        )
-        stamps = {n: F.lit(None).cast("timestamp") for n in ("scraped_at", "published_at", "updated_at")}
-        rest = {
-            f.name: F.lit(None).cast(f.dataType)
-            for f in FEED_ITEM
-            if f.name not in df.columns and f.name not in stamps
-        }
-        return df.withColumns(rest | stamps)
 
-    first = [(i, f"Title {i}", f"2024-02-{i:02d}", f"https://h.example/a/{i}") for i in range(1, 23)]
-    assert jobs.refresh_batch(spark, batch(first), 0, path, "t0")
-    # Entries 1 and 2 were cut by the cap; a newer repeat of 1 must stay out, a new page comes in.
-    later = [(30, "Title again", "2024-06-01", "https://h.example/a/1"), (31, "New", "2024-05-01", "https://h.example/a/99")]
-    assert jobs.refresh_batch(spark, batch(later), 1, path, "t1")
-    titles = [r["title"] for r in jobs.latest_feeds(spark, path).orderBy("feed_pos").collect()]
-    assert titles == ["New"] + [f"Title {i}" for i in range(22, 3, -1)]
-    # Replaying the batch changes nothing.
-    assert not jobs.refresh_batch(spark, batch(later), 1, path, "t2")
+def test_forgotten_signatures_may_come_again(spark):
+    path = work_dir(spark, "refresh-forget")
+    same = "https://h.example/a/1"
+    rows = [[(1, "First", "2024-02-01", same)], [(2, "Other", "2024-02-05", "https://h.example/a/2")], [(3, "Again", "2024-02-06", same)]]
+    by_day = lambda x: x.withColumn("scraped_at", F.col("release_date").cast("timestamp"))
+    assert "Again" in _refreshed(spark, path, rows, by_day, forget_after=86_400)[-1]
 
 
 def _table(rng, depth):
