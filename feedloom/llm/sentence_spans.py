@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ LONG_SENTENCE = 40
 #: Sentences with more words are cut behind commas as well.
 CLAUSE_WORDS = 30
 
-_END = re.compile(r"[.!?…]+[\"'”’»)\]]*\s+|\s*\n\s*")
+_END = re.compile(r"[.!?…]+[\"'”’»)\]]*\s+|\n\s*")
 _COMMA = re.compile(r"[,;:]\s+")
 
 
@@ -55,10 +56,9 @@ def runs(text: str, parts: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarra
         last = shortest_ends(sizes)
         start = n - shortest_ends(sizes[::-1])[::-1]
         from_each, up_to_each = np.flatnonzero(last <= n), np.flatnonzero(start >= 0)
-        both = np.concatenate([
-            np.stack([from_each, last[from_each]], axis=1), np.stack([start[up_to_each], up_to_each + 1], axis=1)
-        ])
-        first, end = np.unique(both, axis=0).T if len(both) else both.T
+        # Both lists as one of numbers, without repeats.
+        both = np.concatenate([from_each * (n + 1) + last[from_each], start[up_to_each] * (n + 1) + up_to_each + 1])
+        first, end = np.divmod(np.unique(both), n + 1)
         a, b = total[first], total[end]
         # Bring the run's terms to the same power before comparing: multiply by the inverse of power[a].
         span = (prefix[b] - prefix[a]) * inverse_powers(len(flat) + 1)[a]
@@ -121,19 +121,28 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     """
     def span_keys(batch):
         WORD_HASH.trim()
-        keys, found = [], []
+        keys, found, again = [], [], []
         for key, text in zip(batch.column("_key").to_pylist(), strings(batch, "text")):
-            hashes = np.unique(runs(text, sentences(text))[0])
-            keys.append(np.full(len(hashes), key, np.int64))
-            found.append(long_of(hashes))
+            hashes = runs(text, sentences(text))[0]
+            different = np.unique(hashes)
+            keys.append(np.full(len(different), key, np.int64))
+            found.append(long_of(different))
+            if len(different) < len(hashes):
+                again.append(key)
         if keys:
-            yield {"_key": np.concatenate(keys), "span": np.concatenate(found)}
+            # A row without a span marks a text that repeats itself.
+            spans = pa.concat_arrays([pa.array(np.concatenate(found)), pa.nulls(len(again), pa.int64())])
+            yield {"_key": np.concatenate([*keys, np.array(again, np.int64)]), "span": spans}
 
     spans = settle(mapped(keyed(docs).select("_key", "text"), span_keys, "_key long, span long"), "spans")
+    within = spans.where("span IS NULL")
+    spans = spans.where("span IS NOT NULL")
     repeated = spans.groupBy("span").agg(F.min("_key").alias("first"), F.max("_key").alias("last")).where("first <> last")
     again = (
         spans.join(repeated.select("span", "first"), "span")
         .where("_key <> first")
+        .select("_key", "span")
+        .unionByName(within)
         .groupBy(F.col("_key").alias("__key"))
         .agg(F.collect_set("span").alias("__spans"))
     )
@@ -144,16 +153,18 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
 
     def clean(batch):
         WORD_HASH.trim()
-        texts = batch.column("text").to_pylist()
-        results = [
-            (None, 0, []) if t is None else without_repeats(t, set(s or ()))
-            for t, s in zip(texts, batch.column("__spans").to_pylist())
-        ]
-        yield {c: batch.column(c) for c in names} | {
-            "text": [r[0] for r in results],
-            "n_removed": [r[1] for r in results],
-            "removed": [[{"from": a, "to": b} for a, b in r[2]] for r in results],
-        }
+        # A text that neither repeats itself nor another one is passed on as it is.
+        some = batch.column("__spans").is_valid()
+        at = np.flatnonzero(some.to_numpy(zero_copy_only=False))
+        n_removed, removed, texts = np.zeros(batch.num_rows, np.int64), [[]] * batch.num_rows, batch.column("text")
+        if len(at):
+            part = batch.take(pa.array(at))
+            texts = texts.to_pylist()
+            for k, text, spans in zip(at, part.column("text").to_pylist(), part.column("__spans").to_pylist()):
+                if text is not None:
+                    texts[k], n_removed[k], cut = without_repeats(text, set(spans))
+                    removed[k] = [{"from": a, "to": b} for a, b in cut]
+        yield {c: batch.column(c) for c in names} | {"text": texts, "n_removed": n_removed, "removed": removed}
 
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names]
     return mapped(joined, clean, ", ".join([*kinds, "n_removed long", "removed array<struct<`from`: long, `to`: long>>"]))
