@@ -77,6 +77,8 @@ class Memo(dict):
         self.fn, self.group = fn, group
         Memo.live[id(self)] = self
 
+    __hash__ = object.__hash__
+
     def __missing__(self, key):
         value = self[key] = self.fn(key)
         return value

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -27,9 +28,12 @@ BLOOM_FPP = 0.01
 #: Chunks whose ids a worker keeps.
 KNOWN_CHUNKS = 1_000_000
 
-_GAP = re.compile(r"\s\s")
+_ODD_SPACE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CHUNK = re.compile(r"\s*\S+|\s+")
-_SEPARATE = re.compile(r"\A\S|\s\Z|<\|")
+# The vocabulary's pattern for chunks of these characters, each of which is a letter, a digit, a sign or
+# a space in every Unicode version.
+_PLAIN = re.compile(r"[\n !-~À-ÖØ-öø-ɏ]*\Z")
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ɏ]+|\s+(?!\S)|\s+")
 
 
 class Encoder:
@@ -50,37 +54,76 @@ class Encoder:
         self.length = np.zeros(max(tokens.values()) + 1, np.int64)
         for token, at in tokens.items():
             self.length[at] = len(token)
+        self.model = self.library.model
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = (b for b in range(256) if b not in plain)
+        self.char = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
+        self.pieces = Memo(self.merge, "chunks")
         self.known = Memo(self.single, "chunks")
+        self.spaced = Memo(lambda word: self.single(f" {word}"), "chunks")
 
     def single(self, chunk: str) -> bytes:
         ids = self.library.encode_batch_fast([chunk], add_special_tokens=False)[0].ids
         return np.array(ids, np.int32).tobytes()
 
-    def learn(self, chunks: list[str], at_once: int = 2_000) -> None:
-        """Encode new chunks that all begin with white space and end without it."""
-        for start in range(0, len(chunks), at_once):
-            some = chunks[start : start + at_once]
-            joined = self.library.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids
-            ids = np.array(joined, np.int32)
-            ends = np.cumsum([len(c.encode()) for c in some])
-            cuts = np.searchsorted(np.cumsum(self.length[ids]), ends, side="left") + 1
-            for chunk, a, b in zip(some, [0, *cuts[:-1]], cuts):
-                self.known[chunk] = ids[a:b].tobytes()
-
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        if _GAP.search(text):
-            return _CHUNK.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[f" {x}" for x in rest]] if first else [f" {x}" for x in rest]
+    def merge(self, piece: str) -> bytes:
+        """Ids of a piece that the pattern cut out: its bytes, merged by the vocabulary's own merge table."""
+        text = piece.replace(" ", self.char[32]).replace("\n", self.char[10]) if piece.isascii() else "".join(map(self.char.__getitem__, piece.encode()))
+        return array("i", [t.id for t in self.model.tokenize(text)]).tobytes()
+
+    def learn(self, known: Memo, keys: list[str], chunks: list[str], at_once: int = 2_000) -> None:
+        """Encode new chunks, known by `keys`; all begin with white space and end without it.
+
+        A chunk of plain letters, digits and signs is cut by the vocabulary's pattern, and words that stand in several chunks are
+        merged once. The library encodes the others, many at a time as one text, cut by the byte length of every token.
+        """
+        ids_of, others = self.pieces.__getitem__, []
+        for key, chunk in zip(keys, chunks):
+            if _PLAIN.match(chunk):
+                known[key] = b"".join(map(ids_of, _PIECE.findall(chunk)))
+            else:
+                others.append((key, chunk))
+        for start in range(0, len(others), at_once):
+            some = others[start : start + at_once]
+            ids = np.array(self.library.encode_batch_fast(["".join(c for _, c in some)], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.cumsum([len(c.encode()) for _, c in some])
+            cuts = (4 * (np.searchsorted(np.cumsum(self.length[ids]), ends, side="left") + 1)).tolist()
+            data = ids.tobytes()
+            known.update((key, data[a:b]) for (key, _), a, b in zip(some, [0, *cuts], cuts))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as 32-bit integers."""
+        """The ids of each text as 32-bit integers.
+
+        Text without a space beside other white space is cut at its spaces, any other text in front of each run of white
+        space. The words behind a space are known without it, so the usual text is looked up as it was split.
+        """
         self.known.trim(KNOWN_CHUNKS)
-        lists = [self.chunks(t) for t in texts]
-        # A set's difference with a dict of another class would walk through the whole dict.
-        self.learn([c for c in set().union(*lists) if c not in self.known and not _SEPARATE.search(c)])
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in lists]
+        self.spaced.trim(KNOWN_CHUNKS)
+        self.pieces.trim(KNOWN_CHUNKS)
+        found: list[tuple[list, list, Memo]] = []
+        new: dict[Memo, set[str]] = {self.known: set(), self.spaced: set()}
+        for text in texts:
+            first = ""
+            if "  " in text or " \n" in text or "\n " in text or _ODD_SPACE.search(text):
+                chunks, known = _CHUNK.findall(text), self.known
+            else:
+                chunks, known = text.split(" "), self.spaced
+                first = chunks.pop(0)
+            ids = list(map(known.get, chunks))
+            if None in ids:
+                new[known].update([c for c, x in zip(chunks, ids) if x is None])
+            if first:
+                chunks.insert(0, first)
+                ids.insert(0, self.known[first])
+            found.append((chunks, ids, known))
+        chunks = [c for c in new[self.known] if c[0].isspace() and not c[-1].isspace() and "<|" not in c]
+        self.learn(self.known, chunks, chunks)
+        words = [c for c in new[self.spaced] if c and not c[-1].isspace() and "<|" not in c]
+        self.learn(self.spaced, words, [f" {w}" for w in words])
+        for chunks, ids, known in found:
+            if None in ids:
+                ids[:] = [known[c] if x is None else x for c, x in zip(chunks, ids)]
+        return [b"".join(ids) for _, ids, _ in found]
 
 
 @lru_cache(2)
