@@ -7,6 +7,7 @@ out a searched document.
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from array import array
@@ -14,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,7 +102,7 @@ class Encoder:
         self.known.trim(KNOWN_CHUNKS)
         self.spaced.trim(KNOWN_CHUNKS)
         self.pieces.trim(KNOWN_CHUNKS)
-        found: list[tuple[list, list, Memo]] = []
+        found: list[tuple[str, list, list, Memo, list]] = []
         new: dict[Memo, set[str]] = {self.known: set(), self.spaced: set()}
         for text in texts:
             first = ""
@@ -110,24 +112,25 @@ class Encoder:
                 chunks, known = text.split(" "), self.spaced
                 first = chunks.pop(0)
             ids = list(map(known.get, chunks))
-            if None in ids:
-                new[known].update([c for c, x in zip(chunks, ids) if x is None])
-            if first:
-                chunks.insert(0, first)
-                ids.insert(0, self.known[first])
-            found.append((chunks, ids, known))
+            missing = [k for k, x in enumerate(ids) if x is None] if None in ids else []
+            new[known].update([chunks[k] for k in missing])
+            found.append((first, chunks, ids, known, missing))
         chunks = [c for c in new[self.known] if c[0].isspace() and not c[-1].isspace() and "<|" not in c]
         self.learn(self.known, chunks, chunks)
         words = [c for c in new[self.spaced] if c and not c[-1].isspace() and "<|" not in c]
         self.learn(self.spaced, words, [f" {w}" for w in words])
-        for chunks, ids, known in found:
-            if None in ids:
-                ids[:] = [known[c] if x is None else x for c, x in zip(chunks, ids)]
-        return [b"".join(ids) for _, ids, _ in found]
+        out = []
+        for first, chunks, ids, known, missing in found:
+            for k in missing:
+                ids[k] = known[chunks[k]]
+            out.append((self.known[first] if first else b"") + b"".join(ids))
+        return out
 
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
+    # Lists of a million short strings make no cycles; looking for them costs a tenth of the time.
+    gc.set_threshold(500_000, 50, 50)
     return Encoder(path)
 
 
@@ -135,7 +138,7 @@ Memo.kept["chunks"] = [encoder.cache_clear]
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
-    """Rows (doc_id, row, token_offset, n_tokens, ids) in ascending order of `doc_id` over the partitions.
+    """Rows (part, doc_id, row, token_offset, n_tokens, ids) in ascending order of `doc_id` over the partitions `part`.
 
     `row` and `token_offset` count rows and ids from the start of the partition, which becomes one file.
     A null text is the empty text, which has the end id only. Rows that repeat a `doc_id` stay apart, in order
@@ -151,6 +154,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None) -> Dat
 
     def encode(batches):
         row = offset = 0
+        place = TaskContext.get().partitionId()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -164,19 +168,19 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None) -> Dat
                 rows = pa.array(np.arange(row, row + len(parts)), pa.int64())
                 offsets = pa.array(offset + ends[:-1], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), rows, offsets, pa.array(np.diff(ends)), ids],
-                    names=["doc_id", "row", "token_offset", "n_tokens", "ids"],
+                    [pa.array(np.full(len(parts), place, np.int32)), part.column("doc_id").cast(pa.int64()), rows, offsets, pa.array(np.diff(ends)), ids],
+                    names=["part", "doc_id", "row", "token_offset", "n_tokens", "ids"],
                 )
                 row, offset = row + len(parts), offset + int(ends[-1])
 
-    return ordered.mapInArrow(encode, "doc_id long, row long, token_offset long, n_tokens long, ids array<int>")
+    return ordered.mapInArrow(encode, "part int, doc_id long, row long, token_offset long, n_tokens long, ids array<int>")
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = None) -> None:
     """Encode documents (doc_id, text) and write their ids as ORC files; other columns are not read."""
     (
         encode_documents(docs, tokenizer, end_id)
-        .write.option("compression", "zstd")
+        .write.option("compression", "lz4")
         .option("orc.stripe.size", STRIPE_BYTES)
         .option("orc.create.index", "true")
         .option("orc.row.index.stride", INDEX_ROWS)
@@ -187,9 +191,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
 
 
 def read_tokens(spark, path: str) -> DataFrame:
-    """Rows (file, doc_id, row, token_offset, n_tokens, ids) as they stand in the files."""
-    rows = spark.read.schema("doc_id long, row long, token_offset long, n_tokens long, ids array<int>").orc(path)
-    return rows.select(F.col("_metadata.file_name").alias("file"), "doc_id", "row", "token_offset", "n_tokens", "ids")
+    """Rows (part, doc_id, row, token_offset, n_tokens, ids) as they stand in the files, `part` the number of the file."""
+    return spark.read.schema("part int, doc_id long, row long, token_offset long, n_tokens long, ids array<int>").orc(path)
 
 
 def find_documents(spark, path: str, doc_ids: list[int]) -> DataFrame:
@@ -208,22 +211,23 @@ def token_digests(rows: DataFrame) -> DataFrame:
         ids = batch.column("ids")
         ends = ids.offsets.to_numpy()
         data = memoryview(np.ascontiguousarray(ids.values.to_numpy(), np.int32)).cast("B")
-        yield {c: batch.column(c) for c in ("file", "doc_id", "token_offset")} | {
+        yield {c: batch.column(c) for c in ("part", "doc_id", "token_offset")} | {
             "n_tokens": np.diff(ends),
             "ids_crc32": [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends[:-1], ends[1:])],
         }
 
-    schema = "file string, doc_id long, token_offset long, n_tokens long, ids_crc32 long"
+    schema = "part int, doc_id long, token_offset long, n_tokens long, ids_crc32 long"
     digests = mapped(rows.drop("row", "n_tokens"), digest, schema)
     # One row per file: a running sum over the files, not over the documents. The ids are not read for it.
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
-        rows.groupBy("file")
+        rows.groupBy("part")
         .agg(F.sum("n_tokens").alias("_ids"))
-        .select("file", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_base"))
+        .select("part", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_base"))
     )
     start = (F.col("_base") + F.col("token_offset")).alias("start")
-    return digests.join(bases, "file").select("doc_id", start, "n_tokens", "ids_crc32")
+    # A dozen bytes for every task that wrote a file.
+    return digests.join(F.broadcast(bases), "part").select("doc_id", start, "n_tokens", "ids_crc32")
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int | None = None) -> DataFrame:

@@ -90,3 +90,11 @@ def test_token_lookup_skips_stripes(spark, docs):
 def test_empty_tables(docs):
     assert lexicon.token_digests(docs([]), WORD).count() == 0
     assert token_orc.token_files(docs([]), BYTE, end_id=0).count() == 0
+
+
+def test_files_follow_each_other_by_number(spark):
+    """Also past the numbers that sort as text."""
+    rows = [(100_000, 7, 0, 0, 2, [5, 6]), (99_999, 3, 0, 0, 1, [4]), (99_999, 5, 1, 1, 1, [9]), (9, 1, 0, 0, 3, [1, 2, 3])]
+    table = spark.createDataFrame(rows, "part int, doc_id long, row long, token_offset long, n_tokens long, ids array<int>")
+    got = {r.doc_id: r.start for r in token_orc.token_digests(table).collect()}
+    assert got == {1: 0, 3: 3, 5: 4, 7: 5}
