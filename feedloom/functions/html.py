@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from html import unescape
 from html.entities import html5
 
 import pandas as pd
@@ -14,12 +15,16 @@ from feedloom import vocab
 from feedloom.functions.core import col, first_group
 from feedloom.functions.text import squeeze, strip
 
-# Named references that end in a semicolon, from Python's table of the markup standard.
+# Named references from Python's table of the markup standard, and those of them that need no semicolon, longest first.
 _NAMED = {name[:-1]: char for name, char in html5.items() if name.endswith(";")} | {"nbsp": " "}
-_REFERENCE = r"^&(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);"
+_SHORT = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+# Numbers that stand for another character by the standard.
+_NUMBERS = {str(n): unescape(f"&#{n};") for n in (0, *range(128, 160))} | {"160": " "}
+_REFERENCE = r"^&(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*(?=;));?"
+_SHORT_REFERENCE = "^&(" + "|".join(_SHORT) + ")"
 
 
-def _reference(piece: Column, names: Column) -> Column:
+def _reference(piece: Column, names: Column, numbers: Column) -> Column:
     """A piece that starts with a reference, decoded; any other piece as it is."""
     found = F.regexp_extract(piece, _REFERENCE, 1)
     number = (
@@ -27,18 +32,22 @@ def _reference(piece: Column, names: Column) -> Column:
         .when(found.startswith("#"), F.substring(found, 2, 8))
         .cast("int")
     )
-    valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number < 0x110000))
-    char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
-    char = F.coalesce(F.when(number == 160, " ").otherwise(char), F.try_element_at(names, found))
-    return F.when(found == "", piece).otherwise(
-        F.coalesce(F.concat(char, F.regexp_replace(piece, _REFERENCE, "")), piece)
+    valid = (number < 0xD800) | ((number > 0xDFFF) & (number < 0x110000))
+    char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).when(number.isNotNull(), "\ufffd")
+    char = F.coalesce(F.try_element_at(numbers, number.cast("string")), char, F.try_element_at(names, found))
+    short = F.regexp_extract(piece, _SHORT_REFERENCE, 1)
+    return (
+        F.when(char.isNotNull(), F.concat(char, F.regexp_replace(piece, _REFERENCE, "")))
+        .when(short != "", F.concat(F.try_element_at(names, short), F.regexp_replace(piece, _SHORT_REFERENCE, "")))
+        .otherwise(piece)
     )
 
 
 def decode_references(c: Column) -> Column:
     """Numeric and named character references; what they stand for is not decoded again."""
     names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
-    pieces = F.transform(F.split(c, "(?=&)"), lambda p: _reference(p, names))
+    numbers = F.from_json(F.lit(json.dumps(_NUMBERS)), "map<string,string>")
+    pieces = F.transform(F.split(c, "(?=&)"), lambda p: _reference(p, names, numbers))
     return F.when(c.contains("&"), F.array_join(pieces, "")).otherwise(c)
 
 

@@ -30,19 +30,27 @@ def _decode(c: Column) -> Column:
     return F.try_url_decode(F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
+# Two characters that no text holds, percent-encoded.
+_ASIDE = ("%EF%B7%90", "%EF%B7%91")
+
+
 def _clean_query(query: Column) -> Column:
     """Drop tracking and blank parameters, re-encode the rest; `?a=1&b=2` or an empty string.
 
     Separators are swapped for control characters so that the whole string can be
     decoded and encoded in one call instead of parameter by parameter.
     """
-    marked = F.regexp_replace(query, "(^|&)([^=&]*)=", "$1$2\u0002")
+    # Control characters that the query itself holds step aside meanwhile.
+    own = F.replace(F.replace(query, F.lit("%01"), F.lit(_ASIDE[0])), F.lit("%02"), F.lit(_ASIDE[1]))
+    own = F.translate(own, "\u0001\u0002", "\ufdd0\ufdd1")
+    marked = F.regexp_replace(own, "(^|&)([^=&]*)=", "$1$2\u0002")
     marked = F.replace(marked, F.lit("&"), F.lit("\u0001"))
     coded = F.url_encode(_decode(marked))
     # The encoder differs from form encoding in two characters only.
     coded = F.replace(F.replace(coded, F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
     coded = F.replace(F.replace(coded, F.lit("%01"), F.lit("&")), F.lit("%02"), F.lit("="))
     kept = F.regexp_replace(F.concat(F.lit("&"), coded), _DROPPED_PARAM, "")
+    kept = F.replace(F.replace(kept, F.lit(_ASIDE[0]), F.lit("%01")), F.lit(_ASIDE[1]), F.lit("%02"))
     return F.regexp_replace(kept, "^&", "?")
 
 

@@ -115,7 +115,7 @@ def build_feeds(
 
 
 def publish_feeds(
-    spark: SparkSession, feeds: DataFrame, path: str, run_id: str, run_at: str
+    spark: SparkSession, feeds: DataFrame, path: str, run_id: str, run_at: str, registry=FEEDS
 ) -> bool:
     """Write the feeds of a run, then metadata if anything changed; returns whether it did.
 
@@ -125,7 +125,7 @@ def publish_feeds(
     target = os.path.join(path, "runs", run_id)
     published.write_feeds(feeds, target)
     written = published.read_feed_lines(spark, target)
-    meta = feed_fingerprint(written, ["feed_pos"])
+    meta = feed_fingerprint(written, ["feed_pos"], max_rows=rank.largest_cap(registry))
     return published.write_meta(spark, meta, os.path.join(path, "meta"), run_id, run_at)
 
 

@@ -139,7 +139,7 @@ def merge_batch(
     rank.final_order_cap(rows, feeds=feeds).write.mode("overwrite").parquet(target)
 
     current = published_form(spark.read.parquet(target))
-    meta = feed_fingerprint(current, ["feed_pos"])
+    meta = feed_fingerprint(current, ["feed_pos"], max_rows=rank.largest_cap(feeds))
     return published.write_meta(spark, meta, os.path.join(path, "meta"), f"batch-{batch_id}", run_at)
 
 

@@ -11,7 +11,7 @@ from tests.check import TESTDATA
 import __spark_entry__ as entry
 from feedloom import vocab
 from feedloom.bindings import QUERIES
-from feedloom.functions import html, text
+from feedloom.functions import html, text, urls
 from feedloom.operators import combine, gates, rank
 from feedloom.plans import sources as source_jobs
 from feedloom.schema import RAW_ITEM, conform
@@ -44,7 +44,16 @@ def test_all_sources_failed(spark):
 
 def test_character_references(values):
     texts = ["Caf&eacute; &#8217;Tis &ndash; &#x27;x&apos; &hellip;", "a &amp;lt; b", "&nosuch; & &#0; &#x1F600;", "plain", "&nbsp;x&#160;y", None]
-    assert values(texts, html.text_of) == ["Café ’Tis – 'x' …", "a &lt; b", "&nosuch; & &#0; 😀", "plain", "x y", None]
+    texts += ["it&#146;s &nbsp x &#0;", "AT&ampT &copy2024 &notit; &#x80 &#65 &#xD800;", "a&b=1&c", "&hellip &eacute"]
+    assert values(texts, html.text_of) == [
+        "Café ’Tis – 'x' …", "a &lt; b", "&nosuch; & \ufffd 😀", "plain", "x y", None,
+        "it’s x \ufffd", "AT&T ©2024 ¬it; € A \ufffd", "a&b=1&c", "&hellip é",
+    ]
+
+
+def test_control_characters_of_a_query_stay(values):
+    got = values(["https://a.example/x?a=p%01q&b=2", "https://a.example/x?c=%02&utm_source=1", "https://a.example/x?a=1&b=x=y"], urls.canonical_url)
+    assert got == ["https://a.example/x?a=p%01q&b=2", "https://a.example/x?c=%02", "https://a.example/x?a=1&b=x%3Dy"]
 
 
 def test_escaped_slash_is_found(spark):
