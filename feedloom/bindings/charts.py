@@ -9,6 +9,7 @@ from feedloom.bindings.registry import query
 from feedloom.bindings.sql import quote
 from feedloom.functions import dates
 from feedloom.operators import dedupe, fingerprint, keyed, rank
+from feedloom.session import settle
 from feedloom.sources import documents, pages
 
 
@@ -105,32 +106,34 @@ _ROW_HASH = """CAST(('0x' || left(sha256('{"event_id":' || event_id || ',"kind":
   || ',"user_id":' || user_id || '}'), 15)) AS HUGEINT)"""
 
 
-def _daily_hash(t, day: int):
-    """Order-insensitive hash per event type of one day; the last two types appear only on even or odd days."""
-    on_day = F.date_diff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) == day
-    rows = t.events.where(on_day).select(
-        F.col("event_type").alias("feed"),
-        "event_id",
-        F.col("event_type").alias("kind"),
-        "user_id",
+def _daily_hashes(t):
+    """Order-insensitive hash per event type and day; two types appear only on even or odd days."""
+    day = F.date_diff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
+    rows = t.events.select(
+        F.col("event_type").alias("feed"), day.cast("long").alias("day"), "event_id", F.col("event_type").alias("kind"), "user_id"
     )
-    rows = rows.where(F.col("feed") != ("error" if day % 2 else "signup"))
-    return fingerprint.large_feed_fingerprint(rows, ["feed"])
+    rows = rows.where(F.col("feed") != F.when(F.col("day") % 2 == 1, "error").otherwise("signup"))
+    return fingerprint.large_feed_fingerprint(rows, ["feed", "day"])
+
+
+def _daily_changes(t):
+    """Every day against the day before: all types change, some come, some go."""
+    hashes = settle(_daily_hashes(t), "hashes")
+    before = hashes.withColumn("day", F.col("day") + 1)
+    return fingerprint.detect_changes(before, hashes, ["feed", "day"]), hashes
 
 
 _CHANGES = f"""WITH e AS (SELECT *, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS day FROM events),
   h AS (SELECT day, event_type AS feed, CAST(sum({_ROW_HASH}) AS VARCHAR) AS hash FROM e
-    WHERE day IN (4, 5) AND event_type <> CASE WHEN day = 5 THEN 'error' ELSE 'signup' END GROUP BY 1, 2),
-  o AS (SELECT * FROM h WHERE day = 4), n AS (SELECT * FROM h WHERE day = 5),
-  c AS (SELECT coalesce(o.feed, n.feed) AS feed, o.hash AS old_hash, n.hash AS new_hash,
-    o.hash IS DISTINCT FROM n.hash AS changed FROM o FULL JOIN n ON o.feed = n.feed)
+    WHERE event_type <> CASE WHEN day % 2 = 1 THEN 'error' ELSE 'signup' END GROUP BY 1, 2),
+  c AS (SELECT coalesce(o.feed, n.feed) AS feed, coalesce(o.day + 1, n.day) AS day, o.hash AS old_hash, n.hash AS new_hash,
+    o.hash IS DISTINCT FROM n.hash AS changed FROM h o FULL JOIN h n ON o.feed = n.feed AND o.day + 1 = n.day)
 """
 
 
-@query("change_detect", _CHANGES + "SELECT feed, old_hash, new_hash, changed FROM c")
+@query("change_detect", _CHANGES + "SELECT feed, day, old_hash, new_hash, changed FROM c")
 def change_detect(t):
-    """One day against the next: all types changed, one added, one removed."""
-    return fingerprint.detect_changes(_daily_hash(t, 4), _daily_hash(t, 5)).drop("count")
+    return _daily_changes(t)[0].drop("count")
 
 
 @query(
@@ -140,14 +143,11 @@ def change_detect(t):
     UNION ALL SELECT 7, '2024-01-05T00:00:00Z', false, 'unchanged' FROM (SELECT count(*) FROM c)""",
 )
 def next_version(t):
-    spark = t.spark
-    version = spark.createDataFrame([(7, "2024-01-05T00:00:00Z")], "version int, updated_at string")
-    old, new = _daily_hash(t, 4), _daily_hash(t, 5)
-    moved = fingerprint.next_version(
-        fingerprint.detect_changes(old, new), version, "2024-01-06T00:00:00Z"
-    ).withColumn("case_name", F.lit("changed"))
+    version = t.spark.createDataFrame([(7, "2024-01-05T00:00:00Z")], "version int, updated_at string")
+    changes, hashes = _daily_changes(t)
+    moved = fingerprint.next_version(changes, version, "2024-01-06T00:00:00Z").withColumn("case_name", F.lit("changed"))
     same = fingerprint.next_version(
-        fingerprint.detect_changes(old, old), version, "2024-01-06T00:00:00Z"
+        fingerprint.detect_changes(hashes, hashes, ["feed", "day"]), version, "2024-01-06T00:00:00Z"
     ).withColumn("case_name", F.lit("unchanged"))
     return moved.unionByName(same)
 

@@ -60,10 +60,11 @@ def large_feed_fingerprint(df: DataFrame, by: list, columns=None, exclude=()) ->
     )
 
 
-def detect_changes(previous: DataFrame, current: DataFrame, by: str = "feed") -> DataFrame:
+def detect_changes(previous: DataFrame, current: DataFrame, by: list[str] | str = "feed") -> DataFrame:
     """Old and new hash side by side per feed; `changed` also for added and removed feeds."""
-    old = previous.select(by, F.col("hash").alias("old_hash"))
-    new = current.select(by, F.col("hash").alias("new_hash"), "count")
+    by = [by] if isinstance(by, str) else by
+    old = previous.select(*by, F.col("hash").alias("old_hash"))
+    new = current.select(*by, F.col("hash").alias("new_hash"), "count")
     return old.join(new, by, "full_outer").withColumn(
         "changed", ~F.col("old_hash").eqNullSafe(F.col("new_hash"))
     )
