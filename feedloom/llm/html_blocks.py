@@ -30,6 +30,9 @@ SITE_WORDS = set(
     "legal disclaimer byline".split()
 )
 TEXT_WORDS = set("article post story entry content".split())
+# Site words that name a topic just as well, and words at the start or end of a name that tells a state.
+TOPICS = set("social legal share sharing search notice notices login sponsor promotion discussion copyright alert consent".split())
+STATES = set("no not has with without enabled disabled".split())
 
 _TOKEN = re.compile(
     r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""",
@@ -40,6 +43,21 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|
 _WORDS = re.compile(r"[a-z]+")
 
 
+def named(attributes: str) -> tuple[bool, bool, bool]:
+    """Whether class, id and role name a site element, a text element, a header.
+
+    A whole name such as `sidebar`, or a compound with such a word, is a site element. A compound that tells a state
+    (`no-sidebar`, `share-enabled`) says nothing, and words that are topics as well (`legal-news`) do not count where
+    the element is named as a text, too.
+    """
+    parts = [_WORDS.findall(t) for value in _NAMES.findall(attributes) for t in value.lower().split()]
+    parts = [t for t in parts if t and t[0] not in STATES and t[-1] not in STATES]
+    sure = any(len(t) == 1 and t[0] in SITE_WORDS or t[-1] in SITE_WORDS or not TOPICS.issuperset(SITE_WORDS.intersection(t)) for t in parts)
+    topic = any(TOPICS.intersection(t) for t in parts)
+    text = any(t[-1] in TEXT_WORDS for t in parts)
+    return sure or (topic and not text), any(TEXT_WORDS.intersection(t) for t in parts), any("header" in t for t in parts)
+
+
 class Block:
     """Text between two block tags: its words, those inside links, and where it stands."""
 
@@ -111,12 +129,11 @@ def blocks(page: str) -> list[Block]:
                         flush()
                     del stack[known:]
             else:
-                names = set(_WORDS.findall(" ".join(_NAMES.findall(rest or "")).lower()))
-                names -= {"class", "id", "role"}
+                named_site, named_text, named_header = named(rest or "")
                 outer = name in ("html", "body", "main")
-                site = int(name in AROUND or (not outer and bool(names & SITE_WORDS or _HIDDEN.search(rest or ""))))
-                header = int(name == "header" or (not outer and "header" in names))
-                inside = int(name in ("article", "main") or (not outer and not site and bool(names & TEXT_WORDS)))
+                site = int(name in AROUND or (not outer and (named_site or bool(_HIDDEN.search(rest or "")))))
+                header = int(name == "header" or (not outer and named_header))
+                inside = int(name in ("article", "main") or (not outer and not site and named_text))
                 if name == "p":
                     # A paragraph ends the one before it.
                     while stack and stack[-1][0] in ("p", "span"):

@@ -3,6 +3,8 @@
 import base64
 import hashlib
 
+import pytest
+
 from feedloom.llm import html_blocks, warc
 
 FAKE = (
@@ -105,3 +107,21 @@ def test_tree_learns_its_table():
     tree, rows = html_blocks.trained(), html_blocks.LABELLED
     right = [(html_blocks.verdict(tree, tuple(r[:-1])) > 0.5) == bool(r[-1]) for r in rows]
     assert sum(right) >= 0.95 * len(right)
+
+
+@pytest.mark.parametrize(
+    "element",
+    [
+        '<article class="post no-sidebar">', '<div class="content share-enabled">', '<article class="story legal-news">',
+        '<div class="page has-banner">', '<div id="social-policy-article">', "<div class='entry-content'>", "<main>",
+    ],
+)
+def test_names_of_states_and_topics_keep_the_article(element):
+    texts = ["The council met on Monday to talk about the bridge, " + "which has been closed for a long time now. " * 4] * 2
+    page = f"<html><body><nav><a href=/>Home</a> <a href=/n>News</a></nav>{element}<p>{texts[0]}</p><p>{texts[1]}</p></body></html>"
+    assert html_blocks.main_text(page) == "\n\n".join(" ".join(t.split()) for t in texts)
+
+
+@pytest.mark.parametrize("name", ["sidebar", "post-comments", "sidebar-content", "related-posts", "ad1", "cookie-banner", "share-buttons", "modal-content"])
+def test_names_of_site_elements(name):
+    assert html_blocks.named(f' class="box {name}"')[0]
