@@ -21,7 +21,7 @@ WEIGHTS = (5, 2, 1)
 #: A source gives at most so many times its own words.
 EPOCHS = 3
 #: Rows of a source in one range of the key.
-ROWS_PER_RANGE = 100_000
+ROWS_PER_RANGE = 10_000
 
 # Fixed value: what counts as a word.
 WORD = r"[^\x20\x09-\x0D]+"
