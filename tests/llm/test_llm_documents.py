@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import corpus_pipeline
@@ -240,6 +241,48 @@ def test_tiles_equal_greedy_tiling():
         assert tiling.tiles(doc, item, 3) == want
 
 
+def test_tiles_of_repetitive_words():
+    same = lambda n: np.full(n, 7, np.uint64)
+    began = time.monotonic()
+    assert tiling.tiles(same(5_000), same(1_000)) == [(1_000, 0, 0)]
+    assert tiling.tiles(same(40), same(100)) == [(40, 0, 0)]
+    turn = np.arange(1, 8, dtype=np.uint64)
+    assert tiling.tiles(np.tile(turn, 20_000), np.tile(turn, 300)) == [(2_100, 0, 0)]
+    assert time.monotonic() - began < 5
+
+
+def test_leaks_equal_tiling_of_all_pairs(spark):
+    """Few words, so that seeds repeat inside texts and over items; odd ids; repeated rows."""
+    rng = np.random.default_rng(11)
+    draw = lambda n: " ".join("abcd"[k] for k in rng.integers(0, 4, n))
+    items = [(f"i{k}", draw(n)) for k, n in enumerate([3, 5, 9, 14, 20, 20, 31, 60])] + [(None, "a a a a a a a a"), ("z", "...")]
+    items.append(items[4])
+    docs = [(f"d{k}", draw(int(n))) for k, n in enumerate(rng.integers(0, 90, 40))] + [(None, "A, a a. " * 9), ("x", None)]
+    docs += [docs[0], ("y", " ".join(t or "" for _, t in items))]
+    for coverage in (0.5, 0.9):
+        want = []
+        for d, t in docs:
+            for i, x in items:
+                doc, item = tiling.tokens(t or ""), tiling.tokens(x)
+                found = brute_tiles(doc.tolist(), item.tolist(), min(5, len(item))) if len(item) else []
+                covered = sum(n for n, _, _ in found)
+                if found and covered >= coverage * len(item):
+                    want.append((d, i, len(item), covered, len(found)))
+        leaks = tiling.leaks(
+            spark.createDataFrame(docs, "doc_id string, text string"),
+            spark.createDataFrame(items, "item_id string, text string"), coverage,
+        )
+        assert sorted(map(str, (tuple(r)[:5] for r in leaks.collect()))) == sorted(map(str, want))
+
+
+def test_keep_clean_with_clashing_columns(spark):
+    item = " ".join(words(30, 5))
+    rows = [("a", item, 1, 2, 3), (None, item, 1, 2, 3), ("b", "fine", 1, 2, 3), (None, "fine too", 1, 2, 3), ("c", None, 1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, key int, `__key` int, row int")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(map(str, map(tuple, tiling.keep_clean(docs, bench).collect()))) == sorted(map(str, rows[2:]))
+
+
 def test_losses_and_matched_models(spark, docs):
     good, bad = [sentences(60, 20 + k % 3) for k in range(6)], ["%% ## 12 " * 30] * 4
     rows = [*enumerate(good + bad), (50, None), (51, ""), (None, good[0]), (3, good[3])]
