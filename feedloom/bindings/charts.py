@@ -434,6 +434,86 @@ def chart_titles(t):
     )
 
 
+TOP_N = 3
+_TOP_LABEL = "Order Chart"
+_TOP_SQL = rf"""WITH i AS (SELECT l_orderkey AS feed, CASE WHEN l_suppkey % 2 = 0 THEN 'movie' ELSE 'series' END AS type, l_linenumber AS n, l_partkey AS k,
+      l_quantity <= 25 AS own, p_name || ' ' || p_partkey AS title FROM lineitem JOIN part ON p_partkey = l_partkey),
+    d AS (SELECT feed, type, own, k, title, min((n, k)) AS place FROM i GROUP BY ALL),
+    p AS (SELECT *, row_number() OVER (PARTITION BY feed, type, own ORDER BY place) AS pos FROM d),
+    b AS (SELECT * FROM p WHERE pos <= {TOP_N}),
+    m AS (SELECT *, row_number() OVER (PARTITION BY feed, type ORDER BY own DESC, pos) AS rank FROM b
+      WHERE own OR NOT EXISTS (SELECT 1 FROM b o WHERE o.own AND o.feed = b.feed AND o.type = b.type AND o.title = b.title)),
+    l AS (SELECT DISTINCT feed, type, 'https://lists.example/' || feed || '/' || type AS list_url FROM i WHERE own),
+    h AS (SELECT m.*, list_url, k % 5 <> 0 AS hit, type = 'series' AND k % 2 = 0 AS shown, p_size, p_brand FROM m LEFT JOIN l USING (feed, type) JOIN part ON p_partkey = k
+      WHERE rank <= {TOP_N}),
+    u AS (SELECT *, CASE WHEN NOT hit THEN NULL WHEN shown THEN '{vocab.LISTING_HOST}/s/' || k WHEN k % 3 <> 0 THEN '{vocab.LISTING_HOST}/f/' || k END AS address FROM h)
+    SELECT CAST(feed AS VARCHAR) AS feed, CASE type WHEN 'series' THEN 1 ELSE 0 END AS page_ord, rank AS entry_ord, title, type,
+      CASE WHEN hit AND NOT shown THEN CAST(1990 + p_size AS VARCHAR) END AS year,
+      '{_TOP_LABEL} Top ' || rank || ' ' || type || '.' || CASE WHEN hit AND NOT shown THEN ' ' || p_brand ELSE '' END AS overview,
+      CASE WHEN NOT hit THEN '' WHEN shown THEN 'War' ELSE 'Action|zzz' END AS genres,
+      coalesce(address, list_url) AS source_url, coalesce(address, list_url || '#' || rank || '-' || type) AS article_url FROM u"""
+
+
+@query("top_list_items", _TOP_SQL)
+def top_list_items(t):
+    """Every order's items as list pages of films and shows, short lists filled from its larger items, with search replies per part."""
+    from feedloom.plans.sources import top_list_items as items
+
+    c = F.col
+    named = F.concat_ws(" ", "p_name", "p_partkey")
+    rows = t.lineitem.join(t.part.select(c("p_partkey").alias("l_partkey"), named.alias("title")), "l_partkey").select(
+        c("l_orderkey").cast("string").alias("feed"),
+        F.when(c("l_suppkey") % 2 == 0, "movie").otherwise("series").alias("type"),
+        (c("l_quantity") <= 25).alias("own"),
+        # An order has few items, so its page is small.
+        F.struct("l_linenumber", "l_partkey", F.concat(
+            F.lit("<tr><td><b>"), "l_linenumber", F.lit(" "), F.when(c("l_suppkey") % 4 < 2, F.upper("title")).otherwise(c("title")),
+            F.lit("</b>: Season 2</td><td>x</td></tr>"),
+        ).alias("row")).alias("at"),
+    )
+    page = F.concat(F.lit("<table><tr><th>Title</th></tr>"), F.array_join(F.sort_array(F.collect_list("at"))["row"], ""), F.lit("</table>"))
+    lists = settle(rows.groupBy("feed", "type", "own").agg(page.alias("html")), "list-pages")
+    address = F.concat(F.lit("https://lists.example/"), "feed", F.lit("/"), "type")
+    none = F.lit(None).cast("string")
+    edges = F.array(
+        _edge(F.lit("SHOW"), none, F.lit(2001), F.lit("/x"), F.array(F.lit("drm")), F.lit("untitled")),
+        _edge(F.lit("MOVIE"), c("title"), 1990 + c("p_size"), F.when(c("p_partkey") % 3 != 0, F.concat(F.lit("/f/"), "p_partkey")),
+              F.array(F.lit("act"), F.lit("zzz")), c("p_brand")),
+        _edge(F.when(c("p_partkey") % 2 == 0, "SHOW").otherwise("MOVIE"), F.upper("title"), F.lit(None).cast("int"),
+              F.concat(F.lit("/s/"), "p_partkey"), F.array(F.lit("war")), F.lit("")),
+    )
+    known = t.part.withColumn("title", named).where("p_partkey % 5 <> 0").select("title", F.to_json(F.struct(edges.alias("edges"))).alias("json"))
+    replies = known.select(F.explode(F.array("title", F.upper("title"))).alias("asked"), "json")
+    own = lists.where("own").select("feed", "type", address.alias("list_url"), "html")
+    found = items(own, lists.where("NOT own"), replies.withColumnRenamed("asked", "title"), "netflix", _TOP_LABEL, TOP_N)
+    return found.select(
+        "feed", c("page_ord").cast("int").alias("page_ord"), "entry_ord", F.lower("title").alias("title"), "type", "year", "overview",
+        F.array_join("genres", "|").alias("genres"), "source_url", "article_url",
+    )
+
+
+@query(
+    "search_catalog",
+    """WITH r AS (SELECT lower(title) AS search_key, CASE WHEN page_id % 3 = 0 THEN 'tv' ELSE 'movie' END AS search_type,
+      '/p' || page_id || '.jpg' AS image_path FROM (SELECT *, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages)
+      WHERE page_id % 7 <> 0 AND page_id % 5 <> 0)
+    SELECT search_key, search_type, min(image_path) AS image_path FROM r GROUP BY 1, 2""",
+)
+def search_catalog(t):
+    """Pages as search replies: failed ones, ones without a picture, two pictures in others."""
+    from feedloom.operators.enrich import catalog_from_replies
+
+    picture = F.concat(F.lit('<img src="https://x.example/t/p/w94_and_h141_bestv2/p'), "page_id", F.lit('.jpg"><img src="/t/p/w500/zz.jpg">'))
+    return catalog_from_replies(
+        t.pages.select(
+            F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("phrase"),
+            F.when(F.col("page_id") % 3 == 0, "tv").otherwise("movie").alias("search_type"),
+            F.when(F.col("page_id") % 7 == 0, 503).otherwise(200).alias("status"),
+            F.concat("html", F.when(F.col("page_id") % 5 != 0, picture).otherwise(F.lit('<img src="/t/p/x.jpg">'))).alias("html"),
+        )
+    )
+
+
 @query(
     "epoch_dates",
     "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",

@@ -8,7 +8,7 @@ from feedloom.bindings import pages as page_queries
 from feedloom.bindings import sql as q
 from feedloom.bindings.registry import query
 from feedloom.functions import dates, text
-from feedloom.operators import fingerprint, gates, keyed, normalize
+from feedloom.operators import enrich, fingerprint, gates, keyed, normalize
 from feedloom.plans import feeds as feed_plan
 from feedloom.plans import sources as source_jobs
 from feedloom.schema import ORDER
@@ -198,6 +198,28 @@ def syndication_job(t):
     return raw.select("feed", "source_ord", "entry_ord", "platform", "overview", "article_url", "published_raw", "poster_image_url")
 
 
+@query(
+    "landed_sources",
+    """SELECT 'pages' AS source, 0 AS source_ord, 'ok' AS status, count(*) AS n_rows, count(*) AS n_read FROM pages
+    UNION ALL SELECT 'missing', 1, 'error', NULL, 0
+    UNION ALL SELECT 'documents', 2, 'ok', count(*), count(*) FROM documents
+    UNION ALL SELECT 'unset', 3, 'error', NULL, 0
+    UNION ALL SELECT 'films', 4, 'ok', count(*), count(*) FROM part WHERE p_size > 100""",
+)
+def landed_sources(t):
+    """Sources landed one by one: two with rows, one whose folder is missing, one without its setting, one that finds nothing."""
+    titled = {
+        "pages": lambda spark, config: t.pages.select(F.col("url").alias("title"), F.col("page_id").alias("entry_ord")),
+        "missing": lambda spark, config: spark.read.parquet(work_dir(spark, "nothing")),
+        "documents": lambda spark, config: t.documents.select(F.split_part("text", F.lit("\n"), F.lit(1)).alias("title")),
+        "unset": lambda spark, config: t.pages.where(config["rule"]),
+        "films": lambda spark, config: t.part.where("p_size > 100").select(F.col("p_name").alias("title")),
+    }
+    raw, report = source_jobs.land_sources(t.spark, titled, {}, work_dir(t.spark, "landing"))
+    read = raw.groupBy("source").agg(F.count(F.lit(1)).alias("n_read"))
+    return report.join(read, "source", "left").fillna(0, ["n_read"]).select("source", "source_ord", "status", "n_rows", "n_read")
+
+
 # --- streams ----------------------------------------------------------------------------
 
 
@@ -300,12 +322,13 @@ def _built_feeds(t):
             "article_url": F.when(~chart, F.col("article_url")),
         }
     )
-    catalog = (
-        named.where("title <> ''")
-        .groupBy(F.lower("title").alias("search_key"))
-        .agg(F.min("page_id").alias("p"))
-        .select("search_key", F.lit("movie").alias("search_type"), F.concat(F.lit("/p"), "p", F.lit(".jpg")).alias("image_path"))
-    )
+    replies = named.where("title <> ''").groupBy(F.lower("title").alias("phrase")).agg(F.min("page_id").alias("p"))
+    catalog = enrich.catalog_from_replies(
+        replies.select(
+            "phrase", F.lit("movie").alias("search_type"), F.lit(200).alias("status"),
+            F.concat(F.lit('<img src="/t/p/w94_and_h141_bestv2/p'), "p", F.lit('.jpg">')).alias("html"),
+        )
+    )
     lookups = feed_plan.Lookups(t.pages.select("url", "html"), page_queries._header_checks(t), catalog)
     # The fallback table covers every feed, the empty one included.
     return feed_plan.build_feeds(t.spark, raw, RUN_AT, lookups, feed_plan.Fallback(named))

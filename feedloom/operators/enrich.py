@@ -56,6 +56,18 @@ def lookup_preferred(
     return lookup(chart, best, [on, want], spread_by, counts=counts)
 
 
+def catalog_from_replies(replies: DataFrame) -> DataFrame:
+    """Landed search replies to the catalog of `lookup_progressive`: (search_key, search_type, image_path).
+
+    `replies(phrase, search_type, status, html)`. Of a reply the first poster path counts; replies that failed, or hold
+    none, are left out. Phrases compare in lower case; of several replies for one phrase and type the smallest path stays.
+    """
+    ok = replies.where(F.col("status").between(200, 299) & F.col("phrase").isNotNull())
+    path = html.matches("html", [vocab.CATALOG_IMAGE_PATTERN])[0]
+    found = ok.select(F.lower("phrase").alias("search_key"), "search_type", path.alias("image_path")).where("image_path <> ''")
+    return found.groupBy("search_key", "search_type").agg(F.min("image_path").alias("image_path"))
+
+
 def lookup_progressive(
     items: DataFrame,
     catalog: DataFrame,

@@ -514,6 +514,7 @@ LISTING_IMAGE_HOST = "https://images.justwatch.com"
 LISTING_IMAGE_PROFILE = "s592"
 LISTING_IMAGE_FORMAT = "webp"
 CATALOG_IMAGE_BASE = "https://image.tmdb.org/t/p/"
+CATALOG_IMAGE_PATTERN = r"/t/p/w\d+(?:_and_h\d+_\w+)?(/[a-zA-Z0-9]+\.jpg)"
 POSTER_SIZE = "w500"
 BACKDROP_SIZE = "w1280"
 DETAIL_POSTER_PART = "m.media-amazon.com/images/M/"

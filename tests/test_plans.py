@@ -168,3 +168,73 @@ def test_no_cartesian_products(spark):
             continue
         text = plan(spark, name)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def cells(*titles):
+    return "<table><tr><th>x</th></tr>" + "".join(f"<tr><td>{t}</td><td>9</td></tr>" for t in titles) + "</table>"
+
+
+def test_top_lists(spark):
+    lists = spark.createDataFrame(
+        [("a", "movie", "https://l/a", cells("1 One", "<b>2</b> ONE", "3 Two: Season 4", "", " ")), ("a", "series", "https://l/s", None),
+         ("b", "movie", "https://l/b", cells()), (None, "movie", None, cells("Lost"))],
+        "feed string, type string, list_url string, html string",
+    )
+    backups = spark.createDataFrame(
+        [("a", "movie", cells("two", "Three", "Four")), ("c", "series", cells("Only"))], "feed string, type string, html string"
+    )
+    node = lambda kind, title, path: f'{{"node":{{"objectType":"{kind}","content":{{"title":"{title}","fullPath":"{path}"}}}}}}'
+    replies = spark.createDataFrame(
+        [("One", '{"edges":[' + node("SHOW", "One!", "/s") + "," + node("MOVIE", "One", "/m") + "]}"), ("Two", "{broken"), ("Only", None)],
+        "title string, json string",
+    )
+    got = source_jobs.top_list_items(lists, backups, replies, "netflix", "L", 3).where("feed is not null")
+    rows = sorted((r.feed, r.page_ord, r.entry_ord, r.title, r.article_url, r.overview) for r in got.collect())
+    assert [(f, t) for f, _, _, t, _, _ in rows] == [("a", "One"), ("a", "Two"), ("a", "Three"), ("c", "Only")]
+    assert rows[0][4].endswith("/m") and rows[1][4] == "https://l/a#2-movie" and rows[2][4] == "https://l/a#3-movie" and rows[3][4] is None
+    assert rows[1][5] == "L Top 2 movie." and rows[3][5] == "L Top 1 series."
+    empty = source_jobs.top_list_items(lists.limit(0), backups.limit(0), replies.limit(0), "netflix", "L")
+    assert empty.count() == 0
+
+
+def test_search_replies_make_the_catalog(spark):
+    from feedloom.operators.enrich import catalog_from_replies
+
+    image = lambda p: f'<img src="https://x/t/p/w94_and_h141_face/{p}.jpg"> <img src="/t/p/w500/zz.jpg">'
+    rows = [("One", "tv", 200, image("b")), ("one", "tv", 200, image("a")), ("One", "movie", 200, "none"), ("Two", "tv", 404, image("c")),
+            ("Three", "tv", None, image("c")), (None, "tv", 200, image("c")), ("Four", "tv", 200, None)]
+    replies = spark.createDataFrame(rows, "phrase string, search_type string, status int, html string")
+    assert [tuple(r) for r in catalog_from_replies(replies).collect()] == [("one", "tv", "/a.jpg")]
+    assert catalog_from_replies(replies.limit(0)).count() == 0
+
+
+def test_sources_that_fail_while_running_are_left_out(spark, tmp_path):
+    def titles(*names):
+        return lambda spark, config: spark.createDataFrame([(n,) for n in names], "title string")
+
+    def breaks(spark, config):
+        return titles("x", "y")(spark, config).withColumn("title", F.when(F.col("title") == "y", F.raise_error(F.lit("bad page"))).otherwise("x"))
+
+    corrupt = tmp_path / "landed"
+    corrupt.mkdir()
+    (corrupt / "part.parquet").write_bytes(b"PAR1 not a table PAR1")
+    sources = {
+        "one": titles("a", "b"), "breaks": breaks, "corrupt": lambda s, c: s.read.schema("title string").parquet(str(corrupt)),
+        "none": titles(), "setting": lambda s, c: c["missing"], "two": titles("c"),
+    }
+    for _ in range(2):
+        raw, report = source_jobs.land_sources(spark, sources, {}, str(tmp_path / "run"))
+        found = {r.source: (r.status, r.n_rows, r.error is None) for r in report.collect()}
+        assert found == {"one": ("ok", 2, True), "breaks": ("error", None, False), "corrupt": ("error", None, False),
+                         "none": ("ok", 0, True), "setting": ("error", None, False), "two": ("ok", 1, True)}
+        assert sorted((r.source, r.source_ord, r.title) for r in raw.collect()) == [("one", 0, "a"), ("one", 0, "b"), ("two", 5, "c")]
+    raw, report = source_jobs.land_sources(spark, {"only": breaks}, {}, str(tmp_path / "other"))
+    assert raw.count() == 0 and raw.columns == RAW_ITEM.names and report.count() == 1
+
+
+def test_published_arrays_are_read_in_order(spark, tmp_path):
+    (tmp_path / "a feed.json").write_text('[{"title": "b", "rating": 7.5, "genres": ["x"]},\n{"title": "a", "year": 1999, "extra": 1}]')
+    (tmp_path / "none.json").write_text("[]")
+    (tmp_path / "broken.json").write_text("[{")
+    rows = published.read_feeds(spark, str(tmp_path)).where("title is not null").orderBy("feed", "feed_pos").collect()
+    assert [(r.feed, r.feed_pos, r.title, r.rating, r.year) for r in rows] == [("a feed", 1, "b", 7.5, None), ("a feed", 2, "a", None, 1999)]
