@@ -378,7 +378,7 @@ def _chart_html(t):
         row([F.lit("1"), F.lit("2"), link, *[F.lit("n")] * 6, F.lit("1,001")]),
         F.lit("</table><table><tr><td>second</td></tr></table>"),
     )
-    return t.part.select("p_partkey", html.alias("html"))
+    return t.spread("part").select("p_partkey", html.alias("html"))
 
 
 _CHART_ROWS = f"""FROM (
