@@ -275,7 +275,7 @@ def find_nodes(t):
     )
     doc = F.concat(F.lit('{"z":[0,'), outer, F.lit('],"a":'), deep, F.lit("}"))
     cards = documents.find_nodes(
-        t.events.select("event_id", doc.alias("doc")), ["event_id"], "doc", "_type", "ImageCard"
+        t.spread("events").select("event_id", doc.alias("doc")), ["event_id"], "doc", "_type", "ImageCard"
     )
     return documents.card_items(cards, ["event_id"]).select(
         "event_id",

@@ -70,11 +70,12 @@ def _string(node: Column) -> Column:
     return F.when(F.schema_of_variant(node) == "STRING", F.try_variant_get(node, "$", "string"))
 
 
-def _deeper(nodes: DataFrame, keep: list[str], wanted) -> DataFrame:
-    """All nodes (`_path`, `_json`, `_open`) and the objects and arrays right inside the open ones, which are then the open ones.
+def _deeper(nodes: DataFrame, keep: list[str], wanted, look, kind: str) -> DataFrame:
+    """What was found (`_path`, `_json`, `_found`), and the objects and arrays right inside the open nodes, which are then the open ones.
 
-    The JSON text keeps the order of keys, and the variant tells an object from a text that looks like one. Of a repeated
-    key the last value counts.
+    `look` gives what an open node has, of type `kind`, from its `_fields` and `_entries`; nodes without it are not passed on. The
+    JSON text keeps the order of keys, and the variant tells an object from a text that looks like one. Of a repeated key the
+    last value counts.
     """
     opens = r"^\s*[\[{]"
     text = F.when(F.col("_open"), F.col("_json"))
@@ -87,6 +88,7 @@ def _deeper(nodes: DataFrame, keep: list[str], wanted) -> DataFrame:
         _entries=F.map_entries(F.from_json(F.when(text.rlike(r"^\s*\{"), text), "map<string,string>")),
         _texts=F.from_json(F.when(text.rlike(r"^\s*\["), text), "array<string>"),
     )
+    rows = pin(rows, _said=F.coalesce("_found", F.when(F.col("_fields").isNotNull(), look)))
 
     def later(e, i):
         return F.exists(F.slice("_entries", i + 2, F.size("_entries")), lambda x: x["key"] == e["key"])
@@ -95,7 +97,8 @@ def _deeper(nodes: DataFrame, keep: list[str], wanted) -> DataFrame:
         # A text that merely looks like an object or array is neither.
         holds = _object(node).isNotNull() | _array(node).isNotNull()
         path = F.concat("_path", F.array(at))
-        return F.when(holds, F.struct(path.alias("_path"), json.alias("_json"), F.lit(True).alias("_open")))
+        new = F.struct(path.alias("_path"), json.alias("_json"), F.lit(True).alias("_open"), F.lit(None).cast(kind).alias("_found"))
+        return F.when(holds, new)
 
     placed = F.transform(
         "_entries",
@@ -105,40 +108,48 @@ def _deeper(nodes: DataFrame, keep: list[str], wanted) -> DataFrame:
     )
     listed = F.transform("_texts", lambda t, i: F.when(t.rlike(opens) & wanted(t), inner(i, t, F.get("_items", i))))
     inside = F.when(F.col("_fields").isNotNull(), placed).when(F.col("_items").isNotNull(), listed)
-    itself = F.struct("_path", "_json", F.lit(False).alias("_open"))
-    return rows.select(*keep, F.inline(F.concat(F.array(itself), F.array_compact(F.coalesce(inside, F.array().cast(_NODES))))))
+    itself = F.when(F.col("_said").isNotNull(), F.struct("_path", "_json", F.lit(False).alias("_open"), F.col("_said").alias("_found")))
+    none = F.array().cast(f"array<struct<_path:array<int>,_json:string,_open:boolean,_found:{kind}>>")
+    return rows.select(*keep, F.inline(F.array_compact(F.concat(F.array(itself), F.coalesce(inside, none)))))
 
 
-_NODES = "array<struct<_path:array<int>,_json:string,_open:boolean>>"
+def _walk(docs: DataFrame, keep: list[str], text: str, mentions, words: list[str], look: Column, kind: str) -> DataFrame:
+    """What `look` finds in the objects of JSON texts, at any depth: rows (*keep, _path, _json, _found).
 
-
-def _walk(docs: DataFrame, keep: list[str], text: str, mentions) -> DataFrame:
-    """All objects and arrays of JSON texts: rows (*keep, _path, _json, _fields), `_fields` the values of an object by key.
-
-    `mentions` says which texts may hold what is looked for; those that neither mention anything nor hold an escape are
-    not opened. A job goes some depths down and writes what it met to the shared folder. Broken JSON gives nothing.
+    `look`, a column of type `kind` over an object's `_fields` (values by key) and `_entries` (keys in order), is null where there
+    is nothing. `mentions` says which texts may hold `words`; those that neither mention them nor hold an escape that may stand
+    for a character of them are not opened. A job goes some depths down and writes what it met to the shared folder. Broken JSON
+    gives nothing.
     """
     spark = docs.sparkSession
+    # Only these characters have an escape beside the one by number, which any may have.
+    escape = "\\" if any(c in '"\\/' or c < " " for w in words for c in w) else "\\u"
 
     def wanted(json: Column) -> Column:
-        return mentions(json) | json.contains("\\")
+        return mentions(json) | json.contains(escape)
 
     repeated = "spark.sql.variant.allowDuplicateKeys"
     before = spark.conf.get(repeated)
     spark.conf.set(repeated, "true")
     try:
-        root = docs.select(*keep, F.array().cast("array<int>").alias("_path"), F.col(text).alias("_json"), F.lit(True).alias("_open"))
+        root = docs.select(
+            *keep,
+            F.array().cast("array<int>").alias("_path"),
+            F.col(text).alias("_json"),
+            F.lit(True).alias("_open"),
+            F.lit(None).cast(kind).alias("_found"),
+        )
         rows, met = root.where(wanted(F.col("_json"))), None
         while True:
             for _ in range(DEPTHS):
-                rows = _deeper(rows, keep, wanted)
+                rows = _deeper(rows, keep, wanted, look, kind)
             level = settle(rows, "json")
             closed = level.where("NOT _open")
             met = closed if met is None else met.unionByName(closed)
             rows = level.where("_open")
             if rows.isEmpty():
                 break
-        return pin(met.select(*keep, "_path", "_json"), _fields=_object(F.try_parse_json("_json")))
+        return met.drop("_open")
     finally:
         spark.conf.set(repeated, before)
 
@@ -148,9 +159,9 @@ def find_nodes(docs: DataFrame, keep: list[str], text: str, key: str, value: str
 
     One row per object with its JSON text and `path`, its place in reading order.
     """
-    nodes = _walk(docs, keep, text, lambda t: t.contains(value))
-    hit = nodes.where(_string(F.element_at("_fields", F.lit(key))) == value)
-    return hit.select(*keep, F.col("_path").alias("path"), F.col("_json").alias("json"))
+    hit = F.when(_string(F.element_at("_fields", F.lit(key))) == value, True)
+    nodes = _walk(docs, keep, text, lambda t: t.contains(value), [value], hit, "boolean")
+    return nodes.select(*keep, F.col("_path").alias("path"), F.col("_json").alias("json"))
 
 
 def first_values(docs: DataFrame, keep: list[str], text: str, keys: list[str]) -> DataFrame:
@@ -165,12 +176,15 @@ def first_values(docs: DataFrame, keep: list[str], text: str, keys: list[str]) -
             hit = hit | t.contains(f'"{k}"')
         return hit
 
-    nodes = _walk(docs, keep, text, mentions).where("_fields IS NOT NULL")
-    names = F.map_keys(F.from_json("_json", "map<string,string>"))
-    said = F.array(*(F.struct(F.lit(k).alias("key"), blank_to_null(strip(_string(F.element_at("_fields", F.lit(k))))).alias("value")) for k in keys))
-    rows = pin(nodes, _names=names, _said=said).select(*keep, "_path", "_names", F.inline("_said")).where("value IS NOT NULL")
-    at = F.concat("_path", F.array((F.array_position("_names", F.col("key")) - 1).cast("int")))
-    return rows.groupBy(*keep).agg(F.min_by("value", at).alias("value"))
+    def said(k: str) -> Column:
+        value = blank_to_null(strip(_string(F.element_at("_fields", F.lit(k)))))
+        at = F.array_position(F.transform("_entries", lambda e: e["key"]), F.lit(k)) - 1
+        return F.struct(at.cast("int").alias("at"), value.alias("value"))
+
+    values = F.filter(F.array(*map(said, keys)), lambda x: x["value"].isNotNull())
+    nodes = _walk(docs, keep, text, mentions, keys, F.when(F.size(values) > 0, values), "array<struct<at:int,value:string>>")
+    rows = nodes.select(*keep, "_path", F.inline("_found"))
+    return rows.groupBy(*keep).agg(F.min_by("value", F.concat("_path", F.array("at"))).alias("value"))
 
 
 def first_value_of(document: Column | str, keys: list[str]) -> Column:
@@ -184,7 +198,8 @@ def card_items(cards: DataFrame, keep: list[str]) -> DataFrame:
     """Card nodes (from `find_nodes`) that lead to a title page, as raw records."""
     c = F.col
     card = "struct<title:string,url:string,imageVariants:string,isEpisode:boolean,_id:string>"
-    df = cards.select(*keep, "path", F.from_json("json", card).alias("_c"))
+    # Parsed once: a projection would parse it anew for every field.
+    df = pin(cards.select(*keep, "path", "json"), _c=F.from_json("json", card))
     title = strip(F.coalesce("_c.title", F.lit("")))
     anchor = F.concat(F.lit("#"), blank_to_null(strip("_c._id")))
     return df.where(strip("_c.url").startswith(vocab.CARD_PATH_PREFIX)).select(

@@ -45,3 +45,25 @@ def test_common_and_rare_references(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
     got = [r["x"] for r in df.select("id", html.decode_references(F.col("t")).alias("x")).orderBy("id").collect()]
     assert [x.replace(" x", " x") if k == 0 else x for k, x in enumerate(got)][1:] == want[1:] and got[0].startswith("a & b <> ")
+
+
+def test_walk_drops_what_it_does_not_look_for(spark, own):
+    """Escapes that cannot stand for a letter open nothing, and a node that is no hit is not carried on."""
+    import json
+
+    from pyspark.sql import functions as F
+
+    from feedloom.sources import documents
+
+    texts = [
+        json.dumps({"q": {"t": 'a "quoted" \\ text'}, "x": [{"_type": "C", "n": [{"_type": "C"}]}]}),
+        r'{"x":{"_type":"C"}}',
+        '{"_type":"no","y":{"_type":"C","_type":"D"},"z":{"_type":"D","_type":"C"}}',
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, doc string")
+    got = documents.find_nodes(docs, ["id"], "doc", "_type", "C").orderBy("id", "path")
+    assert [(r["id"], r["path"]) for r in got.collect()] == [(0, [1, 0]), (0, [1, 0, 1, 0]), (1, [0]), (2, [2])]
+    walked = documents._walk(docs, ["id"], "doc", lambda t: t.contains("C"), ["C"], F.lit(None).cast("boolean"), "boolean")
+    assert walked.count() == 0
+    events = own("events", [(k, "view", k) for k in range(64)], "event_id long, event_type string, user_id long")
+    assert len(_parts(spark, events.spread("events"))) == int(spark.conf.get("spark.sql.shuffle.partitions"))
