@@ -67,3 +67,22 @@ def test_walk_drops_what_it_does_not_look_for(spark, own):
     assert walked.count() == 0
     events = own("events", [(k, "view", k) for k in range(64)], "event_id long, event_type string, user_id long")
     assert len(_parts(spark, events.spread("events"))) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_lexicon_has_no_say_in_ids(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from feedloom.llm import lexicon
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.createDataFrame([(k, f"some words qxzzv{k} and Größe {k * 7919}\n<|x|> again again" * (k % 3)) for k in range(60)], "doc_id long, text string")
+
+    def digests(**limits):
+        made = lexicon.frequent_lexicon
+        lexicon.frequent_lexicon = lambda d, t, words=lexicon.LEXICON_WORDS: made(d, t, limits.get("words", words), limits.get("rows", 10_000))
+        try:
+            return sorted(tuple(r) for r in lexicon.token_digests(docs, path).collect())
+        finally:
+            lexicon.frequent_lexicon = made
+
+    whole = digests()
+    assert whole == digests(words=0) == digests(words=3) == digests(rows=5) and len(whole) == 60
