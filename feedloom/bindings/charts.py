@@ -482,7 +482,7 @@ def top_list_items(t):
         _edge(F.when(c("p_partkey") % 2 == 0, "SHOW").otherwise("MOVIE"), F.upper("title"), F.lit(None).cast("int"),
               F.concat(F.lit("/s/"), "p_partkey"), F.array(F.lit("war")), F.lit("")),
     )
-    known = t.part.withColumn("title", named).where("p_partkey % 5 <> 0").select("title", F.to_json(F.struct(edges.alias("edges"))).alias("json"))
+    known = t.spread("part").withColumn("title", named).where("p_partkey % 5 <> 0").select("title", F.to_json(F.struct(edges.alias("edges"))).alias("json"))
     replies = known.select(F.explode(F.array("title", F.upper("title"))).alias("asked"), "json")
     own = lists.where("own").select("feed", "type", address.alias("list_url"), "html")
     found = items(own, lists.where("NOT own"), replies.withColumnRenamed("asked", "title"), "netflix", _TOP_LABEL, TOP_N)
