@@ -111,7 +111,8 @@ def fresh_items(items: DataFrame, forget_after: int | None = None, time: str = "
         for part in parts:
             if not known and len(part):
                 part = part if best is None else pd.concat([best, part])
-                best = part.sort_values(order, kind="stable", na_position="first").head(1)
+                # Most keys come once; sorting a single row costs more than all else here.
+                best = part if len(part) == 1 else part.sort_values(order, kind="stable", na_position="first").head(1)
         if known or best is None:
             return
         state.update((True,))
