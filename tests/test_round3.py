@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 import pytest
 
 from feedloom.bindings import charts
@@ -86,3 +87,15 @@ def test_lexicon_has_no_say_in_ids(spark):
 
     whole = digests()
     assert whole == digests(words=0) == digests(words=3) == digests(rows=5) and len(whole) == 60
+
+
+def test_batches_for_python_are_bounded_by_bytes(spark):
+    from pyspark.sql import functions as F
+
+    @F.pandas_udf("int")
+    def rows_at_once(text: pd.Series) -> pd.Series:
+        return pd.Series([len(text)] * len(text))
+
+    texts = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("t"))
+    sizes = [r["n"] for r in texts.select(rows_at_once("t").alias("n")).collect()]
+    assert len(sizes) == 300 and max(sizes) <= 50
