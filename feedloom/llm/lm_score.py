@@ -4,7 +4,8 @@ Both models have the same vocabulary, order and smoothing; they differ only in t
 is every word of all texts, unless the caller closes it. Words and bigrams are counted per chunk of documents, the
 chunks' counts are added up in buckets of the hash space, and every chunk gets the sums of its own words and bigrams
 back. A bigram is one entry of a chunk however often it occurs there, so a hot one has as many entries as there are
-chunks; nothing that grows with the corpus is collected or broadcast. Words and bigrams are 64-bit hashes.
+chunks; nothing that grows with the corpus is collected or broadcast. Words and bigrams are 64-bit hashes; a chunk's
+texts are kept as a list of words and numbers in it, hashes move once and as differences, and sums go back without them.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import BATCH_ROWS, MEMO_ENTRIES, Memo, long_of, mix, settle, strings
+from feedloom.llm.common import BATCH_ROWS, MEMO_ENTRIES, Memo, mix, settle, strings
 
 #: Weight of the bigram against the word's own share; pseudo-count of a word.
 BIGRAM_WEIGHT = 0.7
@@ -31,8 +32,8 @@ START = CLASSES
 CHUNK_WORDS = 1_000_000
 BUCKET_BYTES = 8_000_000
 
-#: Kinds of rows of a chunk: sums of words, sums of bigrams, documents. Counts of an entry by kind.
-WORD, PAIR, DOC = 0, 1, 2
+#: Kinds of counts of a chunk: words and bigrams. Counts of an entry by kind.
+WORD, PAIR = 0, 1
 WIDTH = {WORD: 4, PAIR: 2}
 
 _DIGITS = set("0123456789")
@@ -105,125 +106,171 @@ def before(words: np.ndarray, sizes: np.ndarray, start) -> np.ndarray:
     return out
 
 
-def lists(values: np.ndarray, ends) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+def packed(values: np.ndarray) -> bytes:
+    """Integers as bytes: the lowest bytes of all, then the next ones, compressed behind their size."""
+    raw = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def chunk_rows(chunk: int, ids: list[pa.Array], texts: list[np.ndarray], targets: list[bool], start, buckets: int):
-    """The rows of a chunk: its documents as local word numbers, and its counts cut by bucket of the hash space."""
-    sizes = np.array([len(t) for t in texts], np.int64)
+def plain(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], size, codec="zstd", asbytes=True) if size else b""
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(plain(data), np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+class Numbers(dict):
+    """Numbers of words in the order in which they come."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def chunk_row(chunk: int, ids: list[pa.Array], texts: list[np.ndarray], numbers: Numbers) -> dict:
+    """A chunk's documents: their ids, sizes and words as numbers in the chunk's list of words.
+
+    Frequent words have the small numbers, and words as frequent as each other are in order, so both compress well.
+    """
     flat = np.concatenate(texts)
-    wanted = np.repeat(np.array(targets, bool), sizes)
-    first = before(flat, sizes, start)
-    words, local = np.unique(np.append(flat, start), return_inverse=True)
-    at_start = local[-1]
-    local = local[:-1]
-    local_first = before(local, sizes, at_start)
-    pairs, which = np.unique(pair_of(first, flat), return_inverse=True)
-    n = len(words)
-    by_word = [np.bincount(x, minlength=n) for x in (local_first[wanted], local_first, local[wanted], local)]
-    by_pair = [np.bincount(x, minlength=len(pairs)) for x in (which[wanted], which)]
-    kind, bucket, keys, counts = [], [], [], []
-    for k, hashes, columns in ((WORD, words, by_word), (PAIR, pairs, by_pair)):
-        # Sorted hashes lie bucket by bucket.
-        cuts = np.searchsorted((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
-        used = np.flatnonzero(np.diff(cuts))
-        ends = np.append(cuts[used], len(hashes))
-        table = np.stack(columns, axis=1).astype(np.int64)
-        kind.append(np.full(len(used), k, np.int32))
-        bucket.append(used)
-        keys.append(lists(long_of(hashes), ends))
-        counts.append(lists(table.ravel(), ends * WIDTH[k]))
-    many, docs = sum(map(len, bucket)), len(texts)
-    total = many + docs
-    yield {
-        "chunk": np.full(total, chunk, np.int64),
-        "kind": np.concatenate([*kind, np.full(docs, DOC, np.int32)]),
-        "bucket": np.concatenate([*bucket, np.zeros(docs, np.int64)]),
-        "keys": pa.concat_arrays([*keys, pa.nulls(docs, keys[0].type)]),
-        "counts": pa.concat_arrays([*counts, pa.nulls(docs, counts[0].type)]),
-        "doc_id": pa.concat_arrays([pa.nulls(many, ids[0].type), *ids]),
-        "target": pa.concat_arrays([pa.nulls(many, pa.bool_()), pa.array(targets, pa.bool_())]),
-        "words": pa.concat_arrays(
-            [pa.nulls(many, pa.list_(pa.int32())), lists(local.astype(np.int32), np.append(0, np.cumsum(sizes)))]
-        ),
+    names = sorted(numbers)
+    order = np.fromiter(map(numbers.__getitem__, names), np.int64, len(names))
+    turn = np.argsort(-np.bincount(flat, minlength=len(names))[order], kind="stable")
+    rank = np.empty(len(names), np.uint32)
+    rank[order[turn]] = np.arange(len(names), dtype=np.uint32)
+    held = pa.concat_arrays(ids)
+    return {
+        "chunk": [chunk],
+        "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held),
+        "sizes": [packed(np.array([len(t) for t in texts], np.int64))],
+        "names": [packed(np.frombuffer(" ".join(names[k] for k in turn.tolist()).encode(), np.uint8))],
+        "words": [packed(rank[flat])],
     }
 
 
-def chunked(docs: DataFrame, known, buckets: int) -> DataFrame:
-    """Rows of all chunks of `docs` (doc_id, text, target); see `chunk_rows`."""
+def chunked(docs: DataFrame) -> DataFrame:
+    """A row for each chunk of `docs` (doc_id, text); see `chunk_row`."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = StructType.fromDDL(
-        f"chunk long, kind int, bucket long, keys array<long>, counts array<long>, doc_id {kind}, target boolean, words array<int>"
-    )
+    schema = StructType.fromDDL(f"chunk long, doc_ids array<{kind}>, sizes binary, names binary, words binary")
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        entry = Words(None if known is None else known.value)
         chunk, held = TaskContext.get().partitionId() << 32, 0
-        ids, texts, targets = [], [], []
+        ids, texts, numbers = [], [], Numbers()
 
         def emit():
-            for columns in chunk_rows(chunk, ids, texts, targets, entry.start, buckets):
-                made = [c if isinstance(c, pa.Array) else pa.array(c) for c in (columns[f.name] for f in arrow)]
-                rows = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(made, arrow)], schema=arrow)
-                yield from (rows.slice(k, BATCH_ROWS) for k in range(0, rows.num_rows, BATCH_ROWS))
+            columns = chunk_row(chunk, ids, texts, numbers)
+            made = [c if isinstance(c, pa.Array) else pa.array(c) for c in (columns[f.name] for f in arrow)]
+            return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(made, arrow)], schema=arrow)
 
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1)
                 words = strings(row, "text")[0].lower().split()
                 ids.append(row.column("doc_id"))
-                texts.append(np.fromiter(map(entry.__getitem__, words), np.uint64, len(words)))
-                targets.append(bool(row.column("target")[0].as_py()))
+                texts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
                 held += len(words)
                 if held >= CHUNK_WORDS or len(ids) >= CHUNK_WORDS // 10:
-                    yield from emit()
-                    chunk, held, ids, texts, targets = chunk + 1, 0, [], [], []
-                if len(entry) > MEMO_ENTRIES:
-                    entry.trim()
+                    yield emit()
+                    chunk, held, ids, texts, numbers = chunk + 1, 0, [], [], Numbers()
         if ids:
-            yield from emit()
-        entry.trim()
+            yield emit()
 
-    return docs.select("doc_id", "text", "target").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def values_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """The flat values of a column of lists, and the lists' sizes."""
-    joined = column.combine_chunks()
-    joined = joined if isinstance(joined, pa.Array) else pa.concat_arrays(joined.chunks)
-    return joined.flatten().to_numpy(), joined.value_lengths().to_numpy()
+def entries(sizes: np.ndarray, names: bytes, words: bytes, entry: Words):
+    """What the models count in a chunk: hashes of its words and of its bigrams, sorted; for each word of its texts the
+    numbers of the word before it, of itself and of the bigram; and for each bigram a place where it stands."""
+    listed = plain(names).decode().split(" ") if len(plain(names)) else []
+    hashes = np.fromiter(map(entry.fn, listed), np.uint64, len(listed))
+    different, back = np.unique(np.append(hashes, entry.start), return_inverse=True)
+    local = back[:-1][unpacked(words, np.uint32)]
+    first = before(local, sizes, back[-1])
+    pairs, some, which = np.unique(pair_of(different[first], different[local]), return_index=True, return_inverse=True)
+    return different, pairs, first, local, which, some
 
 
-def totals(rows: DataFrame, kind: int) -> DataFrame:
-    """The chunks' counts of one kind with the sums over all chunks in place of their own; `n_new` sums to the
-    number of different entries. Words keep their hashes."""
-    width = WIDTH[kind]
+def counts_of(chunks: DataFrame, known, buckets: int) -> DataFrame:
+    """The counts of every chunk (chunk, sizes, names, words, marked), cut by bucket of the hash space.
+
+    `marked` has the places of the target's documents in the chunk, null for none. Hashes are kept as differences.
+    """
+
+    def run(batches):
+        entry = Words(None if known is None else known.value)
+        entry.trim()
+        for batch in batches:
+            for row in batch.to_pylist():
+                sizes = unpacked(row["sizes"], np.int64)
+                target = np.zeros(len(sizes), bool)
+                target[np.array(row["marked"] or [], np.int64)] = True
+                wanted = np.repeat(target, sizes)
+                different, pairs, first, local, which, _ = entries(sizes, row["names"], row["words"], entry)
+                n = len(different)
+                by_word = [np.bincount(x, minlength=n) for x in (first[wanted], first, local[wanted], local)]
+                by_pair = [np.bincount(x, minlength=len(pairs)) for x in (which[wanted], which)]
+                kind, bucket, keys, counts = [], [], [], []
+                for k, hashes, columns in ((WORD, different, by_word), (PAIR, pairs, by_pair)):
+                    # Sorted hashes lie bucket by bucket.
+                    places = (hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                    cuts = np.searchsorted(places, np.arange(buckets + 1))
+                    used = np.flatnonzero(np.diff(cuts))
+                    steps = np.diff(hashes, prepend=np.uint64(0))
+                    steps[cuts[used]] = hashes[cuts[used]]
+                    table = np.stack(columns).astype(np.int64)
+                    kind += [k] * len(used)
+                    bucket += used.tolist()
+                    for a, b in zip(cuts[used].tolist(), cuts[used + 1].tolist()):
+                        keys.append(packed(steps[a:b]))
+                        counts.append(packed(table[:, a:b].ravel()))
+                for at in range(0, len(kind), BATCH_ROWS):
+                    some = slice(at, at + BATCH_ROWS)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([row["chunk"]] * len(kind[some]), pa.int64()), pa.array(kind[some], pa.int32()),
+                            pa.array(bucket[some], pa.int64()), pa.array(keys[some], pa.binary()), pa.array(counts[some], pa.binary()),
+                        ],
+                        names=["chunk", "kind", "bucket", "keys", "counts"],
+                    )
+
+    schema = "chunk long, kind int, bucket long, keys binary, counts binary"
+    return chunks.select("chunk", "sizes", "names", "words", "marked").mapInArrow(run, schema)
+
+
+def totals(counts: DataFrame) -> DataFrame:
+    """The chunks' counts with the sums over all chunks in place of their own, in the order in which they came.
+
+    Of words, `n_new` sums to the number of different entries, `n_target` and `n_all` to the words of the two texts.
+    """
 
     def add(group: pa.Table) -> pa.Table:
-        keys, sizes = values_of(group.column("keys"))
-        counts = values_of(group.column("counts"))[0].reshape(-1, width)
-        different, which = np.unique(keys, return_inverse=True)
+        kind = group.column("kind")[0].as_py()
+        keys = [np.cumsum(unpacked(k, np.uint64), dtype=np.uint64) for k in group.column("keys").to_pylist()]
+        ends = np.cumsum([len(k) for k in keys])
+        own = np.concatenate([unpacked(c, np.int64).reshape(WIDTH[kind], -1) for c in group.column("counts").to_pylist()], axis=1)
+        different, which = np.unique(np.concatenate(keys), return_inverse=True)
         # Sums of floats are exact below 2^53.
-        sums = [np.bincount(which, weights=counts[:, k])[which].astype(np.int64) for k in range(width)]
-        ends = np.append(0, np.cumsum(sizes))
-        n_new = np.zeros(len(sizes), np.int64)
-        n_new[0] = len(different)
-        held = group.column("keys").combine_chunks() if kind == WORD else pa.nulls(len(sizes), pa.list_(pa.int64()))
+        sums = np.stack([np.bincount(which, weights=c)[which].astype(np.int64) for c in own])
+        once = np.zeros((3, len(keys)), np.int64)
+        if kind == WORD:
+            once[:, 0] = len(different), own[2].sum(), own[3].sum()
         return pa.table(
             {
                 "chunk": group.column("chunk"), "kind": group.column("kind"), "bucket": group.column("bucket"),
-                "keys": held, "counts": lists(np.stack(sums, axis=1).ravel(), ends * width), "n_new": n_new,
+                "counts": pa.array([packed(sums[:, a:b].ravel()) for a, b in zip([0, *ends[:-1]], ends)], pa.binary()),
+                "n_new": once[0], "n_target": once[1], "n_all": once[2],
             }
         )
 
-    own = rows.where(F.col("kind") == kind).select("chunk", "kind", "bucket", "keys", "counts")
-    return own.groupBy("bucket").applyInArrow(
-        add, "chunk long, kind int, bucket long, keys array<long>, counts array<long>, n_new long"
+    return counts.groupBy("kind", "bucket").applyInArrow(
+        add, "chunk long, kind int, bucket long, counts binary, n_new long, n_target long, n_all long"
     )
 
 
@@ -248,54 +295,52 @@ def cross_entropy(docs: DataFrame, target_ids: DataFrame, words: int | None = No
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     base = docs.select("doc_id", "text")
     known = None if words is None else spark.sparkContext.broadcast(vocabulary(base, words))
-    # The same join at every size: what grows with the corpus is never broadcast.
-    marked = base.join(
-        target_ids.select("doc_id", F.lit(True).alias("target")).dropDuplicates(["doc_id"]).hint("merge"), "doc_id", "left"
-    )
     n_bytes = base.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(1, math.ceil(n_bytes / BUCKET_BYTES))
-    rows = settle(chunked(marked, known, buckets), "language-chunks")
-    by_word = settle(totals(rows, WORD), "language-words")
-    texts = rows.where(F.col("kind") == DOC)
-    n = F.size("words").cast("long")
-    seen = texts.agg(F.sum(F.when(F.col("target"), n)).alias("target"), F.sum(n).alias("background")).first()
-    counted = {k: seen[k] or 0 for k in ("target", "background")}
-    different = by_word.agg(F.sum("n_new")).first()[0] or 0
-    size = START + 1 + words if words is not None else different
-    start = Words(None if known is None else {}).start
+    chunks = settle(chunked(base), "language-chunks")
+    # Only ids meet the target's ids, and only packed chunks move. The same joins at every size: what grows with the
+    # corpus is never broadcast.
+    marked = (
+        chunks.select("chunk", F.posexplode("doc_ids").alias("at", "doc_id"))
+        .join(target_ids.select("doc_id").dropDuplicates(["doc_id"]).hint("merge"), "doc_id", "left_semi")
+        .groupBy("chunk")
+        .agg(F.collect_list("at").alias("marked"))
+    )
+    sums = settle(totals(counts_of(chunks.join(marked.hint("merge"), "chunk", "left"), known, buckets)), "language-sums")
+    seen = sums.agg(*(F.sum(c).alias(c) for c in ("n_new", "n_target", "n_all"))).first()
+    counted = (seen["n_target"] or 0, seen["n_all"] or 0)
+    size = START + 1 + words if words is not None else seen["n_new"] or 0
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def score(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("kind", "ascending"), ("bucket", "ascending")])
-        kinds = group.column("kind").to_numpy()
-        cuts = np.searchsorted(kinds, [WORD, PAIR, DOC, DOC + 1])
-        of_words, of_pairs, of_docs = (group.slice(a, b - a) for a, b in zip(cuts, cuts[1:]))
-        local, sizes = values_of(of_docs.column("words"))
+    def score(chunk: pa.Table, group: pa.Table) -> pa.Table:
+        entry = Words(None if known is None else known.value)
+        entry.trim()
+        row = {c: chunk.column(c)[0].as_py() for c in ("sizes", "names", "words")}
+        sizes = unpacked(row["sizes"], np.int64)
         total_loss = [np.zeros(len(sizes)), np.zeros(len(sizes))]
+        _, _, first, local, which, some = entries(sizes, row["names"], row["words"], entry)
         if len(local):
-            hashes = values_of(of_words.column("keys"))[0].view(np.uint64)
-            word_counts = values_of(of_words.column("counts"))[0].reshape(-1, WIDTH[WORD])
-            pair_counts = values_of(of_pairs.column("counts"))[0].reshape(-1, WIDTH[PAIR])
-            first = before(local, sizes, np.searchsorted(hashes, start))
-            # The bigrams in the order of their hashes, as they were counted.
-            _, some, which = np.unique(pair_of(hashes[first], hashes[local]), return_index=True, return_inverse=True)
+            # The sums in the order of their hashes, as they were counted.
+            group = group.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+            rows = list(zip(group.column("kind").to_pylist(), group.column("counts").to_pylist()))
+            word_counts, pair_counts = (
+                np.concatenate([unpacked(c, np.int64).reshape(WIDTH[k], -1) for of, c in rows if of == k], axis=1)
+                for k in (WORD, PAIR)
+            )
             a, b = first[some], local[some]
             owner = np.repeat(np.arange(len(sizes)), sizes)
-            for k, n_words in enumerate((counted["target"], counted["background"])):
-                bits = losses(pair_counts[:, k], word_counts[a, k], word_counts[b, 2 + k], n_words, size)
+            for k, n_words in enumerate(counted):
+                bits = losses(pair_counts[k], word_counts[k, a], word_counts[2 + k, b], n_words, size)
                 total_loss[k] = np.bincount(owner, weights=bits[which], minlength=len(sizes)) / np.maximum(sizes, 1)
         target, background = total_loss
         return pa.table(
             {
-                "doc_id": of_docs.column("doc_id"), "n_words": sizes.astype(np.int64), "target_loss": target,
+                "doc_id": chunk.column("doc_ids").combine_chunks().flatten(), "n_words": sizes, "target_loss": target,
                 "background_loss": background, "difference": target - background,
             }
         )
 
     # Every chunk meets the sums of its own entries; only those are moved.
-    columns = ["chunk", "kind", "bucket", "keys", "counts"]
-    none = [F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("array<int>").alias("words")]
-    sums = by_word.select(*columns, *none).unionAll(totals(rows, PAIR).select(*columns, *none))
-    together = sums.unionAll(texts.select(*columns, "doc_id", "words"))
     schema = f"doc_id {kind}, n_words long, target_loss double, background_loss double, difference double"
-    return together.groupBy("chunk").applyInArrow(score, schema)
+    own = sums.select("chunk", "kind", "bucket", "counts").groupBy("chunk")
+    return chunks.groupBy("chunk").cogroup(own).applyInArrow(score, schema)

@@ -13,6 +13,7 @@ from tests.check import TESTDATA
 
 from feedloom.llm import fm_quality, line_rules, lm_score, near_join, sentence_spans, tiling
 from feedloom.llm.common import components
+from feedloom.session import shared_dir
 
 SF = os.path.join(TESTDATA, "sf0.001")
 
@@ -345,6 +346,18 @@ def test_losses_know_every_word(spark, docs, monkeypatch, chunk):
     assert max(held_out) < min(other)
 
 
+def test_losses_keep_chunks_packed(spark, docs):
+    texts = [" ".join(words(3_000, k)) for k in range(40)]
+    top = os.path.join(shared_dir(spark), "feedloom")
+    seen = set(os.listdir(top)) if os.path.isdir(top) else set()
+    got = lm_score.cross_entropy(docs([*enumerate(texts)]), spark.range(20).withColumnRenamed("id", "doc_id"))
+    assert got.count() == len(texts)
+    kept = [os.path.join(top, d) for d in os.listdir(top) if d.startswith("language-") and d not in seen]
+    size = sum(os.path.getsize(os.path.join(d, f)) for d in kept for f in os.listdir(d) if f.endswith(".parquet"))
+    # Hashes of all bigrams of a chunk alone are larger than its texts.
+    assert 0 < size < sum(map(len, texts))
+
+
 def test_factors_in_linear_time():
     rng = np.random.default_rng(1)
     model = fm_quality.Model(0.3, rng.normal(size=fm_quality.WIDTH), rng.normal(size=(fm_quality.WIDTH, 4)))
