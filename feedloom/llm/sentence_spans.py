@@ -6,10 +6,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import WORD_HASH, changed, long_of, mapped, mix, settle, strings, word_hashes
+from feedloom.llm.common import WORD_HASH, changed, long_of, mapped, mix, settle, strings
 from feedloom.llm.near_join import keyed
 
 #: A run has at least so many sentences and words. A single sentence of `LONG_SENTENCE` words counts as a run.
@@ -47,7 +48,9 @@ def runs(text: str, parts: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarra
     words = [text[a:b].lower().encode("utf-8", "surrogatepass").split() for a, b in parts]
     sizes = np.array([len(w) for w in words], np.int64)
     # A polynomial prefix hash gives the hash of any run of words in one step.
-    flat = mix(word_hashes([w for some in words for w in some]))
+    # Hashed each time: a memo of words takes as long and leaves a worker's memory in pieces.
+    listed = [w for some in words for w in some]
+    flat = mix(np.fromiter(map(xxhash.xxh3_64_intdigest, listed), np.uint64, len(listed)))
     total = np.concatenate([[0], np.cumsum(sizes)])
     with np.errstate(over="ignore"):
         power = np.cumprod(np.full(len(flat) + 1, 0x9E3779B97F4A7C15, np.uint64))
@@ -120,7 +123,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     their text. An empty table gives no rows. Only a text's own runs are gathered in one place.
     """
     def span_keys(batch):
-        WORD_HASH.trim()
+        WORD_HASH.trim(0)
         keys, found, again = [], [], []
         for key, text in zip(batch.column("_key").to_pylist(), strings(batch, "text")):
             hashes = runs(text, sentences(text))[0]
@@ -152,7 +155,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     joined = docs.select(*(F.col(f"`{c}`") for c in names), key.alias("__key")).join(again.hint("merge"), "__key", "left").drop("__key")
 
     def clean(batch):
-        WORD_HASH.trim()
+        WORD_HASH.trim(0)
         # A text that neither repeats itself nor another one is passed on as it is.
         some = batch.column("__spans").is_valid()
         at = np.flatnonzero(some.to_numpy(zero_copy_only=False))

@@ -12,7 +12,7 @@ import pytest
 from tests.check import TESTDATA
 
 from feedloom.llm import fm_quality, line_rules, lm_score, near_join, sentence_spans, tiling
-from feedloom.llm.common import components
+from feedloom.llm.common import WORD_HASH, components
 from feedloom.session import shared_dir
 
 SF = os.path.join(TESTDATA, "sf0.001")
@@ -284,6 +284,13 @@ def test_keep_clean_with_clashing_columns(spark):
     assert sorted(map(str, map(tuple, tiling.keep_clean(docs, bench).collect()))) == sorted(map(str, rows[2:]))
 
 
+def test_runs_leave_no_words_in_a_worker():
+    WORD_HASH.clear()
+    text = " ".join(words(50_000, 7)) + "."
+    assert len(sentence_spans.runs(text, sentence_spans.sentences(text))[0]) == 1
+    assert not WORD_HASH
+
+
 def test_losses_and_matched_models(spark, docs):
     good, bad = [sentences(60, 20 + k % 3) for k in range(6)], ["%% ## 12 " * 30] * 4
     rows = [*enumerate(good + bad), (50, None), (51, ""), (None, good[0]), (3, good[3])]
