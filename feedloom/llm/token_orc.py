@@ -11,15 +11,17 @@ import gc
 import re
 import zlib
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Memo, mapped, strings
+from feedloom.llm.common import Memo, mapped
 from feedloom.session import work_dir
 
 #: Bytes of a stripe before compression, rows of a row-index group, share of false hits of the Bloom filters.
@@ -27,7 +29,8 @@ STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
 BLOOM_FPP = 0.01
 
-#: Chunks whose ids a worker keeps.
+#: Rows that are encoded together. Chunks whose ids a worker keeps.
+ENCODE_ROWS = 1_024
 KNOWN_CHUNKS = 1_000_000
 
 _ODD_SPACE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -35,6 +38,7 @@ _CHUNK = re.compile(r"\s*\S+|\s+")
 # The vocabulary's pattern for chunks of these characters, each of which is a letter, a digit, a sign or
 # a space in every Unicode version.
 _PLAIN = re.compile(r"[\n !-~À-ÖØ-öø-ɏ]*\Z")
+_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ɏ]+\Z")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ɏ]+|\s+(?!\S)|\s+")
 
 
@@ -81,7 +85,9 @@ class Encoder:
         """
         ids_of, others = self.pieces.__getitem__, []
         for key, chunk in zip(keys, chunks):
-            if _PLAIN.match(chunk):
+            if _WORD.match(chunk):
+                known[key] = ids_of(chunk)
+            elif _PLAIN.match(chunk):
                 known[key] = b"".join(map(ids_of, _PIECE.findall(chunk)))
             else:
                 others.append((key, chunk))
@@ -93,38 +99,67 @@ class Encoder:
             data = ids.tobytes()
             known.update((key, data[a:b]) for (key, _), a, b in zip(some, [0, *cuts], cuts))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as 32-bit integers.
+    def known_ids(self, known: Memo, keys: list[str], usable: Callable[[str], bool], before: str) -> list[bytes]:
+        """The ids of different chunks, each `before` and its key; those that are new are learned together, if they are usable."""
+        ids = list(map(known.get, keys))
+        missing = [k for k, x in enumerate(ids) if x is None]
+        new = [c for c in map(keys.__getitem__, missing) if usable(c)]
+        self.learn(known, new, [before + c for c in new] if before else new)
+        for k in missing:
+            ids[k] = known[keys[k]]
+        return ids
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each text has. A null text has none.
 
         Text without a space beside other white space is cut at its spaces, any other text in front of each run of white
-        space. The words behind a space are known without it, so the usual text is looked up as it was split.
+        space. The words behind a space are known without it; each different word of the column is looked up once.
         """
         self.known.trim(KNOWN_CHUNKS)
         self.spaced.trim(KNOWN_CHUNKS)
         self.pieces.trim(KNOWN_CHUNKS)
-        found: list[tuple[str, list, list, Memo, list]] = []
-        new: dict[Memo, set[str]] = {self.known: set(), self.spaced: set()}
-        for text in texts:
-            first = ""
-            if "  " in text or " \n" in text or "\n " in text or _ODD_SPACE.search(text):
-                chunks, known = _CHUNK.findall(text), self.known
-            else:
-                chunks, known = text.split(" "), self.spaced
-                first = chunks.pop(0)
-            ids = list(map(known.get, chunks))
-            missing = [k for k, x in enumerate(ids) if x is None] if None in ids else []
-            new[known].update([chunks[k] for k in missing])
-            found.append((first, chunks, ids, known, missing))
-        chunks = [c for c in new[self.known] if c[0].isspace() and not c[-1].isspace() and "<|" not in c]
-        self.learn(self.known, chunks, chunks)
-        words = [c for c in new[self.spaced] if c and not c[-1].isspace() and "<|" not in c]
-        self.learn(self.spaced, words, [f" {w}" for w in words])
-        out = []
-        for first, chunks, ids, known, missing in found:
-            for k in missing:
-                ids[k] = known[chunks[k]]
-            out.append((self.known[first] if first else b"") + b"".join(ids))
-        return out
+        column = column.fill_null("")
+        odd = {
+            k: text
+            for k, text in enumerate(column.to_pylist())
+            if "  " in text or " \n" in text or "\n " in text or _ODD_SPACE.search(text)
+        }
+        cut = {k: _CHUNK.findall(text) for k, text in odd.items()}
+        chunks = list(dict.fromkeys(c for some in cut.values() for c in some))
+        self.known_ids(self.known, chunks, lambda c: c[0].isspace() and not c[-1].isspace() and "<|" not in c, "")
+        usual = np.ones(len(column), bool)
+        usual[list(odd)] = False
+        split = pc.split_pattern(column.filter(pa.array(usual)), " ")
+        offsets, words = split.offsets.to_numpy(), split.flatten()
+        start = offsets[:-1]
+        coded = words.dictionary_encode()
+        data = self.known_ids(self.spaced, coded.dictionary.to_numpy(zero_copy_only=False).tolist(), lambda c: c and not c[-1].isspace() and "<|" not in c, " ")
+        # No space stands before the first word of a text.
+        codes = coded.indices.to_numpy().copy()
+        codes[start] = np.arange(len(data), len(data) + len(start))
+        data += [self.known[w] if w else b"" for w in words.take(pa.array(start)).to_pylist()]
+        ends_of = np.cumsum([0, *map(len, data)], dtype=np.int32) // 4
+        table = pa.ListArray.from_arrays(pa.array(ends_of), pa.array(np.frombuffer(b"".join(data), np.int32)))
+        ids = table.take(pa.array(codes)).flatten().to_numpy()
+        ends = np.append(0, np.cumsum(np.diff(ends_of)[codes], dtype=np.int64))
+        counts, usual_ends = np.zeros(len(column), np.int64), ends[offsets]
+        counts[usual] = np.diff(usual_ends)
+        if odd:
+            parts, at = [], 0
+            for k in range(len(column)):
+                if k in cut:
+                    parts.append(np.frombuffer(b"".join(map(self.known.__getitem__, cut[k])), np.int32))
+                    counts[k] = len(parts[-1])
+                else:
+                    parts.append(ids[at : at + counts[k]])
+                    at += counts[k]
+            ids = np.concatenate(parts)
+        return ids, counts
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as 32-bit integers."""
+        ids, counts = self.encode_column(pa.array(texts, pa.string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
 
 
 @lru_cache(2)
@@ -150,28 +185,27 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int | None) -> Dat
         .sortWithinPartitions("doc_id", "_tie")
         .select("doc_id", "text")
     )
-    end = b"" if end_id is None else np.array([end_id], np.int32).tobytes()
 
     def encode(batches):
         row = offset = 0
         place = TaskContext.get().partitionId()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                parts = [x + end for x in encoder(tokenizer).encode(strings(part, "text"))]
-                ends = np.cumsum([0, *(len(x) // 4 for x in parts)])
+            for at in range(0, batch.num_rows, ENCODE_ROWS):
+                part = batch.slice(at, ENCODE_ROWS)
+                flat, counts = encoder(tokenizer).encode_column(part.column("text"))
+                if end_id is not None:
+                    flat, counts = np.insert(flat, np.cumsum(counts), end_id), counts + 1
+                ends = np.append(0, np.cumsum(counts))
                 if ends[-1] >= 1 << 31:
-                    raise ValueError("256 documents hold more than 2^31 ids")
-                ids = pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), np.int32))
-                )
-                rows = pa.array(np.arange(row, row + len(parts)), pa.int64())
+                    raise ValueError(f"{ENCODE_ROWS} documents hold more than 2^31 ids")
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+                rows = pa.array(np.arange(row, row + len(counts)), pa.int64())
                 offsets = pa.array(offset + ends[:-1], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(parts), place, np.int32)), part.column("doc_id").cast(pa.int64()), rows, offsets, pa.array(np.diff(ends)), ids],
+                    [pa.array(np.full(len(counts), place, np.int32)), part.column("doc_id").cast(pa.int64()), rows, offsets, pa.array(counts), ids],
                     names=["part", "doc_id", "row", "token_offset", "n_tokens", "ids"],
                 )
-                row, offset = row + len(parts), offset + int(ends[-1])
+                row, offset = row + len(counts), offset + int(ends[-1])
 
     return ordered.mapInArrow(encode, "part int, doc_id long, row long, token_offset long, n_tokens long, ids array<int>")
 

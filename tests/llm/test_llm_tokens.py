@@ -5,10 +5,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from feedloom.llm import lexicon, token_orc
+from feedloom.llm.common import Memo
 from feedloom.session import work_dir
 
 WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -54,6 +56,24 @@ def test_byte_encoder_equals_library():
 ROWS = [(9, "b b"), (3, None), (5, "x\n\ny  z"), (4, ""), (9, "b b"), (7, "long " * 30_000)]
 
 
+def test_every_different_word_is_looked_up_once():
+    class Counted(Memo):
+        looked_up = 0
+
+        def get(self, key, other=None):
+            self.looked_up += 1
+            return super().get(key, other)
+
+    texts = [" ".join(f"word{k % 7} été{k % 5}," for k in range(300)), None, "a  b", "", "word1", " x ", *ODD, "été3, word2 the end"]
+    encoder, plain = token_orc.Encoder(BYTE), Tokenizer.from_file(BYTE)
+    encoder.spaced = Counted(encoder.spaced.fn, "chunks")
+    ids, counts = encoder.encode_column(pa.array(texts))
+    wanted = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(x) for x in wanted]
+    assert ids.tolist() == [k for x in wanted for k in x]
+    assert encoder.spaced.looked_up < 300
+
+
 def test_word_digests(docs):
     library = Tokenizer.from_file(WORD)
     want = []
