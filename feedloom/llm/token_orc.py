@@ -64,7 +64,7 @@ class Encoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = (b for b in range(256) if b not in plain)
         self.char = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
-        self.pieces = Memo(self.merge, "chunks")
+        self.pieces = Memo(lambda piece: (self.spaced.get(piece[1:]) if piece[0] == " " else None) or self.merge(piece), "chunks")
         self.known = Memo(self.single, "chunks")
         self.spaced = Memo(lambda word: self.single(f" {word}"), "chunks")
 
@@ -86,7 +86,8 @@ class Encoder:
         ids_of, others = self.pieces.__getitem__, []
         for key, chunk in zip(keys, chunks):
             if _WORD.match(chunk):
-                known[key] = ids_of(chunk)
+                # Held once, as a chunk or as a piece.
+                known[key] = self.pieces.get(chunk) or self.merge(chunk)
             elif _PLAIN.match(chunk):
                 known[key] = b"".join(map(ids_of, _PIECE.findall(chunk)))
             else:

@@ -72,6 +72,9 @@ def test_every_different_word_is_looked_up_once():
     assert counts.tolist() == [len(x) for x in wanted]
     assert ids.tolist() == [k for x in wanted for k in x]
     assert encoder.spaced.looked_up < 300
+    # A word is held once.
+    encoder.encode(["one two three"])
+    assert "two" in encoder.spaced and " two" not in encoder.pieces
 
 
 def test_word_digests(docs):
