@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from feedloom.session import work_dir
@@ -72,3 +73,49 @@ def test_files_of_both_kinds_keep_all_records(spark):
         assert sorted(map(len, places.values())) == [1, 1, 2, 100]
         assert all(sorted(x) == list(range(1, len(x) + 1)) for x in places.values())
         assert [r.entry_ord for r in got if r.guid == "o2"] == [2]
+
+
+def test_the_lexicon_counts_every_text(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from feedloom.llm import lexicon
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    letters = F.translate(F.format_string("%05d", F.col("id") % 8_000), "0123456789", "abcdefghij")
+    docs = spark.range(24_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("The cat, "), letters).alias("text"))
+    counted = {r["word"]: r["n"] for r in lexicon.word_counts(docs, path).collect()}
+    assert len(counted) == 8_003 and counted["the"] == counted["cat"] == counted[","] == 24_000
+    assert {n for w, n in counted.items() if w not in ("the", "cat", ",")} == {3}
+    data = lexicon.frequent_lexicon(docs, path, 100_000)
+    assert lexicon.Lexicon(data).words == 8_003
+
+
+def test_most_frequent_words_with_ties(spark):
+    pytest.importorskip("public_tokenizers")
+    from feedloom.llm import lexicon
+
+    rows = [(f"w{k * 7919 % 1000:03d}", 1 + k % 7) for k in range(1000)]
+    counts = spark.createDataFrame(rows, "word string, n long").repartition(5)
+    want = [w for w, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
+    usual = spark.conf.get("spark.sql.execution.topKSortFallbackThreshold")
+    for words in (0, 1, 142, 500, 1000, 5000):
+        assert lexicon.most_frequent(counts, words) == want[:words]
+    assert lexicon.most_frequent(counts.where("n > 9"), 3) == []
+    assert spark.conf.get("spark.sql.execution.topKSortFallbackThreshold") == usual
+
+
+def test_rare_and_plain_texts_keep_their_places():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from feedloom.llm import lexicon
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["a b", "it’s x", None, "Word. WORD, word!!", " \t ", "a<|endoftext|>b", "don't x'''s 12½ \x1c q", "İ a", "日本 b", "word"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    codec = lexicon.Codec(path, lexicon.build([]))
+    for some in (slice(None), slice(3, 8), slice(0, 1), slice(1, 2), slice(0, 0)):
+        ids, said = codec.encode_decode(pa.array(texts, pa.string())[some])
+        assert ids.to_pylist() == want[some]
+        assert said.to_pylist() == [library.decode(x, skip_special_tokens=False) for x in want[some]]
