@@ -119,3 +119,20 @@ def test_rare_and_plain_texts_keep_their_places():
         ids, said = codec.encode_decode(pa.array(texts, pa.string())[some])
         assert ids.to_pylist() == want[some]
         assert said.to_pylist() == [library.decode(x, skip_special_tokens=False) for x in want[some]]
+
+
+def test_the_token_stage_counts_every_text(spark):
+    pytest.importorskip("public_tokenizers")
+    import corpus_pipeline
+    from feedloom.llm import lexicon
+
+    letters = F.translate(F.format_string("%05d", F.col("id")), "0123456789", "abcdefghij")
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), letters.alias("text"))
+    made, before = [], lexicon.publish
+    lexicon.publish = lambda session, data: made.append(data) or before(session, data)
+    try:
+        tokens = corpus_pipeline.tokens(spark, docs, "")
+    finally:
+        lexicon.publish = before
+    assert lexicon.Lexicon(made[0]).words == 12_000
+    assert tokens.count() == 12_000
